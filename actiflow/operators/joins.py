@@ -1,0 +1,17 @@
+"""Join helpers: broadcast only behind a checked size, shuffle otherwise."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Row bound under which a dimension side is broadcast. A side that may grow with
+# the data is counted (bounded: at most ``max_rows + 1`` rows are read) before
+# it is hinted; beyond the bound the join is left to the planner (sort-merge,
+# with AQE skew splitting).
+BROADCAST_MAX_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

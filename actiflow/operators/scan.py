@@ -1,0 +1,191 @@
+"""Skew-proof ordered scans: lag, running sum and row number within groups.
+
+``Window.partitionBy(g).orderBy(t)`` sends every row of a group to one task,
+and ``Window.orderBy(t)`` (no partition) sends the whole table to one task.
+When one key may hold a third of all rows, both are stragglers at scale.
+
+``sequence_scan`` computes the same values without that hot task:
+
+1. range-partition and sort on the full (group, order) key, so Spark's sampled
+   boundaries split a heavy group over many partitions;
+2. scan each partition once, in order, with an Arrow-batched ``mapInPandas``
+   (local lag / running sum / row number, restarting at group changes);
+3. summarise each partition in one row (first key, last key, last values and
+   running totals of its last group) - a table bounded by the partition count;
+4. fold that table with small windows and broadcast it back on the partition
+   id to carry values across partition boundaries.
+
+The (group, order) key must be a total order (add a unique tie-breaker);
+otherwise "previous row" is not defined and neither Spark nor SQL would agree.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+_PID, _POS, _HEAD, _CONST = "_scan_pid", "_scan_pos", "_scan_head", "_scan_group"
+
+
+def _same_as_previous(pdf: pd.DataFrame, cols: list[str]) -> np.ndarray:
+    same = np.ones(len(pdf), dtype=bool)
+    for c in cols:
+        s = pdf[c]
+        prev = s.shift(1)
+        eq = (s == prev) | (s.isna() & prev.isna())
+        same &= eq.to_numpy(dtype=bool)
+    same[0] = False
+    return same
+
+
+def _row_key(pdf: pd.DataFrame, cols: list[str], i: int) -> tuple:
+    return tuple(None if pd.isna(v) else v for v in (pdf[c].iat[i] for c in cols))
+
+
+def _local_scan(group_cols, lag_spec, sum_spec, rn_name):
+    """Per-partition pass; rows arrive sorted by (group, order)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        prev_key = None
+        prev_lag: dict = {}
+        prev_sum: dict = {}
+        prev_rn = 0
+        pos = 0
+        head_open = True
+        first_batch = True
+        for pdf in batches:
+            n = len(pdf)
+            if n == 0:
+                continue
+            pdf = pdf.reset_index(drop=True)
+            change = ~_same_as_previous(pdf, group_cols)
+            first_key = _row_key(pdf, group_cols, 0)
+            continues = (not first_batch) and first_key == prev_key
+            change[0] = not continues
+            gid = np.cumsum(change)  # 0 for rows continuing the previous batch's group
+            base = 1 if first_batch else 0
+            head = (gid == base) & head_open
+
+            out = pdf.copy()
+            out[_POS] = np.arange(pos, pos + n, dtype=np.int64)
+            out[_HEAD] = head
+            for name, src in lag_spec.items():
+                lagged = pdf[src].shift(1).mask(change)
+                if continues and prev_lag.get(src) is not None:
+                    lagged.iat[0] = prev_lag[src]
+                out[name] = lagged
+            for name, src in sum_spec.items():
+                vals = pd.to_numeric(pdf[src], errors="coerce").fillna(0)
+                run_sum = vals.groupby(gid).cumsum().to_numpy()
+                if continues:
+                    run_sum = run_sum + np.where(gid == 0, prev_sum.get(name, 0), 0)
+                out[name] = run_sum
+            if rn_name:
+                rn = pd.Series(np.ones(n, dtype=np.int64)).groupby(gid).cumsum().to_numpy()
+                if continues:
+                    rn = rn + np.where(gid == 0, prev_rn, 0)
+                out[rn_name] = rn
+
+            prev_key = _row_key(pdf, group_cols, n - 1)
+            prev_lag = {src: (None if pd.isna(pdf[src].iat[n - 1]) else pdf[src].iat[n - 1])
+                        for src in lag_spec.values()}
+            prev_sum = {name: out[name].iat[n - 1] for name in sum_spec}
+            prev_rn = int(out[rn_name].iat[n - 1]) if rn_name else 0
+            head_open = bool(head[-1])
+            pos += n
+            first_batch = False
+            yield out
+
+    return run
+
+
+def sequence_scan(df: DataFrame, order_by: list[str], group_by: list[str] | None = None,
+                  lag: dict[str, str] | None = None,
+                  running_sum: dict[str, str] | None = None,
+                  row_number: str | None = None,
+                  num_partitions: int | None = None) -> DataFrame:
+    """Add lag / running-sum / row-number columns computed over ``order_by`` within
+    ``group_by`` (all rows when None).
+
+    ``lag``: output name -> source column (value of the previous row of the group).
+    ``running_sum``: output name -> numeric source column (inclusive; nulls add 0).
+    ``row_number``: output name for the 1-based position within the group.
+    The output is range-partitioned and sorted by (group, order).
+    """
+    lag = dict(lag or {})
+    running_sum = dict(running_sum or {})
+    group_cols = list(group_by or [])
+    work = df
+    if not group_cols:
+        work = work.withColumn(_CONST, F.lit(0))
+        group_cols = [_CONST]
+    keys = group_cols + list(order_by)
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    ranged = (work.repartitionByRange(n, *keys)
+              .sortWithinPartitions(*keys)
+              .withColumn(_PID, F.spark_partition_id()))
+
+    fields = list(ranged.schema.fields)
+    src_type = {f.name: f.dataType for f in fields}
+    out_fields = fields + [T.StructField(_POS, T.LongType(), False),
+                           T.StructField(_HEAD, T.BooleanType(), False)]
+    out_fields += [T.StructField(name, src_type[src], True) for name, src in lag.items()]
+    sum_types = {name: (T.LongType() if isinstance(src_type[src], T.IntegralType)
+                        else T.DoubleType()) for name, src in running_sum.items()}
+    out_fields += [T.StructField(name, sum_types[name], True) for name in running_sum]
+    if row_number:
+        out_fields.append(T.StructField(row_number, T.LongType(), False))
+    local = ranged.mapInPandas(_local_scan(group_cols, lag, running_sum, row_number),
+                               schema=T.StructType(out_fields))
+
+    # One row per non-empty partition: bounded by ``n`` whatever the data size.
+    tail_cols = list(running_sum) + ([row_number] if row_number else [])
+    aggs = [F.min_by(F.struct(*group_cols), _POS).alias("first_key"),
+            F.max_by(F.struct(*group_cols), _POS).alias("last_key")]
+    if lag:
+        aggs.append(F.max_by(F.struct(*[F.col(s).alias(s) for s in set(lag.values())]),
+                             _POS).alias("last_vals"))
+    if tail_cols:
+        aggs.append(F.max_by(F.struct(*tail_cols), _POS).alias("last_tot"))
+    bounds = local.groupBy(_PID).agg(*aggs)
+
+    by_pid = Window.orderBy(_PID)
+    carry = bounds.withColumn("continues",
+                              F.coalesce(F.lag("last_key").over(by_pid) == F.col("first_key"),
+                                         F.lit(False)))
+    cols = [_PID, "continues"]
+    if lag:
+        carry = carry.withColumn("prev_vals", F.lag("last_vals").over(by_pid))
+        cols.append("prev_vals")
+    if tail_cols:
+        run = (Window.partitionBy("last_key").orderBy(_PID)
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        for c in tail_cols:
+            carry = carry.withColumn(f"cum_{c}", F.sum(F.col(f"last_tot.{c}")).over(run))
+        for c in tail_cols:
+            carry = carry.withColumn(f"carry_{c}", F.lag(f"cum_{c}").over(by_pid))
+            cols.append(f"carry_{c}")
+    carry = carry.select(*cols)
+
+    out = local.join(F.broadcast(carry), _PID, "left")
+    first_row = (F.col(_POS) == F.lit(0)) & F.col("continues")
+    carried = F.col(_HEAD) & F.col("continues")
+    for name, src in lag.items():
+        out = out.withColumn(name, F.when(first_row, F.col(f"prev_vals.{src}"))
+                             .otherwise(F.col(name)))
+    for c in tail_cols:
+        out = out.withColumn(c, F.col(c) + F.when(carried, F.col(f"carry_{c}"))
+                             .otherwise(F.lit(0)).cast(out.schema[c].dataType))
+    drop = [_PID, _POS, _HEAD, "continues"] + [c for c in cols if c.startswith("carry_")]
+    if lag:
+        drop.append("prev_vals")
+    if _CONST in out.columns:
+        drop.append(_CONST)
+    return out.drop(*drop)
