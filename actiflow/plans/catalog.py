@@ -10,35 +10,185 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from actiflow.operators import summaries
-from actiflow.operators.enrich import enrich
+from actiflow.functions import codecs, rules
+from actiflow.operators import history, ranking, summaries
+from actiflow.operators.enrich import enrich, parse_event_time, with_age_group
+from actiflow.plans import faults
 from actiflow.plans.activity import load_activity
+from actiflow.schemas import CSV_MESSAGE_FIELDS, EVENT_FIELDS
 from actiflow.session import apply_session_conf
 
 Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 
 
-def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    apply_session_conf(spark)
-    return enrich(load_activity(spark, sf_dir))
+def register(name: str):
+    def deco(fn: Query) -> Query:
+        QUERIES[name] = fn
+        return fn
+    return deco
 
 
-def q_activity(spark, sf_dir):
+def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     apply_session_conf(spark)
     return load_activity(spark, sf_dir)
 
 
-def q_enrich(spark, sf_dir):
-    return _enriched(spark, sf_dir)
+def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enrich(activity(spark, sf_dir))
+
+
+def kpi_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.kpi_history(summaries.batch_kpi(enriched(spark, sf_dir)))
+
+
+# --- mapping, rules, enrichment ------------------------------------------------
+register("activity")(activity)
+register("enrich")(enriched)
+
+
+@register("age_groups")
+def q_age_groups(spark, sf_dir):
+    return (with_age_group(activity(spark, sf_dir))
+            .groupBy("age_group").agg(F.count(F.lit(1)).alias("event_count")))
 
 
+@register("satisfaction_a")
+def q_satisfaction_a(spark, sf_dir):
+    return activity(spark, sf_dir).select(
+        "event_id", "average_rating", "days_since_last_purchase",
+        rules.satisfaction_a().alias("satisfaction_level"))
+
+
+@register("satisfaction_b")
+def q_satisfaction_b(spark, sf_dir):
+    return activity(spark, sf_dir).select(
+        "event_id", "average_rating", rules.satisfaction_b().alias("satisfaction_level"))
+
+
+# --- rollups -------------------------------------------------------------------
+@register("city_summary")
 def q_city_summary(spark, sf_dir):
-    return summaries.city_summary(_enriched(spark, sf_dir))
+    return summaries.city_summary(enriched(spark, sf_dir))
+
+
+@register("membership_summary")
+def q_membership_summary(spark, sf_dir):
+    return summaries.membership_summary(enriched(spark, sf_dir))
+
+
+@register("customer_segments")
+def q_customer_segments(spark, sf_dir):
+    return summaries.customer_segments(with_age_group(activity(spark, sf_dir)))
+
+
+@register("city_segments")
+def q_city_segments(spark, sf_dir):
+    return summaries.city_segments(activity(spark, sf_dir))
+
+
+@register("batch_kpi")
+def q_batch_kpi(spark, sf_dir):
+    return summaries.batch_kpi(enriched(spark, sf_dir))
+
+
+# --- rankings, history ---------------------------------------------------------
+@register("at_risk_ranked")
+def q_at_risk_ranked(spark, sf_dir):
+    return ranking.at_risk_ranked(enriched(spark, sf_dir))
+
+
+@register("at_risk_classic")
+def q_at_risk_classic(spark, sf_dir):
+    return ranking.at_risk_classic(activity(spark, sf_dir))
+
+
+@register("top_at_risk")
+def q_top_at_risk(spark, sf_dir):
+    return ranking.top_at_risk(enriched(spark, sf_dir), 10)
+
+
+@register("ordered_events")
+def q_ordered_events(spark, sf_dir):
+    return ranking.ordered_events(enriched(spark, sf_dir))
+
+
+@register("latest_events")
+def q_latest_events(spark, sf_dir):
+    ev = enriched(spark, sf_dir)
+    return ranking.latest_events(ev, 10).select(*ev.columns)
+
+
+register("kpi_history")(kpi_history)
+
+
+@register("recent_kpis")
+def q_recent_kpis(spark, sf_dir):
+    return ranking.recent_kpis(kpi_history(spark, sf_dir), 8)
+
+
+@register("latest_kpi")
+def q_latest_kpi(spark, sf_dir):
+    return ranking.latest_kpi(kpi_history(spark, sf_dir))
+
+
+# --- codecs --------------------------------------------------------------------
+def _variants(flag, key, true_words, false_words):
+    pick = (key % len(true_words)).cast("int") + 1
+    return (F.when(flag.isNull(), F.lit(None).cast("string"))
+            .when(flag, F.element_at(F.array(*[F.lit(w) for w in true_words]), pick))
+            .otherwise(F.element_at(F.array(*[F.lit(w) for w in false_words]), pick)))
+
+
+# Text spellings used to exercise the tolerant boolean parser.
+BOOL_TRUE_TEXT = ("TRUE", " yes ", "1", "Y")
+BOOL_FALSE_TEXT = ("FALSE", "no", "0", "n")
+
+
+@register("parse_bool")
+def q_parse_bool(spark, sf_dir):
+    text = _variants(F.col("discount_applied"), F.col("o_orderkey"), BOOL_TRUE_TEXT, BOOL_FALSE_TEXT)
+    return (activity(spark, sf_dir)
+            .select("event_id", text.alias("discount_text"))
+            .withColumn("discount_applied", rules.parse_bool("discount_text")))
+
+
+@register("encode_json")
+def q_encode_json(spark, sf_dir):
+    frame = codecs.encode_json(activity(spark, sf_dir), key="event_id")
+    return frame.select(F.col("key").cast("string").alias("event_id"),
+                        F.col("value").cast("string").alias("value"))
+
+
+@register("decode_json")
+def q_decode_json(spark, sf_dir):
+    frame = codecs.encode_json(activity(spark, sf_dir), key="event_id")
+    decoded = codecs.decode_json(frame)
+    return decoded.withColumn("event_time", parse_event_time("event_time")).select(*EVENT_FIELDS)
+
+
+@register("encode_csv")
+def q_encode_csv(spark, sf_dir):
+    ev = activity(spark, sf_dir)
+    return ev.select("event_id", codecs.csv_text(ev).alias("value"))
+
+
+@register("decode_csv")
+def q_decode_csv(spark, sf_dir):
+    frame = codecs.encode_csv(activity(spark, sf_dir))
+    return codecs.decode_csv(frame).select(*CSV_MESSAGE_FIELDS)
 
 
-QUERIES: dict[str, Query] = {
-    "activity": q_activity,
-    "enrich": q_enrich,
-    "city_summary": q_city_summary,
-}
+@register("valid_rejects")
+def q_valid_rejects(spark, sf_dir):
+    ev = activity(spark, sf_dir)
+    frame = ev.select(F.col("o_orderkey").alias("offset"),
+                      faults.damage(codecs.json_text(ev), F.col("o_orderkey"), F.col("event_id"))
+                      .cast("binary").alias("value"))
+    decoded = codecs.decode_json(frame, keep=["offset"])
+    decoded = decoded.withColumn("event_time", parse_event_time("event_time"))
+    checked = codecs.with_validity(decoded)
+    return checked.select("offset", "event_id",
+                          F.col("reject_reason").isNull().alias("is_valid"), "reject_reason")

@@ -82,11 +82,98 @@ def _q(body: str) -> str:
     return ACTIVITY_CTE + body
 
 
+EVENT_COLS = ("event_id, event_time, customer_id, gender, age, city, membership_type, "
+              "total_spend, items_purchased, average_rating, discount_applied, "
+              "days_since_last_purchase, satisfaction_level")
+AT_RISK_COLS = ("event_time, customer_id, city, membership_type, total_spend, average_rating, "
+                "days_since_last_purchase, satisfaction_level")
+RISK_ORDER = ("days_since_last_purchase DESC NULLS LAST, average_rating ASC NULLS FIRST, "
+              "customer_id ASC NULLS FIRST, event_time ASC NULLS FIRST, event_id ASC NULLS FIRST")
+SEGMENT_MEASURES = ("ROUND(AVG(total_spend), 2) AS avg_total_spend, "
+                    "CAST(SUM(items_purchased) AS BIGINT) AS total_items_purchased")
+JSON_EVENT = """to_json(struct_pack(
+    event_id := event_id, event_time := strftime(event_time, '%Y-%m-%dT%H:%M:%SZ'),
+    customer_id := customer_id, gender := gender, age := age, city := city,
+    membership_type := membership_type, total_spend := total_spend,
+    items_purchased := items_purchased, average_rating := average_rating,
+    discount_applied := discount_applied, days_since_last_purchase := days_since_last_purchase,
+    satisfaction_level := satisfaction_level))"""
+
+
+def _csv(cols: list[str]) -> str:
+    return "concat_ws(',', " + ", ".join(f"COALESCE(CAST({c} AS VARCHAR), '')" for c in cols) + ")"
+
+
+CSV_COLS = ["customer_id", "gender", "age", "city", "membership_type", "total_spend",
+            "items_purchased", "average_rating", "discount_applied", "days_since_last_purchase",
+            "satisfaction_level"]
+
 ORACLES: dict[str, str] = {
     "activity": _q("SELECT * FROM activity"),
     "enrich": _q("SELECT * FROM enriched"),
+    "age_groups": _q("SELECT age_group, COUNT(*) AS event_count FROM aged GROUP BY age_group"),
+    "satisfaction_a": _q("""
+SELECT event_id, average_rating, days_since_last_purchase,
+       CASE WHEN average_rating >= 4.3 AND days_since_last_purchase <= 28 THEN 'Satisfied'
+            WHEN average_rating < 3.7 OR days_since_last_purchase > 38 THEN 'Unsatisfied'
+            ELSE 'Neutral' END AS satisfaction_level
+FROM activity"""),
+    "satisfaction_b": _q("""
+SELECT event_id, average_rating,
+       CASE WHEN average_rating > 4.0 THEN 'Satisfied' WHEN average_rating = 4.0 THEN 'Neutral'
+            ELSE 'Unsatisfied' END AS satisfaction_level
+FROM activity"""),
     "city_summary": _q("""
 SELECT city, COUNT(*) AS event_count, ROUND(AVG(total_spend), 2) AS avg_total_spend,
        CAST(SUM(items_purchased) AS BIGINT) AS total_items_purchased
 FROM enriched GROUP BY city"""),
+    "membership_summary": _q("""
+SELECT membership_type, COUNT(*) AS event_count, ROUND(AVG(total_spend), 2) AS avg_total_spend,
+       ROUND(AVG(average_rating), 2) AS avg_rating,
+       CAST(SUM(high_value_order) AS BIGINT) AS high_value_orders
+FROM enriched GROUP BY membership_type"""),
+    "customer_segments": _q(f"""
+SELECT membership_type, age_group, city, {SEGMENT_MEASURES}
+FROM aged GROUP BY membership_type, age_group, city"""),
+    "city_segments": _q(f"SELECT city, {SEGMENT_MEASURES} FROM activity GROUP BY city"),
+    "batch_kpi": _q("SELECT * FROM kpi"),
+    "at_risk_ranked": _q(f"SELECT {AT_RISK_COLS} FROM enriched WHERE is_at_risk"),
+    "at_risk_classic": _q("""
+SELECT customer_id, city, total_spend, days_since_last_purchase, satisfaction_level
+FROM activity WHERE days_since_last_purchase > 30 AND satisfaction_level = 'Unsatisfied'"""),
+    "top_at_risk": _q(f"""
+SELECT {AT_RISK_COLS} FROM enriched WHERE is_at_risk ORDER BY {RISK_ORDER} LIMIT 10"""),
+    "ordered_events": _q("SELECT * FROM enriched"),
+    "latest_events": _q("""
+SELECT * FROM enriched WHERE batch_id = (SELECT MAX(batch_id) FROM enriched)
+ORDER BY event_time ASC NULLS FIRST, event_id ASC NULLS FIRST LIMIT 10"""),
+    "kpi_history": _q("SELECT * FROM kpi_history"),
+    "recent_kpis": _q("SELECT * FROM kpi_history ORDER BY batch_id DESC LIMIT 8"),
+    "latest_kpi": _q("SELECT * FROM kpi_history ORDER BY batch_id DESC LIMIT 1"),
+    "parse_bool": _q("""
+, t AS (
+  SELECT event_id,
+         CASE WHEN discount_applied IS NULL THEN NULL
+              WHEN discount_applied THEN (['TRUE', ' yes ', '1', 'Y'])[1 + CAST(o_orderkey % 4 AS INTEGER)]
+              ELSE (['FALSE', 'no', '0', 'n'])[1 + CAST(o_orderkey % 4 AS INTEGER)] END AS discount_text
+  FROM activity)
+SELECT event_id, discount_text,
+       COALESCE(lower(trim(discount_text)) IN ('1', 'true', 'yes', 'y'), FALSE) AS discount_applied
+FROM t"""),
+    "encode_json": _q(f"SELECT event_id, CAST({JSON_EVENT} AS VARCHAR) AS value FROM activity"),
+    "decode_json": _q(f"SELECT {EVENT_COLS} FROM activity"),
+    "encode_csv": _q(f"SELECT event_id, {_csv(CSV_COLS)} AS value FROM activity"),
+    "decode_csv": _q("""
+SELECT customer_id, gender, age, city, membership_type, CAST(total_spend AS FLOAT) AS total_spend,
+       items_purchased, CAST(average_rating AS FLOAT) AS average_rating, discount_applied,
+       days_since_last_purchase, satisfaction_level
+FROM activity"""),
+    "valid_rejects": _q("""
+SELECT o_orderkey AS "offset",
+       CASE WHEN o_orderkey % 50 IN (7, 37) THEN NULL ELSE event_id END AS event_id,
+       o_orderkey % 50 NOT IN (7, 17, 27, 37) AS is_valid,
+       CASE WHEN o_orderkey % 50 IN (7, 37) THEN 'missing event_id'
+            WHEN o_orderkey % 50 = 27 THEN 'missing event_time'
+            WHEN o_orderkey % 50 = 17 THEN 'missing customer_id' END AS reject_reason
+FROM activity"""),
 }
