@@ -134,14 +134,20 @@ def sequence_scan(df: DataFrame, order_by: list[str], group_by: list[str] | None
 
     fields = list(ranged.schema.fields)
     src_type = {f.name: f.dataType for f in fields}
-    out_fields = fields + [T.StructField(_POS, T.LongType(), False),
-                           T.StructField(_HEAD, T.BooleanType(), False)]
-    out_fields += [T.StructField(name, src_type[src], True) for name, src in lag.items()]
     sum_types = {name: (T.LongType() if isinstance(src_type[src], T.IntegralType)
                         else T.DoubleType()) for name, src in running_sum.items()}
-    out_fields += [T.StructField(name, sum_types[name], True) for name in running_sum]
+    added = [(name, src_type[src]) for name, src in lag.items()]
+    added += [(name, sum_types[name]) for name in running_sum]
     if row_number:
-        out_fields.append(T.StructField(row_number, T.LongType(), False))
+        added.append((row_number, T.LongType()))
+    replaced = {name: dtype for name, dtype in added if name in src_type}
+    if set(replaced) & (set(keys) | set(lag)):
+        raise ValueError("lag outputs and the sort key may not overwrite existing columns")
+    out_fields = [T.StructField(f.name, replaced.get(f.name, f.dataType), True) for f in fields]
+    out_fields += [T.StructField(_POS, T.LongType(), False),
+                   T.StructField(_HEAD, T.BooleanType(), False)]
+    out_fields += [T.StructField(name, dtype, True) for name, dtype in added
+                   if name not in replaced]
     local = ranged.mapInPandas(_local_scan(group_cols, lag, running_sum, row_number),
                                schema=T.StructType(out_fields))
 

@@ -15,10 +15,20 @@ from pyspark.sql import functions as F
 from actiflow.functions import codecs, rules
 from actiflow.operators import history, ranking, summaries
 from actiflow.operators.enrich import enrich, parse_event_time, with_age_group
-from actiflow.plans import faults
+from actiflow.operators.scan import sequence_scan
+from actiflow.operators.upsert import latest_per_key
+from actiflow.operators.windows import dedup_events, window_kpis
+from actiflow.plans import faults, reports
 from actiflow.plans.activity import load_activity
+from actiflow.plans.synth import synth_events, synth_messages
 from actiflow.schemas import CSV_MESSAGE_FIELDS, EVENT_FIELDS
-from actiflow.session import apply_session_conf
+from actiflow.session import apply_session_conf, work_root
+from actiflow.sinks.store import ResultStore
+from actiflow.sources.events import SourceSpec, read_events
+from actiflow.sources.tables import read_table
+from actiflow.streaming.processor import kpi_history_view, start_event_query
+from actiflow.streaming.replay import BATCH_FIELD, write_event_files
+from actiflow.streaming.segments import current_segments, start_segment_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -192,3 +202,132 @@ def q_valid_rejects(spark, sf_dir):
     checked = codecs.with_validity(decoded)
     return checked.select("offset", "event_id",
                           F.col("reject_reason").isNull().alias("is_valid"), "reject_reason")
+
+
+# --- streaming (file replay of the activity table, availableNow trigger) -------
+def _replay(spark: SparkSession, sf_dir: str, purpose: str):
+    """Write the activity events as JSON files partitioned by producer batch and
+    return (root, stream of decoded events). Folders are fresh per run."""
+    root = work_root(spark, purpose)
+    write_event_files(activity(spark, sf_dir), f"{root}/input")
+    spec = SourceSpec(kind="files", path=f"{root}/input", max_files_per_trigger=8,
+                      extra_fields=[BATCH_FIELD])
+    return root, read_events(spark, spec, streaming=True)
+
+
+def _run_event_stream(spark: SparkSession, sf_dir: str, purpose: str) -> ResultStore:
+    root, stream = _replay(spark, sf_dir, purpose)
+    store = ResultStore(spark, f"{root}/store")
+    query = start_event_query(enrich(stream), store, f"{root}/checkpoint", available_now=True)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    return store
+
+
+@register("stream_events")
+def q_stream_events(spark, sf_dir):
+    store = _run_event_stream(spark, sf_dir, "stream_events")
+    return store.read("events").select(*EVENT_FIELDS, "batch_id", "is_at_risk", "high_value_order")
+
+
+@register("stream_kpis")
+def q_stream_kpis(spark, sf_dir):
+    return kpi_history_view(_run_event_stream(spark, sf_dir, "stream_kpis"))
+
+
+def _run_segment_streams(spark, sf_dir, purpose) -> ResultStore:
+    root, stream = _replay(spark, sf_dir, purpose)
+    store = ResultStore(spark, f"{root}/store")
+    queries = start_segment_queries(stream, store, f"{root}/checkpoint", available_now=True)
+    for q in queries:
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+    return store
+
+
+@register("stream_segments")
+def q_stream_segments(spark, sf_dir):
+    return current_segments(_run_segment_streams(spark, sf_dir, "stream_segments"),
+                            "customer_segments")
+
+
+@register("stream_city_segments")
+def q_stream_city_segments(spark, sf_dir):
+    return current_segments(_run_segment_streams(spark, sf_dir, "stream_city_segments"),
+                            "city_segments")
+
+
+# --- additions: upsert twin, de-duplication, event-time windows -----------------
+@register("segment_upsert")
+def q_segment_upsert(spark, sf_dir):
+    """Batch twin of update mode: each producer batch emits the running segment
+    values of the groups it touched; the latest version per group is the
+    current segment table."""
+    keys = ["membership_type", "age_group", "city"]
+    per_batch = (with_age_group(activity(spark, sf_dir))
+                 .groupBy(*keys, "batch_id")
+                 .agg(F.sum("total_spend").alias("s_spend"),
+                      F.count("total_spend").alias("n_spend"),
+                      F.sum("items_purchased").cast("long").alias("s_items"),
+                      F.count("items_purchased").alias("n_items")))
+    updates = sequence_scan(per_batch, order_by=["batch_id"], group_by=keys,
+                            running_sum={"s_spend": "s_spend", "n_spend": "n_spend",
+                                         "s_items": "s_items", "n_items": "n_items"})
+    updates = updates.select(
+        *keys, "batch_id",
+        F.round(F.when(F.col("n_spend") > 0, F.col("s_spend") / F.col("n_spend")), 2)
+        .alias("avg_total_spend"),
+        F.when(F.col("n_items") > 0, F.col("s_items")).alias("total_items_purchased"))
+    return latest_per_key(updates, keys, "batch_id")
+
+
+@register("dedup_events")
+def q_dedup_events(spark, sf_dir):
+    """Every event delivered twice (at-least-once replay); one copy survives."""
+    ev = activity(spark, sf_dir).select(*EVENT_FIELDS)
+    return dedup_events(ev.unionByName(ev), "event_id")
+
+
+@register("window_kpis")
+def q_window_kpis(spark, sf_dir):
+    apply_session_conf(spark)
+    return window_kpis(read_table(spark, sf_dir, "events", ["ts", "event_type", "value"]))
+
+
+# --- synthesis -----------------------------------------------------------------
+@register("synth_events")
+def q_synth_events(spark, sf_dir):
+    """Seed = the activity table with a dense row number (skew-proof scan); one
+    synthetic event per seed row."""
+    seed = sequence_scan(activity(spark, sf_dir), order_by=["o_orderkey"], row_number="_rn")
+    seed = seed.withColumn("row_no", F.col("_rn") - 1).drop("_rn")
+    return synth_events(seed, seed.select((F.col("row_no") + 1).alias("i")))
+
+
+@register("synth_messages")
+def q_synth_messages(spark, sf_dir):
+    apply_session_conf(spark)
+    ids = read_table(spark, sf_dir, "events", ["event_id"])
+    return synth_messages(ids.select((F.col("event_id") + 1).alias("i")))
+
+
+# --- reports (from the batch results) ------------------------------------------
+@register("report_cards")
+def q_report_cards(spark, sf_dir):
+    return reports.report_cards(kpi_history(spark, sf_dir))
+
+
+@register("report_bars")
+def q_report_bars(spark, sf_dir):
+    ev = enriched(spark, sf_dir)
+    return reports.report_bars(summaries.city_summary(ev), summaries.membership_summary(ev))
+
+
+@register("report_summary")
+def q_report_summary(spark, sf_dir):
+    ev = enriched(spark, sf_dir)
+    return reports.report_summary(history.kpi_history(summaries.batch_kpi(ev)),
+                                  summaries.city_summary(ev), summaries.membership_summary(ev),
+                                  ranking.at_risk_ranked(ev))

@@ -177,3 +177,133 @@ SELECT o_orderkey AS "offset",
             WHEN o_orderkey % 50 = 17 THEN 'missing customer_id' END AS reject_reason
 FROM activity"""),
 }
+
+
+# --- streaming twins, additions, synthesis, reports -----------------------------
+def _u(tag: str, idx: str = "i", seed: int = 42) -> str:
+    """SQL twin of ``functions.hashing.uniform``."""
+    return (f"(CAST(('0x' || substr(md5('{seed}:' || CAST({idx} AS VARCHAR) || ':{tag}'), 1, 8))"
+            f" AS BIGINT) / 4294967296.0)")
+
+
+def _between(tag: str, lo: float, hi: float) -> str:
+    return f"(CAST({lo!r} AS DOUBLE) + {_u(tag)} * CAST({hi - lo!r} AS DOUBLE))"
+
+
+def _randint(tag: str, lo: int, hi: int) -> str:
+    return f"CAST({lo} + FLOOR({_u(tag)} * {hi - lo + 1}) AS INTEGER)"
+
+
+def _pick(tag: str, options: list[str]) -> str:
+    arr = "[" + ", ".join(f"'{o}'" for o in options) + "]"
+    return f"({arr})[CAST(FLOOR({_u(tag)} * {len(options)}) AS INTEGER) + 1]"
+
+
+def _keep_null(x: str, expr: str) -> str:
+    return f"CASE WHEN {x} IS NULL THEN NULL ELSE {expr} END"
+
+
+_SYNTH_EVENTS = f"""
+, seed AS (SELECT *, ROW_NUMBER() OVER (ORDER BY o_orderkey) - 1 AS row_no FROM activity),
+n AS (SELECT COUNT(*) AS n FROM seed),
+picks AS (SELECT row_no + 1 AS i FROM seed),
+picked AS (SELECT p.i, CAST(FLOOR({_u('pick', 'p.i')} * n.n) AS BIGINT) AS row_no
+           FROM picks p, n),
+m AS (
+  SELECT k.i, s.customer_id, s.gender, s.city, s.membership_type,
+         ROUND(s.total_spend + {_between('spend', -90.0, 140.0)}, 2) AS spend_r,
+         ROUND(s.average_rating + {_between('rating', -0.4, 0.5)}, 1) AS rating_r,
+         s.items_purchased + {_randint('items', -2, 3)} AS items_r,
+         s.days_since_last_purchase + {_randint('days', -6, 8)} AS days_r,
+         s.age + {_randint('age', -1, 1)} AS age_r,
+         s.discount_applied <> ({_u('flip')} < 0.25) AS discount_applied,
+         CAST(FLOOR((k.i - 1) / 20) + 1 AS INTEGER) AS batch_no
+  FROM picked k JOIN seed s ON k.row_no = s.row_no),
+f AS (
+  SELECT printf('evt-%06d', i) AS event_id,
+         TIMESTAMP '2024-01-01 00:00:00' + to_seconds((batch_no - 1) * 5) AS event_time,
+         customer_id, gender,
+         {_keep_null('age_r', 'GREATEST(18, LEAST(70, age_r))')} AS age,
+         city, membership_type,
+         {_keep_null('spend_r', 'GREATEST(CAST(120.0 AS DOUBLE), spend_r)')} AS total_spend,
+         {_keep_null('items_r', 'GREATEST(1, items_r)')} AS items_purchased,
+         {_keep_null('rating_r', 'GREATEST(CAST(2.8 AS DOUBLE), LEAST(CAST(5.0 AS DOUBLE), rating_r))')}
+           AS average_rating,
+         discount_applied,
+         {_keep_null('days_r', 'GREATEST(1, days_r)')} AS days_since_last_purchase,
+         batch_no
+  FROM m)
+SELECT event_id, event_time, customer_id, gender, age, city, membership_type, total_spend,
+       items_purchased, average_rating, discount_applied, days_since_last_purchase,
+       CASE WHEN average_rating >= 4.3 AND days_since_last_purchase <= 28 THEN 'Satisfied'
+            WHEN average_rating < 3.7 OR days_since_last_purchase > 38 THEN 'Unsatisfied'
+            ELSE 'Neutral' END AS satisfaction_level,
+       batch_no
+FROM f"""
+
+_SYNTH_MESSAGES = f"""
+WITH idx AS (SELECT event_id + 1 AS i FROM events),
+r AS (SELECT i, ROUND({_between('rating', 3.0, 4.7)}, 1) AS average_rating FROM idx)
+SELECT i,
+       {_randint('customer', 101, 999)} AS customer_id,
+       {_pick('gender', ['Male', 'Female'])} AS gender,
+       {_randint('age', 18, 65)} AS age,
+       {_pick('city', ['New York', 'Los Angeles', 'Chicago', 'San Francisco', 'Miami', 'Houston'])}
+         AS city,
+       {_pick('tier', ['Gold', 'Silver', 'Bronze'])} AS membership_type,
+       ROUND({_between('spend', 400.0, 1500.0)}, 2) AS total_spend,
+       {_randint('items', 8, 19)} AS items_purchased,
+       average_rating,
+       {_u('discount')} < 0.5 AS discount_applied,
+       {_randint('days', 12, 55)} AS days_since_last_purchase,
+       CASE WHEN average_rating > 4.0 THEN 'Satisfied' WHEN average_rating = 4.0 THEN 'Neutral'
+            ELSE 'Unsatisfied' END AS satisfaction_level
+FROM r"""
+
+_LAST_KPI = ", last AS (SELECT * FROM kpi_history ORDER BY batch_id DESC LIMIT 1)\n"
+
+_BARS = """
+, cs AS (SELECT city AS label, ROUND(AVG(total_spend), 2) AS value FROM enriched
+         GROUP BY city ORDER BY city ASC NULLS FIRST LIMIT 8),
+ms AS (SELECT membership_type AS label, CAST(COUNT(*) AS DOUBLE) AS value FROM enriched
+       GROUP BY membership_type ORDER BY membership_type ASC NULLS FIRST LIMIT 8)
+SELECT 'avg_spend_by_city' AS chart, label, value, printf('%.2f', value) AS value_text,
+       ROUND(GREATEST(CAST(6.0 AS DOUBLE),
+             value / GREATEST((SELECT MAX(value) FROM cs), CAST(1.0 AS DOUBLE)) * 100.0), 1) AS width
+FROM cs
+UNION ALL
+SELECT 'events_by_membership', label, value, CAST(CAST(value AS BIGINT) AS VARCHAR),
+       ROUND(GREATEST(CAST(6.0 AS DOUBLE),
+             value / GREATEST((SELECT MAX(value) FROM ms), CAST(1.0 AS DOUBLE)) * 100.0), 1)
+FROM ms"""
+
+ORACLES.update({
+    "stream_events": _q(f"SELECT {EVENT_COLS}, batch_id, is_at_risk, high_value_order FROM enriched"),
+    "stream_kpis": ORACLES["kpi_history"],
+    "stream_segments": ORACLES["customer_segments"],
+    "stream_city_segments": ORACLES["city_segments"],
+    "segment_upsert": ORACLES["customer_segments"],
+    "dedup_events": ORACLES["decode_json"],
+    "window_kpis": """
+SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end,
+       event_type, COUNT(*) AS event_count, ROUND(SUM(value), 2) AS total_value
+FROM events GROUP BY ALL""",
+    "synth_events": _q(_SYNTH_EVENTS),
+    "synth_messages": _SYNTH_MESSAGES,
+    "report_cards": _q(_LAST_KPI + """
+SELECT 1 AS position, 'Processed Batches' AS card, CAST(processed_batches AS VARCHAR) AS value FROM last
+UNION ALL SELECT 2, 'Total Events', CAST(cumulative_event_count AS VARCHAR) FROM last
+UNION ALL SELECT 3, 'Latest Revenue', printf('%.2f', total_revenue) FROM last
+UNION ALL SELECT 4, 'At-Risk Customers', CAST(at_risk_count AS VARCHAR) FROM last"""),
+    "report_bars": _q(_BARS),
+    "report_summary": _q(_LAST_KPI + """
+SELECT 'processed_batches' AS metric, CAST(processed_batches AS DOUBLE) AS value FROM last
+UNION ALL SELECT 'total_events', CAST(cumulative_event_count AS DOUBLE) FROM last
+UNION ALL SELECT 'latest_revenue', total_revenue FROM last
+UNION ALL SELECT 'latest_avg_spend', avg_spend FROM last
+UNION ALL SELECT 'latest_at_risk', CAST(at_risk_count AS DOUBLE) FROM last
+UNION ALL SELECT 'cities', CAST(COUNT(*) AS DOUBLE) FROM (SELECT city FROM enriched GROUP BY city)
+UNION ALL SELECT 'membership_groups', CAST(COUNT(*) AS DOUBLE)
+          FROM (SELECT membership_type FROM enriched GROUP BY membership_type)
+UNION ALL SELECT 'at_risk_records', CAST(COUNT(*) AS DOUBLE) FROM enriched WHERE is_at_risk"""),
+})
