@@ -11,7 +11,8 @@ When one key may hold a third of all rows, both are stragglers at scale.
 2. scan each partition once, in order, with an Arrow-batched ``mapInPandas``
    (local lag / running sum / row number, restarting at group changes);
 3. summarise each partition in one row (first key, last key, last values and
-   running totals of its last group) - a table bounded by the partition count;
+   running totals of its last group) with JVM aggregates - a table bounded by
+   the partition count;
 4. fold that table with small windows and broadcast it back on the partition
    id to carry values across partition boundaries.
 
@@ -29,6 +30,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from actiflow.session import checkpoint_dir
+
 _PID, _POS, _HEAD, _CONST = "_scan_pid", "_scan_pos", "_scan_head", "_scan_group"
 
 
@@ -104,19 +107,63 @@ def _local_scan(group_cols, lag_spec, sum_spec, rn_name):
     return run
 
 
+def heavy_group_share(df: DataFrame, group_by: list[str], fraction: float = 0.05,
+                      seed: int = 17) -> float:
+    """Share of the largest group in a sample of the rows (0 for an empty sample)."""
+    sample = df.select(*group_by).sample(fraction=fraction, seed=seed)
+    row = (sample.groupBy(*group_by).count()
+           .agg(F.max("count").alias("top"), F.sum("count").alias("total")).first())
+    if row is None or not row["total"]:
+        return 0.0
+    return row["top"] / row["total"]
+
+
+def _window_scan(df: DataFrame, order_by: list[str], group_by: list[str], lag: dict,
+                 running_sum: dict, row_number: str | None) -> DataFrame:
+    """Same outputs with plain window functions (one hash shuffle on the group)."""
+    w = Window.partitionBy(*group_by).orderBy(*order_by)
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    exprs = [F.lag(src).over(w).alias(name) for name, src in lag.items()]
+    for name, src in running_sum.items():
+        dtype = "long" if isinstance(df.schema[src].dataType, T.IntegralType) else "double"
+        exprs.append(F.sum(F.coalesce(F.col(src), F.lit(0))).over(run).cast(dtype).alias(name))
+    if row_number:
+        exprs.append(F.row_number().over(w).cast("long").alias(row_number))
+    outputs = set(lag) | set(running_sum) | ({row_number} if row_number else set())
+    return df.select(*[c for c in df.columns if c not in outputs], *exprs)
+
+
 def sequence_scan(df: DataFrame, order_by: list[str], group_by: list[str] | None = None,
                   lag: dict[str, str] | None = None,
                   running_sum: dict[str, str] | None = None,
                   row_number: str | None = None,
-                  num_partitions: int | None = None) -> DataFrame:
+                  num_partitions: int | None = None,
+                  strategy: str = "auto") -> DataFrame:
     """Add lag / running-sum / row-number columns computed over ``order_by`` within
     ``group_by`` (all rows when None).
 
     ``lag``: output name -> source column (value of the previous row of the group).
     ``running_sum``: output name -> numeric source column (inclusive; nulls add 0).
     ``row_number``: output name for the 1-based position within the group.
-    The output is range-partitioned and sorted by (group, order).
+
+    ``strategy``: "scan" (range-partitioned, skew-proof), "window" (plain window
+    functions, one hash shuffle on the group) or "auto": the window when a
+    sample shows no group larger than one partition's share, the scan
+    otherwise, and always the scan without groups (a window without
+    ``partitionBy`` runs in one task). Both give the same rows.
     """
+    if strategy not in ("auto", "scan", "window"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if strategy == "auto":
+        strategy = "scan"
+        if group_by and heavy_group_share(df, list(group_by)) <= 1.0 / max(n, 1):
+            strategy = "window"
+    if strategy == "window":
+        if not group_by:
+            raise ValueError("the window strategy needs groups (no single-task windows)")
+        return _window_scan(df, list(order_by), list(group_by), dict(lag or {}),
+                            dict(running_sum or {}), row_number)
     lag = dict(lag or {})
     running_sum = dict(running_sum or {})
     group_cols = list(group_by or [])
@@ -125,11 +172,16 @@ def sequence_scan(df: DataFrame, order_by: list[str], group_by: list[str] | None
         work = work.withColumn(_CONST, F.lit(0))
         group_cols = [_CONST]
     keys = group_cols + list(order_by)
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
+    # Range boundaries are sampled per exchange, and the sample depends on row
+    # order after earlier shuffles; two evaluations could place a row in
+    # different partitions. A reliable checkpoint (in the shared
+    # spark.checkpoint.dir) fixes partition identity for the boundary table and
+    # the per-partition pass alike, and cuts the lineage for executor loss.
+    checkpoint_dir(df.sparkSession)
     ranged = (work.repartitionByRange(n, *keys)
               .sortWithinPartitions(*keys)
+              .checkpoint(eager=True)
               .withColumn(_PID, F.spark_partition_id()))
 
     fields = list(ranged.schema.fields)
@@ -152,15 +204,24 @@ def sequence_scan(df: DataFrame, order_by: list[str], group_by: list[str] | None
                                schema=T.StructType(out_fields))
 
     # One row per non-empty partition: bounded by ``n`` whatever the data size.
+    # Computed with JVM aggregates from the same range exchange (reused, not
+    # re-shuffled), so the Python pass runs once.
+    grp = F.struct(*group_cols)
     tail_cols = list(running_sum) + ([row_number] if row_number else [])
-    aggs = [F.min_by(F.struct(*group_cols), _POS).alias("first_key"),
-            F.max_by(F.struct(*group_cols), _POS).alias("last_key")]
+    aggs = [F.min(grp).alias("first_key"), F.max(grp).alias("last_key")]
     if lag:
-        aggs.append(F.max_by(F.struct(*[F.col(s).alias(s) for s in set(lag.values())]),
-                             _POS).alias("last_vals"))
+        aggs.append(F.max_by(F.struct(*[F.col(s).alias(s) for s in sorted(set(lag.values()))]),
+                             F.struct(*keys)).alias("last_vals"))
+    bounds = ranged.groupBy(_PID).agg(*aggs)
     if tail_cols:
-        aggs.append(F.max_by(F.struct(*tail_cols), _POS).alias("last_tot"))
-    bounds = local.groupBy(_PID).agg(*aggs)
+        group_tot = [F.sum(F.coalesce(F.col(src), F.lit(0))).cast(sum_types[name]).alias(name)
+                     for name, src in running_sum.items()]
+        if row_number:
+            group_tot.append(F.count(F.lit(1)).alias(row_number))
+        tails = (ranged.groupBy(_PID, grp.alias("_grp")).agg(*group_tot)
+                 .groupBy(_PID)
+                 .agg(F.max_by(F.struct(*tail_cols), "_grp").alias("last_tot")))
+        bounds = bounds.join(tails, _PID)
 
     by_pid = Window.orderBy(_PID)
     carry = bounds.withColumn("continues",

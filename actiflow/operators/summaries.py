@@ -75,6 +75,43 @@ def batch_kpi(enriched: DataFrame, batch_col: str = "batch_id") -> DataFrame:
             .agg(*kpi_measures()))
 
 
+def kpi_partials(enriched: DataFrame, batch_col: str = "batch_id") -> DataFrame:
+    """Mergeable KPI state per batch: counts and sums only (no means, no rounding).
+
+    Partials of the same batch from different micro-batches are combined by
+    ``merge_kpi_partials``; the result does not depend on how a batch's events
+    were split over micro-batches.
+    """
+    return (enriched.groupBy(F.col(batch_col).cast("long").alias("batch_id"))
+            .agg(F.count(F.lit(1)).alias("event_count"),
+                 F.sum("total_spend").alias("spend_sum"),
+                 F.count("total_spend").alias("spend_n"),
+                 F.sum("average_rating").alias("rating_sum"),
+                 F.count("average_rating").alias("rating_n"),
+                 count_true("discount_applied").alias("discounted_orders"),
+                 F.sum("high_value_order").cast("long").alias("high_value_orders"),
+                 count_true("is_at_risk").alias("at_risk_count")))
+
+
+def merge_kpi_partials(parts: DataFrame) -> DataFrame:
+    """Combine partials into one KPI row per batch (same columns as ``batch_kpi``)."""
+    m = (parts.groupBy(F.col("batch_id").cast("long").alias("batch_id"))
+         .agg(F.sum("event_count").cast("long").alias("event_count"),
+              F.sum("spend_sum").alias("spend_sum"), F.sum("spend_n").alias("spend_n"),
+              F.sum("rating_sum").alias("rating_sum"), F.sum("rating_n").alias("rating_n"),
+              F.sum("discounted_orders").cast("long").alias("discounted_orders"),
+              F.sum("high_value_orders").cast("long").alias("high_value_orders"),
+              F.sum("at_risk_count").cast("long").alias("at_risk_count")))
+    return m.select(
+        "batch_id", "event_count",
+        F.round(F.col("spend_sum"), 2).alias("total_revenue"),
+        F.round(F.when(F.col("spend_n") > 0, F.col("spend_sum") / F.col("spend_n")), 2)
+        .alias("avg_spend"),
+        F.round(F.when(F.col("rating_n") > 0, F.col("rating_sum") / F.col("rating_n")), 2)
+        .alias("avg_rating"),
+        "discounted_orders", "high_value_orders", "at_risk_count")
+
+
 def kpi_row(batch: DataFrame, batch_id: int) -> DataFrame:
     """The KPI row of one micro-batch (global aggregate, one row)."""
     return batch.agg(*kpi_measures()).select(F.lit(batch_id).cast("long").alias("batch_id"), "*")

@@ -6,14 +6,16 @@ Spark writer running on executors, and every write replaces partitions keyed
 by the epoch (and the producer's batch number), so replaying an epoch after a
 failure rewrites the same files instead of duplicating rows.
 
-Layout under the store root:
-  events/batch_id=B/epoch=E     valid enriched events
-  rejects/epoch=E               rows with a missing key, with ``reject_reason``
-  city_summary/epoch=E          per-micro-batch snapshots (reference "latest" files)
+Every table is partitioned by the epoch only (one new partition per
+micro-batch, bounded by the number of triggers, never by a data value):
+  events/epoch=E              valid enriched events (with the producer batch id)
+  rejects/epoch=E             rows with a missing key, with ``reject_reason``
+  city_summary/epoch=E        per-micro-batch snapshots (the reference's "latest" files)
   membership_summary/epoch=E
   at_risk/epoch=E
-  kpi/batch_id=B                KPI of each producer batch, recomputed from the
-                                stored events of that batch (written last)
+  kpi_parts/epoch=E           mergeable KPI partials per producer batch (written last)
+The KPI table is the merge of all partials per producer batch, so a batch
+whose events arrive in several micro-batches is still counted whole.
 """
 
 from __future__ import annotations
@@ -57,7 +59,7 @@ class EventBatchWriter:
         batch = batch.withColumn("epoch", F.lit(epoch).cast("long"))
         valid, rejects = split_valid(batch)
         store = self.store
-        store.write_partitions(valid, "events", [self.batch_col, "epoch"])
+        store.write_partitions(valid, "events", ["epoch"])
         store.write_partitions(rejects, "rejects", ["epoch"])
         if self.snapshots:
             tag = F.lit(epoch).cast("long").alias("epoch")
@@ -67,19 +69,19 @@ class EventBatchWriter:
                                    "membership_summary", ["epoch"])
             store.write_partitions(ranking.at_risk_ranked(valid).select(*AT_RISK_COLUMNS, tag),
                                    "at_risk", ["epoch"])
-        # KPI rows of the producer batches touched by this epoch, from everything
-        # stored for them so far (a batch split over epochs is still counted whole).
-        touched = valid.select(self.batch_col).distinct()
-        stored = store.read("events").join(F.broadcast(touched), self.batch_col, "left_semi")
-        kpi = (summaries.batch_kpi(stored, self.batch_col)
-               .withColumn("processed_at", F.current_timestamp()))
-        store.write_partitions(kpi, "kpi", ["batch_id"])
+        parts = summaries.kpi_partials(valid, self.batch_col)
+        store.write_partitions(parts.withColumn("epoch", F.lit(epoch).cast("long")),
+                               "kpi_parts", ["epoch"])
+
+
+def kpi_table(store: ResultStore) -> DataFrame:
+    """One KPI row per producer batch, merged from the stored partials."""
+    return summaries.merge_kpi_partials(store.read("kpi_parts"))
 
 
 def kpi_history_view(store: ResultStore) -> DataFrame:
     """KPI history with ordinal and running total, derived from stored rows."""
-    kpi = store.read("kpi").drop("processed_at")
-    return history.kpi_history(kpi.withColumn("batch_id", kpi["batch_id"].cast("long")))
+    return history.kpi_history(kpi_table(store))
 
 
 def event_query(enriched_stream: DataFrame, writer: EventBatchWriter, checkpoint: str,

@@ -15,7 +15,13 @@ from actiflow.functions.codecs import event_time_text
 from actiflow.schemas import EVENT_FIELDS
 
 
-def write_event_files(events: DataFrame, path: str, batch_col: str = "batch_id") -> None:
+def write_event_files(events: DataFrame, path: str, batch_col: str = "batch_id",
+                      num_files: int | None = None) -> None:
+    """JSON lines with the 13 event fields plus the producer batch number.
+
+    Range-partitioned on (batch, id): each file holds a contiguous run of
+    batches, and a batch with a third of all rows is still split over files.
+    """
     cols = []
     for name in EVENT_FIELDS:
         dtype = events.schema[name].dataType
@@ -23,13 +29,11 @@ def write_event_files(events: DataFrame, path: str, batch_col: str = "batch_id")
             cols.append(event_time_text(name).alias(name))
         else:
             cols.append(F.col(name))
+    n = num_files or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (events.select(*cols, F.col(batch_col).cast("int").alias(batch_col))
-     # Range (not hash) on (batch, id): few files per batch, and a batch holding
-     # a third of all rows is still split over many writer tasks.
-     .repartitionByRange(batch_col, "event_id")
+     .repartitionByRange(n, batch_col, "event_id")
      .write.mode("errorifexists")
      .option("ignoreNullFields", "false")
-     .partitionBy(batch_col)
      .json(path))
 
 

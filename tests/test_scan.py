@@ -1,0 +1,74 @@
+"""The skew-proof scan must equal plain window functions and a brute force."""
+
+import pandas as pd
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from actiflow.operators.scan import heavy_group_share, sequence_scan
+
+
+def brute_force(rows, grouped):
+    pdf = pd.DataFrame(rows, columns=["g", "t", "id", "v"])
+    pdf = pdf.sort_values(["g", "t", "id"] if grouped else ["t", "id"], na_position="first")
+    key = pdf["g"] if grouped else pd.Series(0, index=pdf.index)
+    out = {}
+    for _, part in pdf.groupby(key, sort=False, dropna=False):
+        prev = None
+        total = 0
+        for n, (_, r) in enumerate(part.iterrows(), 1):
+            total += 0 if pd.isna(r["v"]) else int(r["v"])
+            out[int(r["id"])] = (prev, total, n)
+            prev = None if pd.isna(r["t"]) else int(r["t"])
+    return out
+
+
+def run(spark, rows, grouped, strategy, parts):
+    df = spark.createDataFrame(rows, "g int, t int, id int, v int")
+    res = sequence_scan(df, order_by=["t", "id"], group_by=["g"] if grouped else None,
+                        lag={"prev_t": "t"}, running_sum={"run_v": "v"}, row_number="rn",
+                        num_partitions=parts, strategy=strategy)
+    return {r["id"]: (r["prev_t"], r["run_v"], r["rn"]) for r in res.collect()}
+
+
+# One hot group holding most rows, a few small ones, nulls in values and times.
+rows_strategy = st.lists(
+    st.tuples(st.one_of(st.just(1), st.integers(0, 5), st.none()),
+              st.one_of(st.integers(0, 30), st.none()),
+              st.integers(-20, 20) | st.none()),
+    min_size=1, max_size=120)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=rows_strategy, parts=st.integers(1, 6))
+def test_scan_matches_brute_force(spark, data, parts):
+    rows = [(g, t, i, v) for i, (g, t, v) in enumerate(data)]
+    expected = brute_force(rows, grouped=True)
+    assert run(spark, rows, True, "scan", parts) == expected
+    assert run(spark, rows, True, "window", parts) == expected
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=rows_strategy, parts=st.integers(1, 6))
+def test_ungrouped_scan_matches_brute_force(spark, data, parts):
+    rows = [(g, t, i, v) for i, (g, t, v) in enumerate(data)]
+    assert run(spark, rows, False, "scan", parts) == brute_force(rows, grouped=False)
+
+
+def test_hot_group_is_split_over_partitions(spark):
+    # a third of all rows in one group: the scan spreads it over several partitions
+    rows = [(0 if i % 3 == 0 else i, i, i, 1) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g int, t int, id int, v int")
+    assert heavy_group_share(df, ["g"], fraction=0.5) > 0.2
+    out = sequence_scan(df, order_by=["t", "id"], group_by=["g"], running_sum={"run": "v"},
+                        num_partitions=8, strategy="auto")
+    hot = out.filter(F.col("g") == 0)
+    assert hot.select(F.spark_partition_id()).distinct().count() > 1
+    assert hot.agg(F.max("run")).first()[0] == 1000
+
+
+def test_window_strategy_refuses_single_task(spark):
+    df = spark.createDataFrame([(1, 1)], "t int, id int")
+    with pytest.raises(ValueError):
+        sequence_scan(df, order_by=["t"], row_number="rn", strategy="window")
