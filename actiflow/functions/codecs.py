@@ -44,15 +44,17 @@ def csv_text(df: DataFrame, fields: list[str] | None = None) -> Column:
     return F.to_csv(F.struct(*_text_fields(df, fields or CSV_MESSAGE_FIELDS)))
 
 
-def encode_json(df: DataFrame, key: str | None = None) -> DataFrame:
+def encode_json(df: DataFrame, key: str | None = None,
+                fields: list[str] | None = None) -> DataFrame:
     """Events -> Kafka-shaped (key, value) binary frame with JSON values."""
     key_col = F.col(key).cast("string").cast("binary") if key else F.lit(None).cast("binary")
-    return df.select(key_col.alias("key"), json_text(df).cast("binary").alias("value"))
+    return df.select(key_col.alias("key"), json_text(df, fields).cast("binary").alias("value"))
 
 
-def encode_csv(df: DataFrame, key: str | None = None) -> DataFrame:
+def encode_csv(df: DataFrame, key: str | None = None,
+               fields: list[str] | None = None) -> DataFrame:
     key_col = F.col(key).cast("string").cast("binary") if key else F.lit(None).cast("binary")
-    return df.select(key_col.alias("key"), csv_text(df).cast("binary").alias("value"))
+    return df.select(key_col.alias("key"), csv_text(df, fields).cast("binary").alias("value"))
 
 
 def decode_json(df: DataFrame, value_col: str = "value", schema: T.StructType = EVENT_SCHEMA,

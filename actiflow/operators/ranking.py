@@ -15,12 +15,12 @@ from actiflow.schemas import AT_RISK_CLASSIC_COLUMNS, AT_RISK_COLUMNS
 
 # The reference ranks at-risk rows by days desc, rating asc only; ties were
 # arbitrary. The extra keys make the order total (and so repeatable).
-def risk_order() -> list:
-    return [F.col("days_since_last_purchase").desc_nulls_last(),
-            F.col("average_rating").asc_nulls_first(),
-            F.col("customer_id").asc_nulls_first(),
-            F.col("event_time").asc_nulls_first(),
-            F.col("event_id").asc_nulls_first()]
+def risk_order(with_event_id: bool = True) -> list:
+    order = [F.col("days_since_last_purchase").desc_nulls_last(),
+             F.col("average_rating").asc_nulls_first(),
+             F.col("customer_id").asc_nulls_first(),
+             F.col("event_time").asc_nulls_first()]
+    return order + ([F.col("event_id").asc_nulls_first()] if with_event_id else [])
 
 
 def event_order() -> list:

@@ -101,9 +101,12 @@ def merge_kpi_partials(parts: DataFrame) -> DataFrame:
               F.sum("rating_sum").alias("rating_sum"), F.sum("rating_n").alias("rating_n"),
               F.sum("discounted_orders").cast("long").alias("discounted_orders"),
               F.sum("high_value_orders").cast("long").alias("high_value_orders"),
-              F.sum("at_risk_count").cast("long").alias("at_risk_count")))
+              F.sum("at_risk_count").cast("long").alias("at_risk_count"),
+              *([F.max("processed_at").alias("processed_at")]
+                if "processed_at" in parts.columns else [])))
+    extra = ["processed_at"] if "processed_at" in parts.columns else []
     return m.select(
-        "batch_id", "event_count",
+        *extra, "batch_id", "event_count",
         F.round(F.col("spend_sum"), 2).alias("total_revenue"),
         F.round(F.when(F.col("spend_n") > 0, F.col("spend_sum") / F.col("spend_n")), 2)
         .alias("avg_spend"),

@@ -9,13 +9,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def with_watermark(events: DataFrame, time_col: str, delay: str) -> DataFrame:
+    """Watermarks need a zoned TIMESTAMP; a TIMESTAMP_NTZ column is cast first
+    (the session zone is UTC, so the wall clock is unchanged)."""
+    if isinstance(events.schema[time_col].dataType, T.TimestampNTZType):
+        events = events.withColumn(time_col, F.col(time_col).cast("timestamp"))
+    return events.withWatermark(time_col, delay)
 
 
 def window_kpis(events: DataFrame, time_col: str = "ts", key_col: str = "event_type",
                 value_col: str = "value", width: str = "1 day", slide: str | None = None,
                 watermark: str | None = None) -> DataFrame:
     """Count and value total per (tumbling or sliding) event-time window and key."""
-    df = events.withWatermark(time_col, watermark) if watermark else events
+    df = with_watermark(events, time_col, watermark) if watermark else events
     win = F.window(time_col, width, slide) if slide else F.window(time_col, width)
     return (df.groupBy(win.alias("w"), F.col(key_col))
             .agg(F.count(F.lit(1)).alias("event_count"),
@@ -27,7 +36,7 @@ def window_kpis(events: DataFrame, time_col: str = "ts", key_col: str = "event_t
 def session_kpis(events: DataFrame, gap: str, time_col: str = "ts", key_col: str = "user_id",
                  watermark: str | None = None) -> DataFrame:
     """Activity sessions per key: a session ends after ``gap`` without events."""
-    df = events.withWatermark(time_col, watermark) if watermark else events
+    df = with_watermark(events, time_col, watermark) if watermark else events
     return (df.groupBy(F.session_window(time_col, gap).alias("s"), F.col(key_col))
             .agg(F.count(F.lit(1)).alias("event_count"))
             .select(F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"),
@@ -43,5 +52,5 @@ def dedup_events(events: DataFrame, key: str = "event_id", time_col: str | None
     dropped once the watermark passes it.
     """
     if events.isStreaming and watermark:
-        return events.withWatermark(time_col, watermark).dropDuplicatesWithinWatermark([key])
+        return with_watermark(events, time_col, watermark).dropDuplicatesWithinWatermark([key])
     return events.dropDuplicates([key])

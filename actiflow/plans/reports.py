@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 # Card labels, bar count, minimum bar width (percent).
 CARD_LABELS = ["Processed Batches", "Total Events", "Latest Revenue", "At-Risk Customers"]
 BAR_ROWS = 8
+PANEL_ROWS = 10
 MIN_BAR_WIDTH = 6.0
 
 
@@ -78,3 +79,27 @@ def report_summary(history: DataFrame, city_summary: DataFrame,
     for c in counts:
         out = out.unionByName(c)
     return out
+
+
+def reports_from_store(store) -> dict[str, DataFrame]:
+    """Rebuild every report from stored results alone (no stream needed)."""
+    from actiflow.operators import ranking
+    from actiflow.streaming.processor import kpi_history_view, latest_snapshot
+
+    history = kpi_history_view(store)
+    city = latest_snapshot(store, "city_summary")
+    membership = latest_snapshot(store, "membership_summary")
+    at_risk = latest_snapshot(store, "at_risk")
+    events = store.read("events")
+    newest = events.agg(F.max("epoch").alias("epoch"))
+    latest_events = (events.join(F.broadcast(newest), "epoch")
+                     .orderBy(*ranking.event_order()).limit(PANEL_ROWS))
+    return {
+        "cards": report_cards(history),
+        "bars": report_bars(city, membership),
+        "recent_kpis": ranking.recent_kpis(history, BAR_ROWS),
+        "at_risk": at_risk.orderBy(*ranking.risk_order(False)).limit(PANEL_ROWS),
+        "latest_events": latest_events,
+        "membership": membership.orderBy("membership_type").limit(PANEL_ROWS),
+        "summary": report_summary(history, city, membership, at_risk),
+    }

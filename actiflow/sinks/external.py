@@ -41,18 +41,25 @@ def jdbc_batch_sink(url: str, table: str, properties: dict[str, str],
     return sink
 
 
+def _frame(df: DataFrame, value: str, key: str | None, fields: list[str] | None) -> DataFrame:
+    if value == "json":
+        return codecs.encode_json(df, key, fields)
+    return codecs.encode_csv(df, key, fields)
+
+
 def kafka_batch_writer(df: DataFrame, servers: str, topic: str, value: str = "json",
-                       key: str | None = None) -> DataFrameWriter:
+                       key: str | None = None, fields: list[str] | None = None) -> DataFrameWriter:
     """Publish rows as JSON (or CSV) values to a topic (batch write)."""
-    frame = codecs.encode_json(df, key) if value == "json" else codecs.encode_csv(df, key)
+    frame = _frame(df, value, key, fields)
     return (frame.write.format("kafka")
             .option("kafka.bootstrap.servers", servers)
             .option("topic", topic))
 
 
 def kafka_stream_writer(df: DataFrame, servers: str, topic: str, checkpoint: str,
-                        value: str = "json", key: str | None = None) -> DataStreamWriter:
-    frame = codecs.encode_json(df, key) if value == "json" else codecs.encode_csv(df, key)
+                        value: str = "json", key: str | None = None,
+                        fields: list[str] | None = None) -> DataStreamWriter:
+    frame = _frame(df, value, key, fields)
     return (frame.writeStream.format("kafka")
             .option("kafka.bootstrap.servers", servers)
             .option("topic", topic)

@@ -69,9 +69,10 @@ class EventBatchWriter:
                                    "membership_summary", ["epoch"])
             store.write_partitions(ranking.at_risk_ranked(valid).select(*AT_RISK_COLUMNS, tag),
                                    "at_risk", ["epoch"])
-        parts = summaries.kpi_partials(valid, self.batch_col)
-        store.write_partitions(parts.withColumn("epoch", F.lit(epoch).cast("long")),
-                               "kpi_parts", ["epoch"])
+        parts = (summaries.kpi_partials(valid, self.batch_col)
+                 .withColumn("processed_at", F.current_timestamp())
+                 .withColumn("epoch", F.lit(epoch).cast("long")))
+        store.write_partitions(parts, "kpi_parts", ["epoch"])
 
 
 def kpi_table(store: ResultStore) -> DataFrame:
@@ -79,9 +80,24 @@ def kpi_table(store: ResultStore) -> DataFrame:
     return summaries.merge_kpi_partials(store.read("kpi_parts"))
 
 
-def kpi_history_view(store: ResultStore) -> DataFrame:
-    """KPI history with ordinal and running total, derived from stored rows."""
-    return history.kpi_history(kpi_table(store))
+def kpi_history_view(store: ResultStore, with_processed_at: bool = False) -> DataFrame:
+    """KPI history with ordinal and running total, derived from stored rows.
+
+    ``processed_at`` (when the newest part of a batch was written) is wall-clock
+    and so left out unless asked for.
+    """
+    kpi = kpi_table(store)
+    if not with_processed_at:
+        kpi = kpi.drop("processed_at")
+    return history.kpi_history(kpi)
+
+
+def latest_snapshot(store: ResultStore, table: str) -> DataFrame:
+    """Rows of the newest epoch of a per-micro-batch snapshot table (the
+    reference's "latest" files). The newest epoch is a one-row aggregate."""
+    snap = store.read(table)
+    newest = snap.agg(F.max("epoch").alias("epoch"))
+    return snap.join(F.broadcast(newest), "epoch").drop("epoch")
 
 
 def event_query(enriched_stream: DataFrame, writer: EventBatchWriter, checkpoint: str,
