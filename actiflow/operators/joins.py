@@ -12,6 +12,14 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 100_000
 
 
+_BOUNDED: dict = {}
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    """Broadcast hint only when the side has at most ``max_rows`` rows (checked
+    once per input plan and session; a stale answer only changes the join
+    strategy, never the rows)."""
+    key = (df.semanticHash(), max_rows)
+    if key not in _BOUNDED:
+        _BOUNDED[key] = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if _BOUNDED[key] else df

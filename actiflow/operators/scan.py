@@ -118,6 +118,23 @@ def heavy_group_share(df: DataFrame, group_by: list[str], fraction: float = 0.05
     return row["top"] / row["total"]
 
 
+_DECISIONS: dict = {}
+
+
+def choose_strategy(df: DataFrame, group_by: list[str], n: int) -> str:
+    """"window" when a sample shows no group above one partition's share,
+    "scan" otherwise (and always without groups). Remembered per input plan
+    within the session: both strategies give the same rows, so a stale
+    decision can cost time, never correctness."""
+    if not group_by:
+        return "scan"
+    key = (df.semanticHash(), tuple(group_by), n)
+    if key not in _DECISIONS:
+        heavy = heavy_group_share(df, group_by) > 1.0 / max(n, 1)
+        _DECISIONS[key] = "scan" if heavy else "window"
+    return _DECISIONS[key]
+
+
 def _window_scan(df: DataFrame, order_by: list[str], group_by: list[str], lag: dict,
                  running_sum: dict, row_number: str | None) -> DataFrame:
     """Same outputs with plain window functions (one hash shuffle on the group)."""
@@ -156,9 +173,7 @@ def sequence_scan(df: DataFrame, order_by: list[str], group_by: list[str] | None
         raise ValueError(f"unknown strategy {strategy!r}")
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if strategy == "auto":
-        strategy = "scan"
-        if group_by and heavy_group_share(df, list(group_by)) <= 1.0 / max(n, 1):
-            strategy = "window"
+        strategy = choose_strategy(df, list(group_by or []), n)
     if strategy == "window":
         if not group_by:
             raise ValueError("the window strategy needs groups (no single-task windows)")
@@ -173,15 +188,17 @@ def sequence_scan(df: DataFrame, order_by: list[str], group_by: list[str] | None
         group_cols = [_CONST]
     keys = group_cols + list(order_by)
 
-    # Range boundaries are sampled per exchange, and the sample depends on row
-    # order after earlier shuffles; two evaluations could place a row in
-    # different partitions. A reliable checkpoint (in the shared
-    # spark.checkpoint.dir) fixes partition identity for the boundary table and
-    # the per-partition pass alike, and cuts the lineage for executor loss.
+    # Range boundaries are sampled from the exchange's input, and after earlier
+    # shuffles that input's row order can differ between evaluations, so two
+    # evaluations could place a row in different partitions. Checkpointing the
+    # input once (reliably, in the shared spark.checkpoint.dir) makes it fixed:
+    # the sample, the boundaries and therefore the partition of every row are
+    # the same for the boundary table and the per-partition pass. It also
+    # computes the input once and cuts the lineage for executor loss.
     checkpoint_dir(df.sparkSession)
-    ranged = (work.repartitionByRange(n, *keys)
+    ranged = (work.checkpoint(eager=True)
+              .repartitionByRange(n, *keys)
               .sortWithinPartitions(*keys)
-              .checkpoint(eager=True)
               .withColumn(_PID, F.spark_partition_id()))
 
     fields = list(ranged.schema.fields)

@@ -16,21 +16,22 @@ def count_true(c) -> Column:
     return F.sum(F.when(col, F.lit(1)).otherwise(F.lit(0))).cast("long")
 
 
-def city_summary(events: DataFrame) -> DataFrame:
-    return (events.groupBy("city")
-            .agg(F.count(F.lit(1)).alias("event_count"),
-                 F.round(F.avg("total_spend"), 2).alias("avg_total_spend"),
-                 F.sum("items_purchased").cast("long").alias("total_items_purchased"))
-            .orderBy("city"))
-
-
-def membership_summary(enriched: DataFrame) -> DataFrame:
-    return (enriched.groupBy("membership_type")
-            .agg(F.count(F.lit(1)).alias("event_count"),
-                 F.round(F.avg("total_spend"), 2).alias("avg_total_spend"),
-                 F.round(F.avg("average_rating"), 2).alias("avg_rating"),
-                 F.sum("high_value_order").cast("long").alias("high_value_orders"))
-            .orderBy("membership_type"))
+def city_summary(events: DataFrame, ordered: bool = True) -> DataFrame:
+    """Per-city rollup; ``ordered=False`` for stored tables (no sort job)."""
+    out = (events.groupBy("city")
+           .agg(F.count(F.lit(1)).alias("event_count"),
+                F.round(F.avg("total_spend"), 2).alias("avg_total_spend"),
+                F.sum("items_purchased").cast("long").alias("total_items_purchased")))
+    return out.orderBy("city") if ordered else out
+
+
+def membership_summary(enriched: DataFrame, ordered: bool = True) -> DataFrame:
+    out = (enriched.groupBy("membership_type")
+           .agg(F.count(F.lit(1)).alias("event_count"),
+                F.round(F.avg("total_spend"), 2).alias("avg_total_spend"),
+                F.round(F.avg("average_rating"), 2).alias("avg_rating"),
+                F.sum("high_value_order").cast("long").alias("high_value_orders")))
+    return out.orderBy("membership_type") if ordered else out
 
 
 def segment_measures(decimals: int | None = 2) -> list[Column]:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from actiflow.functions.codecs import split_valid
-from actiflow.operators import history, ranking, summaries
+from actiflow.operators import history, summaries
 from actiflow.schemas import AT_RISK_COLUMNS
 from actiflow.sinks.store import ResultStore
 
@@ -63,11 +63,12 @@ class EventBatchWriter:
         store.write_partitions(rejects, "rejects", ["epoch"])
         if self.snapshots:
             tag = F.lit(epoch).cast("long").alias("epoch")
-            store.write_partitions(summaries.city_summary(valid).select("*", tag),
-                                   "city_summary", ["epoch"])
-            store.write_partitions(summaries.membership_summary(valid).select("*", tag),
-                                   "membership_summary", ["epoch"])
-            store.write_partitions(ranking.at_risk_ranked(valid).select(*AT_RISK_COLUMNS, tag),
+            # stored unsorted (Parquet has no row order); readers sort or take top-k
+            store.write_partitions(summaries.city_summary(valid, ordered=False)
+                                   .select("*", tag), "city_summary", ["epoch"])
+            store.write_partitions(summaries.membership_summary(valid, ordered=False)
+                                   .select("*", tag), "membership_summary", ["epoch"])
+            store.write_partitions(valid.filter(F.col("is_at_risk")).select(*AT_RISK_COLUMNS, tag),
                                    "at_risk", ["epoch"])
         parts = (summaries.kpi_partials(valid, self.batch_col)
                  .withColumn("processed_at", F.current_timestamp())
