@@ -90,9 +90,10 @@ def reports_from_store(store) -> dict[str, DataFrame]:
     city = latest_snapshot(store, "city_summary")
     membership = latest_snapshot(store, "membership_summary")
     at_risk = latest_snapshot(store, "at_risk")
-    events = store.read("events")
-    newest = events.agg(F.max("epoch").alias("epoch"))
-    latest_events = (events.join(F.broadcast(newest), "epoch")
+    # newest epoch from the small partials table; the one-row join on the
+    # partition column lets Spark prune the events table to that partition
+    newest = store.read("kpi_parts").agg(F.max("epoch").alias("epoch"))
+    latest_events = (store.read("events").join(F.broadcast(newest), "epoch")
                      .orderBy(*ranking.event_order()).limit(PANEL_ROWS))
     return {
         "cards": report_cards(history),

@@ -35,10 +35,11 @@ class SourceSpec:
 def read_events(spark: SparkSession, spec: SourceSpec, streaming: bool = True) -> DataFrame:
     if spec.kind == "files":
         reader = spark.readStream if streaming else spark.read
-        reader = reader.schema(spec.schema())
         if streaming and spec.max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", spec.max_files_per_trigger)
-        return reader.json(spec.path)
+        if spec.value_format == "csv":   # older pipeline: one CSV message per line
+            return codecs.decode_csv(reader.text(spec.path), ddl=CSV_MESSAGE_DDL)
+        return reader.schema(spec.schema()).json(spec.path)
     if spec.kind == "kafka":
         return decode_kafka(read_kafka(spark, spec, streaming), spec.value_format)
     raise ValueError(f"unknown source kind {spec.kind!r}")

@@ -122,3 +122,30 @@ def test_stream_dedup_within_watermark(spark, workdir):
     q.awaitTermination()
     out = spark.read.parquet(f"{workdir}/dedup")
     assert out.count() == out.select("event_id").distinct().count() == ev.count()
+
+
+def test_event_job_end_to_end(spark, workdir):
+    from actiflow.streaming.job import RunLimits, run_event_job
+    ev = activity(spark, SF_SMALL)
+    write_event_files(ev, f"{workdir}/input", num_files=3)
+    spec = SourceSpec(kind="files", path=f"{workdir}/input", max_files_per_trigger=1,
+                      extra_fields=[BATCH_FIELD])
+    out = run_event_job(spark, spec, f"{workdir}/store", f"{workdir}/ckpt",
+                        RunLimits(available_now=True))
+    cards = {r["card"]: r["value"] for r in out["cards"].collect()}
+    assert cards["Total Events"] == str(ev.count())
+    assert out["latest_events"].count() == 10
+
+
+def test_segment_job_on_csv_messages(spark, workdir):
+    from actiflow.functions import codecs
+    from actiflow.streaming.job import RunLimits, run_segment_job
+    ev = activity(spark, SF_SMALL)
+    codecs.encode_csv(ev).select(F.col("value").cast("string")).write.text(f"{workdir}/csv")
+    spec = SourceSpec(kind="files", path=f"{workdir}/csv", value_format="csv",
+                      max_files_per_trigger=2)
+    current = run_segment_job(spark, spec, f"{workdir}/store", f"{workdir}/ckpt",
+                              RunLimits(available_now=True))
+    got = current["city_segments"].orderBy("city").collect()
+    want = summaries.city_segments(codecs.decode_csv(codecs.encode_csv(ev))).orderBy("city").collect()
+    assert got == want
