@@ -118,6 +118,41 @@ def heavy_group_share(df: DataFrame, group_by: list[str], fraction: float = 0.05
     return row["top"] / row["total"]
 
 
+def _ranged(work: DataFrame, keys: list[str], n: int) -> DataFrame:
+    """Range-partitioned, sorted rows with a stable partition id.
+
+    Spark samples range boundaries per exchange execution, and when partitions
+    are unbalanced it re-samples with a seed derived from the RDD id, so two
+    evaluations of the same exchange may cut differently. The boundary table
+    and the per-partition pass must see the same partitions, so the sorted
+    ranges are checkpointed (reliably, in the shared spark.checkpoint.dir):
+    partition identity is then fixed by stored files, and the lineage is cut
+    for executor loss. The input is checkpointed first so that it is computed
+    once, not once for sampling and once for the shuffle.
+    """
+    checkpoint_dir(work.sparkSession)
+    return (work.checkpoint(eager=True)
+            .repartitionByRange(n, *keys)
+            .sortWithinPartitions(*keys)
+            .checkpoint(eager=True)
+            .withColumn(_PID, F.spark_partition_id()))
+
+
+def _dense_index(ranged: DataFrame, name: str) -> DataFrame:
+    """Global 1-based row number without Python: position within the (sorted,
+    checkpointed) partition from ``monotonically_increasing_id`` plus the
+    row count of all earlier partitions (a table of one row per partition)."""
+    pos = F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33)
+    local = ranged.withColumn("_scan_local", pos)
+    counts = local.groupBy(_PID).agg(F.count(F.lit(1)).alias("_scan_n"))
+    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(_PID, F.coalesce(F.sum("_scan_n").over(before), F.lit(0))
+                            .alias("_scan_offset"))
+    out = local.join(F.broadcast(offsets), _PID)
+    out = out.withColumn(name, (F.col("_scan_offset") + F.col("_scan_local") + 1).cast("long"))
+    return out.drop(_PID, "_scan_local", "_scan_offset", _CONST)
+
+
 _DECISIONS: dict = {}
 
 
@@ -188,18 +223,9 @@ def sequence_scan(df: DataFrame, order_by: list[str], group_by: list[str] | None
         group_cols = [_CONST]
     keys = group_cols + list(order_by)
 
-    # Range boundaries are sampled from the exchange's input, and after earlier
-    # shuffles that input's row order can differ between evaluations, so two
-    # evaluations could place a row in different partitions. Checkpointing the
-    # input once (reliably, in the shared spark.checkpoint.dir) makes it fixed:
-    # the sample, the boundaries and therefore the partition of every row are
-    # the same for the boundary table and the per-partition pass. It also
-    # computes the input once and cuts the lineage for executor loss.
-    checkpoint_dir(df.sparkSession)
-    ranged = (work.checkpoint(eager=True)
-              .repartitionByRange(n, *keys)
-              .sortWithinPartitions(*keys)
-              .withColumn(_PID, F.spark_partition_id()))
+    ranged = _ranged(work, keys, n)
+    if row_number and not lag and not running_sum and group_cols == [_CONST]:
+        return _dense_index(ranged, row_number)
 
     fields = list(ranged.schema.fields)
     src_type = {f.name: f.dataType for f in fields}

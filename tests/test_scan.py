@@ -72,3 +72,13 @@ def test_window_strategy_refuses_single_task(spark):
     df = spark.createDataFrame([(1, 1)], "t int, id int")
     with pytest.raises(ValueError):
         sequence_scan(df, order_by=["t"], row_number="rn", strategy="window")
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=rows_strategy, parts=st.integers(1, 6))
+def test_dense_row_number_matches_brute_force(spark, data, parts):
+    rows = [(g, t, i, v) for i, (g, t, v) in enumerate(data)]
+    df = spark.createDataFrame(rows, "g int, t int, id int, v int")
+    out = sequence_scan(df, order_by=["t", "id"], row_number="rn", num_partitions=parts)
+    got = {r["id"]: r["rn"] for r in out.collect()}
+    assert got == {k: v[2] for k, v in brute_force(rows, grouped=False).items()}
