@@ -7,7 +7,8 @@ When one key may hold a third of all rows, both are stragglers at scale.
 ``sequence_scan`` computes the same values without that hot task:
 
 1. range-partition and sort on the full (group, order) key, so Spark's sampled
-   boundaries split a heavy group over many partitions;
+   boundaries split a heavy group over many partitions, and checkpoint the
+   sorted ranges (fixed partition identity, lineage cut);
 2. scan each partition once, in order, with an Arrow-batched ``mapInPandas``
    (local lag / running sum / row number, restarting at group changes);
 3. summarise each partition in one row (first key, last key, last values and
@@ -247,8 +248,8 @@ def sequence_scan(df: DataFrame, order_by: list[str], group_by: list[str] | None
                                schema=T.StructType(out_fields))
 
     # One row per non-empty partition: bounded by ``n`` whatever the data size.
-    # Computed with JVM aggregates from the same range exchange (reused, not
-    # re-shuffled), so the Python pass runs once.
+    # Computed with JVM aggregates from the checkpointed ranges (same partitions
+    # as the Python pass, which therefore runs once).
     grp = F.struct(*group_cols)
     tail_cols = list(running_sum) + ([row_number] if row_number else [])
     aggs = [F.min(grp).alias("first_key"), F.max(grp).alias("last_key")]
