@@ -23,16 +23,23 @@ otherwise "previous row" is not defined and neither Spark nor SQL would agree.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from actiflow.session import checkpoint_dir
 
+# The per-partition function runs in Python workers. Pickling this module by
+# value ships its code with the task, so executors need pyspark, numpy and
+# pandas but not this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _PID, _POS, _HEAD, _CONST = "_scan_pid", "_scan_pos", "_scan_head", "_scan_group"
 
 

@@ -205,14 +205,17 @@ def q_valid_rejects(spark, sf_dir):
 
 
 # --- streaming (file replay of the activity table, availableNow trigger) -------
+REPLAY_FILES = 8
+
 def _replay(spark: SparkSession, sf_dir: str, purpose: str):
     """Write the activity events as JSON-lines files (with the producer batch
     number) and return (root, stream of decoded events). Folders are fresh per
     run; two files per trigger, so the stream runs several micro-batches."""
     root = work_root(spark, purpose)
-    write_event_files(activity(spark, sf_dir), f"{root}/input")
-    spec = SourceSpec(kind="files", path=f"{root}/input", max_files_per_trigger=2,
-                      extra_fields=[BATCH_FIELD])
+    # 8 files, 2 per trigger: 4 micro-batches whatever the session's partitioning
+    write_event_files(activity(spark, sf_dir), f"{root}/input", num_files=REPLAY_FILES)
+    spec = SourceSpec(kind="files", path=f"{root}/input",
+                      max_files_per_trigger=REPLAY_FILES // 4, extra_fields=[BATCH_FIELD])
     return root, read_events(spark, spec, streaming=True)
 
 

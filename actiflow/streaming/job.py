@@ -21,7 +21,8 @@ from actiflow.sinks.store import ResultStore
 from actiflow.sources.events import SourceSpec, read_events
 from actiflow.streaming.control import run_until
 from actiflow.streaming.processor import EventBatchWriter, event_query
-from actiflow.streaming.segments import UpdateRowsWriter, current_segments
+from actiflow.streaming.segments import (STATE_PARTITIONS, UpdateRowsWriter, current_segments,
+                                         start_with_partitions)
 from actiflow.operators import summaries
 from actiflow.operators.enrich import with_age_group
 
@@ -81,7 +82,8 @@ def run_segment_job(spark: SparkSession, source: SourceSpec, store_root: str,
              .option("checkpointLocation", f"{checkpoint_root}/{table}"))
         w = (w.trigger(availableNow=True) if limits.available_now
              else w.trigger(processingTime=f"{limits.trigger_seconds} seconds"))
-        queries.append(w.start())          # start all first, then wait on all
+        # start all first, then wait on all
+        queries.append(start_with_partitions(w, spark, STATE_PARTITIONS))
     for q in queries:
         if limits.available_now:
             q.awaitTermination()

@@ -10,15 +10,22 @@ table, which fails on the second schema).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from actiflow.operators import summaries
 from actiflow.operators.enrich import with_age_group
 from actiflow.operators.upsert import latest_per_key
 from actiflow.sinks.store import ResultStore
 
+# State partitions of the segment rollups. The group space is small and bounded
+# (tiers x age groups x cities), and partial aggregation shrinks each trigger's
+# input before the shuffle, so a few state partitions suffice; more only add
+# per-trigger task and state-commit overhead. Pinned in the checkpoint at the
+# first run.
+STATE_PARTITIONS = 8
+
 SEGMENT_KEYS = {
     "customer_segments": ["membership_type", "age_group", "city"],
     "city_segments": ["city"],
@@ -36,9 +43,27 @@ class UpdateRowsWriter:
                                     self.table, ["epoch"])
 
 
+def start_with_partitions(writer: DataStreamWriter, spark: SparkSession,
+                          partitions: int | None) -> StreamingQuery:
+    """Start a query whose stateful shuffle uses ``partitions`` partitions.
+
+    The stream clones the session's settings when it starts, so the caller's
+    session is restored right after."""
+    if partitions is None:
+        return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, before)
+
+
 def start_segment_queries(events_stream: DataFrame, store: ResultStore, checkpoint_root: str,
                           available_now: bool = False, trigger_seconds: float = 5.0,
-                          decimals: int | None = 2) -> list[StreamingQuery]:
+                          decimals: int | None = 2,
+                          state_partitions: int | None = STATE_PARTITIONS) -> list[StreamingQuery]:
     plans = {
         "customer_segments": summaries.customer_segments(with_age_group(events_stream), decimals),
         "city_segments": summaries.city_segments(events_stream, decimals),
@@ -50,7 +75,7 @@ def start_segment_queries(events_stream: DataFrame, store: ResultStore, checkpoi
              .option("checkpointLocation", f"{checkpoint_root}/{table}"))
         w = w.trigger(availableNow=True) if available_now else w.trigger(
             processingTime=f"{trigger_seconds} seconds")
-        queries.append(w.start())
+        queries.append(start_with_partitions(w, events_stream.sparkSession, state_partitions))
     return queries
 
 
