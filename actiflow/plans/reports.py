@@ -84,23 +84,18 @@ def report_summary(history: DataFrame, city_summary: DataFrame,
 def reports_from_store(store) -> dict[str, DataFrame]:
     """Rebuild every report from stored results alone (no stream needed)."""
     from actiflow.operators import ranking
-    from actiflow.streaming.processor import kpi_history_view, latest_snapshot
+    from actiflow.streaming.processor import kpi_history_view, latest_snapshots
 
     history = kpi_history_view(store)
-    city = latest_snapshot(store, "city_summary")
-    membership = latest_snapshot(store, "membership_summary")
-    at_risk = latest_snapshot(store, "at_risk")
-    # newest epoch from the small partials table; the one-row join on the
-    # partition column lets Spark prune the events table to that partition
-    newest = store.read("kpi_parts").agg(F.max("epoch").alias("epoch"))
-    latest_events = (store.read("events").join(F.broadcast(newest), "epoch")
-                     .orderBy(*ranking.event_order()).limit(PANEL_ROWS))
+    latest = latest_snapshots(store)
+    city, membership, at_risk = (latest["city_summary"], latest["membership_summary"],
+                                 latest["at_risk"])
     return {
         "cards": report_cards(history),
         "bars": report_bars(city, membership),
         "recent_kpis": ranking.recent_kpis(history, BAR_ROWS),
         "at_risk": at_risk.orderBy(*ranking.risk_order(False)).limit(PANEL_ROWS),
-        "latest_events": latest_events,
-        "membership": membership.orderBy("membership_type").limit(PANEL_ROWS),
+        "latest_events": latest["latest_events"].orderBy(*ranking.event_order()).limit(PANEL_ROWS),
+        "membership": membership.limit(PANEL_ROWS),
         "summary": report_summary(history, city, membership, at_risk),
     }

@@ -6,16 +6,16 @@ Spark writer running on executors, and every write replaces partitions keyed
 by the epoch (and the producer's batch number), so replaying an epoch after a
 failure rewrites the same files instead of duplicating rows.
 
-Every table is partitioned by the epoch only (one new partition per
-micro-batch, bounded by the number of triggers, never by a data value):
-  events/epoch=E              valid enriched events (with the producer batch id)
-  rejects/epoch=E             rows with a missing key, with ``reject_reason``
-  city_summary/epoch=E        per-micro-batch snapshots (the reference's "latest" files)
-  membership_summary/epoch=E
-  at_risk/epoch=E
-  kpi_parts/epoch=E           mergeable KPI partials per producer batch (written last)
-The KPI table is the merge of all partials per producer batch, so a batch
-whose events arrive in several micro-batches is still counted whole.
+Stored are facts only, each table partitioned by the epoch (one new
+partition per micro-batch, bounded by the number of triggers, never by a data
+value):
+  events/epoch=E       valid enriched events (with the producer batch id)
+  rejects/epoch=E      rows with a missing key, with ``reject_reason``
+  kpi_parts/epoch=E    mergeable KPI partials per producer batch (written last)
+The reference's "latest" snapshot files (city, membership, at-risk) are views
+over the newest epoch's events partition (partition-pruned), and the KPI table
+is the merge of all partials per producer batch, so a batch whose events
+arrive in several micro-batches is still counted whole.
 """
 
 from __future__ import annotations
@@ -34,15 +34,13 @@ from actiflow.sinks.store import ResultStore
 class EventBatchWriter:
     """``foreachBatch`` callback for enriched events.
 
-    ``batch_col``: producer batch number carried by the events (a partition
-    column of the file replay). When absent, the epoch id is the batch.
+    ``batch_col``: producer batch number carried by the events (a field of the
+    file replay). When absent, the epoch id is the batch.
     """
 
-    def __init__(self, store: ResultStore, batch_col: str = "batch_id",
-                 snapshots: bool = True):
+    def __init__(self, store: ResultStore, batch_col: str = "batch_id"):
         self.store = store
         self.batch_col = batch_col
-        self.snapshots = snapshots
 
     def __call__(self, df: DataFrame, epoch_id: int) -> None:
         if df.isEmpty():  # stops at the first row; empty triggers write nothing
@@ -61,15 +59,6 @@ class EventBatchWriter:
         store = self.store
         store.write_partitions(valid, "events", ["epoch"])
         store.write_partitions(rejects, "rejects", ["epoch"])
-        if self.snapshots:
-            tag = F.lit(epoch).cast("long").alias("epoch")
-            # stored unsorted (Parquet has no row order); readers sort or take top-k
-            store.write_partitions(summaries.city_summary(valid, ordered=False)
-                                   .select("*", tag), "city_summary", ["epoch"])
-            store.write_partitions(summaries.membership_summary(valid, ordered=False)
-                                   .select("*", tag), "membership_summary", ["epoch"])
-            store.write_partitions(valid.filter(F.col("is_at_risk")).select(*AT_RISK_COLUMNS, tag),
-                                   "at_risk", ["epoch"])
         parts = (summaries.kpi_partials(valid, self.batch_col)
                  .withColumn("processed_at", F.current_timestamp())
                  .withColumn("epoch", F.lit(epoch).cast("long")))
@@ -93,12 +82,23 @@ def kpi_history_view(store: ResultStore, with_processed_at: bool = False) -> Dat
     return history.kpi_history(kpi)
 
 
-def latest_snapshot(store: ResultStore, table: str) -> DataFrame:
-    """Rows of the newest epoch of a per-micro-batch snapshot table (the
-    reference's "latest" files). The newest epoch is a one-row aggregate."""
-    snap = store.read(table)
-    newest = snap.agg(F.max("epoch").alias("epoch"))
-    return snap.join(F.broadcast(newest), "epoch").drop("epoch")
+def newest_epoch_events(store: ResultStore) -> DataFrame:
+    """Events of the newest micro-batch. The newest epoch comes from the small
+    partials table; the one-row broadcast join on the partition column lets
+    Spark prune the events table to that one partition."""
+    newest = store.read("kpi_parts").agg(F.max("epoch").alias("epoch"))
+    return store.read("events").join(F.broadcast(newest), "epoch")
+
+
+def latest_snapshots(store: ResultStore) -> dict[str, DataFrame]:
+    """The reference's per-micro-batch "latest" tables, as views."""
+    latest = newest_epoch_events(store)
+    return {
+        "city_summary": summaries.city_summary(latest),
+        "membership_summary": summaries.membership_summary(latest),
+        "at_risk": latest.filter(F.col("is_at_risk")).select(*AT_RISK_COLUMNS),
+        "latest_events": latest,
+    }
 
 
 def event_query(enriched_stream: DataFrame, writer: EventBatchWriter, checkpoint: str,
