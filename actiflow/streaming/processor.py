@@ -83,11 +83,15 @@ def kpi_history_view(store: ResultStore, with_processed_at: bool = False) -> Dat
 
 
 def newest_epoch_events(store: ResultStore) -> DataFrame:
-    """Events of the newest micro-batch. The newest epoch comes from the small
-    partials table; the one-row broadcast join on the partition column lets
-    Spark prune the events table to that one partition."""
-    newest = store.read("kpi_parts").agg(F.max("epoch").alias("epoch"))
-    return store.read("events").join(F.broadcast(newest), "epoch")
+    """Events of the newest micro-batch. The newest epoch is one scalar read
+    from the small partials table; filtering by it as a literal lets Spark
+    prune the events table to one partition (a join would not: dynamic
+    pruning needs a selective filter on the other side)."""
+    newest = store.read("kpi_parts").agg(F.max("epoch")).first()[0]
+    events = store.read("events")
+    if newest is None:
+        return events.limit(0)
+    return events.filter(F.col("epoch") == F.lit(newest))
 
 
 def latest_snapshots(store: ResultStore) -> dict[str, DataFrame]:
