@@ -33,16 +33,6 @@ def window_kpis(events: DataFrame, time_col: str = "ts", key_col: str = "event_t
                     key_col, "event_count", "total_value"))
 
 
-def session_kpis(events: DataFrame, gap: str, time_col: str = "ts", key_col: str = "user_id",
-                 watermark: str | None = None) -> DataFrame:
-    """Activity sessions per key: a session ends after ``gap`` without events."""
-    df = with_watermark(events, time_col, watermark) if watermark else events
-    return (df.groupBy(F.session_window(time_col, gap).alias("s"), F.col(key_col))
-            .agg(F.count(F.lit(1)).alias("event_count"))
-            .select(F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"),
-                    key_col, "event_count"))
-
-
 def dedup_events(events: DataFrame, key: str = "event_id", time_col: str | None = None,
                  watermark: str | None = None) -> DataFrame:
     """Drop repeated deliveries of the same event id.

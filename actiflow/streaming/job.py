@@ -13,6 +13,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from actiflow.operators.enrich import enrich
 from actiflow.plans.reports import reports_from_store
@@ -52,7 +53,11 @@ def run_event_job(spark: SparkSession, source: SourceSpec, store_root: str, chec
 
 
 class _FanOut:
-    """Update rows to the store and, when configured, to a JDBC table."""
+    """Update rows to the store and, when configured, to a JDBC table.
+
+    JDBC rows carry their epoch: an appended table keeps every version of a
+    group, and a replayed epoch can only append identical rows, so readers that
+    take the latest version per group (highest epoch) are unaffected."""
 
     def __init__(self, store_writer: UpdateRowsWriter, jdbc=None):
         self.store_writer, self.jdbc = store_writer, jdbc
@@ -60,7 +65,7 @@ class _FanOut:
     def __call__(self, df: DataFrame, epoch_id: int) -> None:
         self.store_writer(df, epoch_id)
         if self.jdbc is not None:
-            self.jdbc(df, epoch_id)
+            self.jdbc(df.withColumn("epoch", F.lit(int(epoch_id)).cast("long")), epoch_id)
 
 
 def run_segment_job(spark: SparkSession, source: SourceSpec, store_root: str,
