@@ -60,9 +60,9 @@ def _c(x) -> Column:
 def at_risk(days="days_since_last_purchase", level="satisfaction_level",
             rating="average_rating", rule: RiskRule = RiskRule()) -> Column:
     """Risk flag; an unknown (null) outcome counts as not at risk."""
-    cond = (_c(days) > F.lit(rule.days_over)) & (
-        (_c(level) == F.lit(rule.level)) | (_c(rating) < F.lit(rule.rating_below)))
-    return F.when(cond, F.lit(True)).otherwise(F.lit(False))
+    recency = _c(days) > F.lit(rule.days_over)
+    unhappy = (_c(level) == F.lit(rule.level)) | (_c(rating) < F.lit(rule.rating_below))
+    return F.coalesce(recency & unhappy, F.lit(False))
 
 
 def at_risk_classic(days="days_since_last_purchase", level="satisfaction_level",
