@@ -114,8 +114,3 @@ def merge_kpi_partials(parts: DataFrame) -> DataFrame:
         F.round(F.when(F.col("rating_n") > 0, F.col("rating_sum") / F.col("rating_n")), 2)
         .alias("avg_rating"),
         "discounted_orders", "high_value_orders", "at_risk_count")
-
-
-def kpi_row(batch: DataFrame, batch_id: int) -> DataFrame:
-    """The KPI row of one micro-batch (global aggregate, one row)."""
-    return batch.agg(*kpi_measures()).select(F.lit(batch_id).cast("long").alias("batch_id"), "*")

@@ -149,3 +149,17 @@ def test_segment_job_on_csv_messages(spark, workdir):
     got = current["city_segments"].orderBy("city").collect()
     want = summaries.city_segments(codecs.decode_csv(codecs.encode_csv(ev))).orderBy("city").collect()
     assert got == want
+
+
+def test_segment_queries_run_together(spark, workdir):
+    from actiflow.streaming.control import await_all
+    ev = activity(spark, SF_SMALL)
+    write_event_files(ev, f"{workdir}/input", num_files=2)
+    store = ResultStore(spark, f"{workdir}/store")
+    queries = start_segment_queries(_stream(spark, workdir), store, f"{workdir}/ckpt",
+                                    available_now=True)
+    assert len(queries) == 2   # both started before any wait
+    for q in queries:
+        q.awaitTermination()
+    await_all(spark, queries, timeout_seconds=1)
+    assert current_segments(store, "city_segments").count() == ev.select("city").distinct().count()
