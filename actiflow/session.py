@@ -27,6 +27,12 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Partition-overwrite writes replace only the batch partitions they touch.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Sizing: input splits and post-shuffle partitions of ~128 MB keep tasks
+    # well inside executor memory; AQE coalesces small shuffle partitions, so
+    # spark.sql.shuffle.partitions can be set high on a cluster (e.g. several
+    # times the core count) without many tiny tasks at small scale.
+    "spark.sql.files.maxPartitionBytes": "128m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
 }
 
 

@@ -163,3 +163,18 @@ def test_segment_queries_run_together(spark, workdir):
         q.awaitTermination()
     await_all(spark, queries, timeout_seconds=1)
     assert current_segments(store, "city_segments").count() == ev.select("city").distinct().count()
+
+
+def test_kpi_per_micro_batch_without_producer_batch(spark, workdir):
+    # events without a batch number (e.g. from Kafka): each epoch is one KPI row
+    ev = enrich(activity(spark, SF_SMALL)).drop("o_orderkey")
+    first = ev.filter(F.col("batch_id") == 0).drop("batch_id")
+    second = ev.filter(F.col("batch_id") == 1).drop("batch_id")
+    store = ResultStore(spark, f"{workdir}/store")
+    writer = EventBatchWriter(store)
+    writer(first, 7)
+    writer(second, 8)
+    rows = kpi_history_view(store).orderBy("batch_id").collect()
+    assert [r["batch_id"] for r in rows] == [7, 8]
+    assert [r["processed_batches"] for r in rows] == [1, 2]
+    assert rows[1]["cumulative_event_count"] == first.count() + second.count()
