@@ -19,7 +19,8 @@ PINNED_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
-# Plan-shaping defaults; a cluster's own spark-defaults win when already set.
+# Plan-shaping defaults for sessions built here (tests, bench, scripts); the
+# caller's ``conf`` overrides them. Sessions made elsewhere keep their own.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
