@@ -126,7 +126,13 @@ def heavy_group_share(df: DataFrame, group_by: list[str], fraction: float = 0.05
     return row["top"] / row["total"]
 
 
-def _ranged(work: DataFrame, keys: list[str], n: int) -> DataFrame:
+# Row bound under which an ungrouped scan may run as one window task (counted
+# on the checkpointed input, so the bound is proven, not estimated).
+SINGLE_TASK_MAX_ROWS = 1_000_000
+
+
+def _ranged(work: DataFrame, keys: list[str], n: int, input_checkpointed: bool = False
+            ) -> DataFrame:
     """Range-partitioned, sorted rows with a stable partition id.
 
     Spark samples range boundaries per exchange execution, and when partitions
@@ -139,8 +145,9 @@ def _ranged(work: DataFrame, keys: list[str], n: int) -> DataFrame:
     once, not once for sampling and once for the shuffle.
     """
     checkpoint_dir(work.sparkSession)
-    return (work.checkpoint(eager=True)
-            .repartitionByRange(n, *keys)
+    if not input_checkpointed:
+        work = work.checkpoint(eager=True)
+    return (work.repartitionByRange(n, *keys)
             .sortWithinPartitions(*keys)
             .checkpoint(eager=True)
             .withColumn(_PID, F.spark_partition_id()))
@@ -180,8 +187,9 @@ def choose_strategy(df: DataFrame, group_by: list[str], n: int) -> str:
 
 def _window_scan(df: DataFrame, order_by: list[str], group_by: list[str], lag: dict,
                  running_sum: dict, row_number: str | None) -> DataFrame:
-    """Same outputs with plain window functions (one hash shuffle on the group)."""
-    w = Window.partitionBy(*group_by).orderBy(*order_by)
+    """Same outputs with plain window functions (one hash shuffle on the group;
+    without groups one task, used only behind a proven row bound)."""
+    w = (Window.partitionBy(*group_by) if group_by else Window).orderBy(*order_by)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     exprs = [F.lag(src).over(w).alias(name) for name, src in lag.items()]
     for name, src in running_sum.items():
@@ -207,14 +215,26 @@ def sequence_scan(df: DataFrame, order_by: list[str], group_by: list[str] | None
     ``row_number``: output name for the 1-based position within the group.
 
     ``strategy``: "scan" (range-partitioned, skew-proof), "window" (plain window
-    functions, one hash shuffle on the group) or "auto": the window when a
-    sample shows no group larger than one partition's share, the scan
-    otherwise, and always the scan without groups (a window without
-    ``partitionBy`` runs in one task). Both give the same rows.
+    functions, one hash shuffle on the group) or "auto": with groups, the
+    window when a sample shows no group larger than one partition's share and
+    the scan otherwise; without groups (a window without ``partitionBy`` is one
+    task), a single window task only when the checkpointed input has at most
+    ``SINGLE_TASK_MAX_ROWS`` rows, else the scan. All give the same rows.
     """
     if strategy not in ("auto", "scan", "window"):
         raise ValueError(f"unknown strategy {strategy!r}")
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    input_checkpointed = False
+    if strategy == "auto" and not group_by:
+        # The scan checkpoints its input anyway; counting the stored rows is
+        # cheap and proves whether one window task is safe.
+        checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
+        input_checkpointed = True
+        if df.count() <= SINGLE_TASK_MAX_ROWS:
+            return _window_scan(df, list(order_by), [], dict(lag or {}),
+                                dict(running_sum or {}), row_number)
+        strategy = "scan"
     if strategy == "auto":
         strategy = choose_strategy(df, list(group_by or []), n)
     if strategy == "window":
@@ -231,7 +251,7 @@ def sequence_scan(df: DataFrame, order_by: list[str], group_by: list[str] | None
         group_cols = [_CONST]
     keys = group_cols + list(order_by)
 
-    ranged = _ranged(work, keys, n)
+    ranged = _ranged(work, keys, n, input_checkpointed)
     if row_number and not lag and not running_sum and group_cols == [_CONST]:
         return _dense_index(ranged, row_number)
 

@@ -79,6 +79,13 @@ def test_window_strategy_refuses_single_task(spark):
 def test_dense_row_number_matches_brute_force(spark, data, parts):
     rows = [(g, t, i, v) for i, (g, t, v) in enumerate(data)]
     df = spark.createDataFrame(rows, "g int, t int, id int, v int")
-    out = sequence_scan(df, order_by=["t", "id"], row_number="rn", num_partitions=parts)
+    out = sequence_scan(df, order_by=["t", "id"], row_number="rn", num_partitions=parts,
+                        strategy="scan")
     got = {r["id"]: r["rn"] for r in out.collect()}
     assert got == {k: v[2] for k, v in brute_force(rows, grouped=False).items()}
+
+
+def test_auto_ungrouped_small_input_uses_one_bounded_task(spark):
+    rows = [(None, i % 7, i, i % 3) for i in range(200)]
+    expected = brute_force(rows, grouped=False)
+    assert run(spark, rows, False, "auto", 4) == expected
