@@ -331,7 +331,4 @@ def q_report_bars(spark, sf_dir):
 
 @register("report_summary")
 def q_report_summary(spark, sf_dir):
-    ev = enriched(spark, sf_dir)
-    return reports.report_summary(history.kpi_history(summaries.batch_kpi(ev)),
-                                  summaries.city_summary(ev), summaries.membership_summary(ev),
-                                  ranking.at_risk_ranked(ev))
+    return reports.report_summary_from_events(enriched(spark, sf_dir))

@@ -99,3 +99,46 @@ def reports_from_store(store) -> dict[str, DataFrame]:
         "membership": membership.limit(PANEL_ROWS),
         "summary": report_summary(history, city, membership, at_risk),
     }
+
+
+def report_summary_from_events(enriched: DataFrame) -> DataFrame:
+    """``report_summary`` of a whole enriched history in one pass.
+
+    One ``GROUPING SETS`` aggregate yields the per-batch KPI rows, the city
+    groups and the membership groups from a single scan and shuffle; a final
+    global aggregate over those few rows gives the facts. (The table-based
+    ``report_summary`` reads stored results; given tables derived from the same
+    events, it would recompute them once per input.)
+    """
+    from actiflow.operators.summaries import count_true
+
+    sets = (enriched.groupingSets([["batch_id"], ["city"], ["membership_type"]],
+                                  "batch_id", "city", "membership_type")
+            .agg(F.grouping_id().alias("gid"),
+                 F.count(F.lit(1)).alias("n"),
+                 F.round(F.sum("total_spend"), 2).alias("revenue"),
+                 F.round(F.avg("total_spend"), 2).alias("avg_spend"),
+                 count_true("is_at_risk").alias("at_risk")))
+    # grouping_id bit set = column aggregated away: (batch) -> 0b011, (city) -> 0b101,
+    # (membership_type) -> 0b110
+    is_batch, is_city, is_member = (F.col("gid") == 3), (F.col("gid") == 5), (F.col("gid") == 6)
+    last = F.max_by(F.struct("revenue", "avg_spend", "at_risk"),
+                    F.when(is_batch, F.col("batch_id")))
+    facts = sets.agg(
+        F.count_if(is_batch).cast("double").alias("processed_batches"),
+        F.sum(F.when(is_batch, F.col("n"))).cast("double").alias("total_events"),
+        last.alias("last"),
+        F.count_if(is_city).cast("double").alias("cities"),
+        F.count_if(is_member).cast("double").alias("membership_groups"),
+        F.sum(F.when(is_batch, F.col("at_risk"))).cast("double").alias("at_risk_records"))
+    metrics = [("processed_batches", F.col("processed_batches")),
+               ("total_events", F.col("total_events")),
+               ("latest_revenue", F.col("last.revenue")),
+               ("latest_avg_spend", F.col("last.avg_spend")),
+               ("latest_at_risk", F.col("last.at_risk").cast("double")),
+               ("cities", F.col("cities")),
+               ("membership_groups", F.col("membership_groups")),
+               ("at_risk_records", F.col("at_risk_records"))]
+    return facts.select(F.explode(F.array(*[
+        F.struct(F.lit(m).alias("metric"), v.alias("value")) for m, v in metrics])).alias("f")
+    ).select("f.*")

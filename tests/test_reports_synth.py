@@ -68,3 +68,12 @@ def test_synth_messages_ranges(spark):
     assert 101 <= r[0] and r[1] <= 999 and 18 <= r[2] and r[3] <= 65
     assert 8 <= r[4] and r[5] <= 19 and 12 <= r[6] and r[7] <= 55
     assert r[8] == 6 and r[9] == 3
+
+
+def test_single_pass_summary_equals_table_summary(spark):
+    from actiflow.operators import ranking
+    ev = enrich(activity(spark, SF_SMALL))
+    tables = reports.report_summary(history.kpi_history(summaries.batch_kpi(ev)),
+                                    summaries.city_summary(ev), summaries.membership_summary(ev),
+                                    ranking.at_risk_ranked(ev))
+    assert sorted(tables.collect()) == sorted(reports.report_summary_from_events(ev).collect())
