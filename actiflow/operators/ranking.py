@@ -7,7 +7,7 @@ rows and only k rows per task reach the final merge.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from actiflow.functions import rules
@@ -56,7 +56,19 @@ def latest_batch(events: DataFrame, batch_col: str = "batch_id") -> DataFrame:
 
 
 def latest_events(events: DataFrame, n: int = 10, batch_col: str = "batch_id") -> DataFrame:
-    return latest_batch(events, batch_col).orderBy(*event_order()).limit(n)
+    """First n rows (by time, id) of the newest batch, in one pass.
+
+    Ordered by batch descending first, the newest batch's rows come first, so
+    the newest batch's first n rows are exactly the rows of one top-n that
+    carry the top row's batch id. The newest id is then found over at most n
+    rows (a bounded single-task window), not by a second pass over the events.
+    """
+    top = events.orderBy(F.col(batch_col).desc_nulls_last(), *event_order()).limit(n)
+    newest = F.max(batch_col).over(Window.partitionBy())
+    return (top.withColumn("_newest", newest)
+            .filter(F.col(batch_col) == F.col("_newest"))
+            .drop("_newest")
+            .orderBy(*event_order()))
 
 
 def recent_kpis(history: DataFrame, n: int = 8) -> DataFrame:
