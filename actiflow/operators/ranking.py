@@ -48,13 +48,6 @@ def at_risk_classic(events: DataFrame, rule: rules.RiskRule = rules.RiskRule())
     return events.filter(rules.at_risk_classic(rule=rule)).select(*AT_RISK_CLASSIC_COLUMNS)
 
 
-def latest_batch(events: DataFrame, batch_col: str = "batch_id") -> DataFrame:
-    """Rows of the newest batch. The newest id is a one-row aggregate, so the
-    broadcast side is bounded (one row) whatever the data size."""
-    newest = events.agg(F.max(batch_col).alias(batch_col))
-    return events.join(F.broadcast(newest), batch_col)
-
-
 def latest_events(events: DataFrame, n: int = 10, batch_col: str = "batch_id") -> DataFrame:
     """First n rows (by time, id) of the newest batch, in one pass.
 

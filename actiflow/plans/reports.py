@@ -142,3 +142,9 @@ def report_summary_from_events(enriched: DataFrame) -> DataFrame:
     return facts.select(F.explode(F.array(*[
         F.struct(F.lit(m).alias("metric"), v.alias("value")) for m, v in metrics])).alias("f")
     ).select("f.*")
+
+
+def save_reports(store, tables: dict[str, DataFrame]) -> None:
+    """Replace the stored report tables (snapshot writes; each is small)."""
+    for name, df in tables.items():
+        store.write_snapshot(df, f"reports/{name}")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from actiflow.operators.enrich import enrich
-from actiflow.plans.reports import reports_from_store
+from actiflow.plans.reports import reports_from_store, save_reports
 from actiflow.sinks.external import jdbc_batch_sink
 from actiflow.sinks.store import ResultStore
 from actiflow.sources.events import SourceSpec, read_events
@@ -49,7 +49,9 @@ def run_event_job(spark: SparkSession, source: SourceSpec, store_root: str, chec
         run_until(query, limits.max_batches, limits.idle_seconds)
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
-    return reports_from_store(store)
+    tables = reports_from_store(store)
+    save_reports(store, tables)
+    return tables
 
 
 class _FanOut:

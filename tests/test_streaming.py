@@ -135,6 +135,8 @@ def test_event_job_end_to_end(spark, workdir):
     cards = {r["card"]: r["value"] for r in out["cards"].collect()}
     assert cards["Total Events"] == str(ev.count())
     assert out["latest_events"].count() == 10
+    saved = spark.read.parquet(f"{workdir}/store/reports/cards")
+    assert sorted(saved.collect()) == sorted(out["cards"].collect())
 
 
 def test_segment_job_on_csv_messages(spark, workdir):
