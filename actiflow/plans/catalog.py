@@ -207,6 +207,7 @@ def q_valid_rejects(spark, sf_dir):
 # --- streaming (file replay of the activity table, availableNow trigger) -------
 REPLAY_FILES = 8
 
+
 def _replay(spark: SparkSession, sf_dir: str, purpose: str):
     """Write the activity events as JSON-lines files (with the producer batch
     number) and return (root, stream of decoded events). Folders are fresh per
