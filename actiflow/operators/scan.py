@@ -128,7 +128,7 @@ def heavy_group_share(df: DataFrame, group_by: list[str], fraction: float = 0.05
 
 # Row bound under which an ungrouped scan may run as one window task (counted
 # on the checkpointed input, so the bound is proven, not estimated).
-SINGLE_TASK_MAX_ROWS = 1_000_000
+SINGLE_TASK_MAX_ROWS = 100_000
 
 
 def _ranged(work: DataFrame, keys: list[str], n: int, input_checkpointed: bool = False
