@@ -326,8 +326,7 @@ def q_report_cards(spark, sf_dir):
 
 @register("report_bars")
 def q_report_bars(spark, sf_dir):
-    ev = enriched(spark, sf_dir)
-    return reports.report_bars(summaries.city_summary(ev), summaries.membership_summary(ev))
+    return reports.report_bars_from_events(enriched(spark, sf_dir))
 
 
 @register("report_summary")

@@ -148,3 +148,32 @@ def save_reports(store, tables: dict[str, DataFrame]) -> None:
     """Replace the stored report tables (snapshot writes; each is small)."""
     for name, df in tables.items():
         store.write_snapshot(df, f"reports/{name}")
+
+
+def report_bars_from_events(enriched: DataFrame) -> DataFrame:
+    """``report_bars`` of a whole enriched history in one pass.
+
+    One ``GROUPING SETS`` aggregate gives both series (mean spend per city,
+    events per membership tier); the first 8 labels and the widths come from
+    windows partitioned by chart over the aggregated rows (one per group).
+    """
+    sets = (enriched.groupingSets([["city"], ["membership_type"]], "city", "membership_type")
+            .agg(F.grouping_id().alias("gid"),
+                 F.round(F.avg("total_spend"), 2).alias("avg_spend"),
+                 F.count(F.lit(1)).cast("double").alias("n")))
+    is_city = F.col("gid") == 1          # membership_type aggregated away
+    rows = sets.select(
+        F.when(is_city, F.lit("avg_spend_by_city"))
+         .otherwise(F.lit("events_by_membership")).alias("chart"),
+        F.when(is_city, F.col("city")).otherwise(F.col("membership_type")).alias("label"),
+        F.when(is_city, F.col("avg_spend")).otherwise(F.col("n")).alias("value"))
+    by_label = Window.partitionBy("chart").orderBy(F.col("label").asc_nulls_first())
+    first = (rows.withColumn("_rank", F.row_number().over(by_label))
+             .filter(F.col("_rank") <= BAR_ROWS).drop("_rank"))
+    text = F.when(F.col("chart") == "avg_spend_by_city", F.format_string("%.2f", F.col("value"))) \
+            .otherwise(F.col("value").cast("long").cast("string"))
+    top = Window.partitionBy("chart")
+    return (first.withColumn("value_text", text)
+            .withColumn("width", F.round(F.greatest(
+                F.lit(MIN_BAR_WIDTH),
+                F.col("value") / F.greatest(F.max("value").over(top), F.lit(1.0)) * F.lit(100.0)), 1)))

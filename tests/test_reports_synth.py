@@ -77,3 +77,9 @@ def test_single_pass_summary_equals_table_summary(spark):
                                     summaries.city_summary(ev), summaries.membership_summary(ev),
                                     ranking.at_risk_ranked(ev))
     assert sorted(tables.collect()) == sorted(reports.report_summary_from_events(ev).collect())
+
+
+def test_single_pass_bars_equal_table_bars(spark):
+    ev = enrich(activity(spark, SF_SMALL))
+    tables = reports.report_bars(summaries.city_summary(ev), summaries.membership_summary(ev))
+    assert sorted(tables.collect()) == sorted(reports.report_bars_from_events(ev).collect())
