@@ -89,3 +89,18 @@ def test_auto_ungrouped_small_input_uses_one_bounded_task(spark):
     rows = [(None, i % 7, i, i % 3) for i in range(200)]
     expected = brute_force(rows, grouped=False)
     assert run(spark, rows, False, "auto", 4) == expected
+
+
+def test_previous_order_with_a_customer_holding_a_third_of_orders(spark):
+    from actiflow.operators import scan
+    from actiflow.plans.activity import previous_order
+    from actiflow.sources.tables import read_table
+    from conftest import SF_SMALL
+    orders = read_table(spark, SF_SMALL, "orders").select(
+        F.when(F.col("o_orderkey") % 3 == 0, F.lit(0)).otherwise(F.col("o_custkey"))
+        .alias("o_custkey"), "o_orderkey", "o_totalprice", "o_orderdate")
+    assert scan.choose_strategy(orders, ["o_custkey"], 8) == "scan"
+    auto = previous_order(orders)
+    window = sequence_scan(orders, order_by=["o_orderdate", "o_orderkey"], group_by=["o_custkey"],
+                           lag={"prev_orderdate": "o_orderdate"}, strategy="window")
+    assert sorted(auto.collect()) == sorted(window.select(*auto.columns).collect())
