@@ -180,3 +180,19 @@ def test_kpi_per_micro_batch_without_producer_batch(spark, workdir):
     assert [r["batch_id"] for r in rows] == [7, 8]
     assert [r["processed_batches"] for r in rows] == [1, 2]
     assert rows[1]["cumulative_event_count"] == first.count() + second.count()
+
+
+def test_generator_to_stream_demo(spark, workdir):
+    # the reference's demo: generator writes batch files, the processor streams them
+    from actiflow.plans.synth import synth_events
+    seed = activity(spark, SF_SMALL).withColumn("row_no", F.col("o_orderkey"))
+    idx = spark.range(1, 101).select(F.col("id").alias("i"))       # 5 batches of 20
+    events = synth_events(seed, idx, batch_size=20).withColumnRenamed("batch_no", "batch_id")
+    write_event_files(events, f"{workdir}/input", num_files=5)
+    store = ResultStore(spark, f"{workdir}/store")
+    q = start_event_query(enrich(_stream(spark, workdir)), store, f"{workdir}/ckpt",
+                          available_now=True)
+    q.awaitTermination()
+    got = kpi_history_view(store).orderBy("batch_id").collect()
+    want = history.kpi_history(summaries.batch_kpi(enrich(events))).orderBy("batch_id").collect()
+    assert got == want and len(got) == 5
