@@ -6,9 +6,11 @@ basket from ``lineitem`` and the recency from the customer's previous order.
 Plan shape (checked with ``explain("formatted")``):
   * lineitem is reduced to one row per order with a partial + final hash
     aggregate before it is shuffled;
-  * the previous order per customer is a skew-proof ``sequence_scan``
-    (range-partitioned sort), so one customer with a third of all orders
-    does not become one task;
+  * the previous order per customer is a ``sequence_scan``: a plain window
+    (sharing the join's hash partitioning on the customer key) unless a
+    sampled check finds a customer bigger than one partition's share; then the
+    range-partitioned scan, so one customer with a third of all orders does
+    not become one task;
   * ``nation`` is broadcast behind a row-count check; ``customer`` is joined
     by the planner (broadcast when small by statistics, else sort-merge with
     AQE skew splitting).
@@ -57,7 +59,7 @@ def basket_per_order(lineitem: DataFrame) -> DataFrame:
 
 
 def previous_order(orders: DataFrame) -> DataFrame:
-    """Orders with the date of the same customer's previous order (skew-proof)."""
+    """Orders with the date of the same customer's previous order (no hot task)."""
     return sequence_scan(orders, order_by=["o_orderdate", "o_orderkey"], group_by=["o_custkey"],
                          lag={"prev_orderdate": "o_orderdate"})
 
