@@ -104,3 +104,18 @@ def test_previous_order_with_a_customer_holding_a_third_of_orders(spark):
     window = sequence_scan(orders, order_by=["o_orderdate", "o_orderkey"], group_by=["o_custkey"],
                            lag={"prev_orderdate": "o_orderdate"}, strategy="window")
     assert sorted(auto.collect()) == sorted(window.select(*auto.columns).collect())
+
+
+@pytest.mark.parametrize("batch_rows", [1, 3, 7])
+def test_scan_carries_state_across_arrow_batches(spark, batch_rows):
+    # groups, running sums and lags must continue across Arrow batches inside a partition
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(batch_rows))
+    try:
+        rows = [((i // 9) % 4 if i % 5 else None, i % 11, i, (i * 7) % 5 if i % 6 else None)
+                for i in range(150)]
+        assert run(spark, rows, True, "scan", 3) == brute_force(rows, grouped=True)
+        assert run(spark, rows, False, "scan", 2) == brute_force(rows, grouped=False)
+    finally:
+        spark.conf.set(key, before)
