@@ -108,12 +108,13 @@ def with_copies(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
 def mix(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
         source_col: str = "source") -> DataFrame:
     """Every document as often as the mix takes it, with its own columns."""
-    columns = docs.columns
-    copied = with_copies(docs.withColumns({PREFIX + c: F.col(c) for c in columns}),
-                         PREFIX + text_col, PREFIX + id_col, PREFIX + source_col)
+    own = {PREFIX + "own_" + c: c for c in docs.columns}
+    names = {c: n for n, c in own.items()}
+    copied = with_copies(docs.select(*[docs[c].alias(n) for n, c in own.items()]),
+                         names[text_col], names[id_col], names[source_col])
     return (copied.filter("copies > 0")
             .withColumn(PREFIX + "copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-            .select(*[F.col(PREFIX + c).alias(c) for c in columns]))
+            .select(*[F.col(n).alias(c) for n, c in own.items()]))
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

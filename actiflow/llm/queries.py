@@ -4,9 +4,15 @@ from __future__ import annotations
 
 from actiflow.llm.mixing import OP9_SQL, op9_mixing
 from actiflow.llm.quality_rules import OP10_SQL, op10_quality_rules
+from actiflow.llm.pieces import op1_sentencepiece
+from actiflow.llm.secrets import op6_secrets
 from actiflow.llm.simhash import op8_simhash
+from actiflow.llm.token_files import op7_token_files
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
+    "op6_secrets": op6_secrets,
+    "op7_token_files": op7_token_files,
     "op8_simhash": op8_simhash,
     "op9_mixing": op9_mixing,
     "op10_quality_rules": op10_quality_rules,
