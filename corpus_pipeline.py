@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from actiflow.llm import mixing, quality_rules, simhash
+from actiflow.llm import mixing, pieces, quality_rules, secrets, simhash
 from actiflow.session import work_root
 from actiflow.sources.tables import read_table
 
@@ -27,15 +27,31 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.drop_near_duplicates(docs)
 
 
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document stays; secrets in its text are replaced, n_chars follows."""
+    return secrets.redact(docs, length_col="n_chars")
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are repeated or left out so that each source meets its target."""
     return mixing.mix(docs)
 
 
+def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str,
+              model_path: str | None = None) -> DataFrame:
+    """Documents with the SentencePiece ids of their text."""
+    if model_path is None:
+        import public_tokenizers
+        model_path = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.encode(docs, model_path)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality),
     ("simhash_near_dedup", near_dedup),
+    ("secret_scans", without_secrets),
     ("mixing", mixed),
+    ("sentencepiece", tokenized),
 ]
 
 #: Fingerprints, regular expressions and tokenization are beyond SQL.
