@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from actiflow.llm.mixing import OP9_SQL, op9_mixing
 from actiflow.llm.quality_rules import OP10_SQL, op10_quality_rules
+from actiflow.llm.neighbours import op4_neighbours
 from actiflow.llm.pieces import op1_sentencepiece
 from actiflow.llm.secrets import op6_secrets
 from actiflow.llm.simhash import op8_simhash
 from actiflow.llm.token_files import op7_token_files
+from actiflow.llm.topk import OP3_SQL, op3_topk
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op3_topk": op3_topk,
+    "op4_neighbours": op4_neighbours,
     "op6_secrets": op6_secrets,
     "op7_token_files": op7_token_files,
     "op8_simhash": op8_simhash,
@@ -19,6 +23,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op3_topk": OP3_SQL,
     "op9_mixing": OP9_SQL,
     "op10_quality_rules": OP10_SQL,
 }
