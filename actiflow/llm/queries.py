@@ -5,6 +5,7 @@ from __future__ import annotations
 from actiflow.llm.mixing import OP9_SQL, op9_mixing
 from actiflow.llm.quality_rules import OP10_SQL, op10_quality_rules
 from actiflow.llm.neighbours import op4_neighbours
+from actiflow.llm.paragraphs import op5_paragraphs
 from actiflow.llm.pieces import op1_sentencepiece
 from actiflow.llm.secrets import op6_secrets
 from actiflow.llm.simhash import op8_simhash
@@ -15,6 +16,7 @@ QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op3_topk": op3_topk,
     "op4_neighbours": op4_neighbours,
+    "op5_paragraphs": op5_paragraphs,
     "op6_secrets": op6_secrets,
     "op7_token_files": op7_token_files,
     "op8_simhash": op8_simhash,
