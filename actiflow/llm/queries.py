@@ -7,6 +7,7 @@ from actiflow.llm.quality_rules import OP10_SQL, op10_quality_rules
 from actiflow.llm.neighbours import op4_neighbours
 from actiflow.llm.paragraphs import op5_paragraphs
 from actiflow.llm.pieces import op1_sentencepiece
+from actiflow.llm.quotes import op2_quotes
 from actiflow.llm.secrets import op6_secrets
 from actiflow.llm.simhash import op8_simhash
 from actiflow.llm.token_files import op7_token_files
@@ -14,6 +15,7 @@ from actiflow.llm.topk import OP3_SQL, op3_topk
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_quotes": op2_quotes,
     "op3_topk": op3_topk,
     "op4_neighbours": op4_neighbours,
     "op5_paragraphs": op5_paragraphs,
