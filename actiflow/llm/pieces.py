@@ -63,12 +63,18 @@ class PieceModel:
 
 
 def double_array(keys: list[tuple[bytes, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(base, check, value) of the sorted keys. Child of node s by byte c: base[s] + c + 1."""
-    size = 1 << 16
-    base, check = np.zeros(size, np.int32), np.full(size, -1, np.int32)
-    value = np.full(size, -1, np.int32)
-    check[0] = 0
-    free = 1
+    """(base, check, value) of the sorted keys. Child of node s by byte c: base[s] + c + 1.
+
+    Nodes are placed breadth first, each at the first base whose places are all free; the
+    search of nodes with several children moves on past places that keep failing, which
+    nodes with one child fill later.
+    """
+    taken = bytearray(1 << 12)
+    placed: dict[int, int] = {0: 0}  # place -> parent
+    base: dict[int, int] = {}
+    value: dict[int, int] = {}
+    taken[0] = 1
+    free, free_many = 1, 1
     queue = [(0, 0, len(keys), 0)]  # node, first and last key, depth
     for node, lo, hi, depth in queue:
         if lo < hi and len(keys[lo][0]) == depth:
@@ -81,27 +87,34 @@ def double_array(keys: list[tuple[bytes, int]]) -> tuple[np.ndarray, np.ndarray,
             if k == hi or keys[k][0][depth] != keys[start][0][depth]:
                 spans.append((keys[start][0][depth] + 1, start, k))
                 start = k
-        codes = np.array([c for c, _, _ in spans])
-        while check[free] >= 0:
-            free += 1
-        at = free
+        first = spans[0][0]
+        rest = [c - first for c, _, _ in spans[1:]]
+        at = taken.find(0, max(free if not rest else free_many, first))
+        tries = 0
         while True:
-            b = max(at - codes[0], 0)
-            if b + 257 >= len(check):
-                grow = len(check)
-                base = np.concatenate([base, np.zeros(grow, np.int32)])
-                check = np.concatenate([check, np.full(grow, -1, np.int32)])
-                value = np.concatenate([value, np.full(grow, -1, np.int32)])
-            if (check[b + codes] < 0).all():
+            if at < 0 or at + 258 > len(taken):
+                taken.extend(bytes(len(taken)))
+                at = at if at >= 0 else taken.find(0, free)
+                continue
+            if not any(taken[at + c] for c in rest):
                 break
-            at += 1
-            while at < len(check) and check[at] >= 0:
-                at += 1
-        base[node] = b
-        check[b + codes] = node
-        queue += [(b + c, s, e, depth + 1) for c, s, e in spans]
-    used = int(np.nonzero(check >= 0)[0].max()) + 258
-    return base[:used], check[:used], value[:used]
+            tries += 1
+            at = taken.find(0, at + 1)
+        if rest and tries > 100:
+            free_many = at - 100
+        elif not rest and first <= free:
+            free = at
+        base[node] = at - first
+        for c, s, e in spans:
+            place = at - first + c
+            taken[place] = 1
+            placed[place] = node
+            queue.append((place, s, e, depth + 1))
+    size = max(placed) + 258
+    arrays = np.zeros(size, np.int32), np.full(size, -1, np.int32), np.full(size, -1, np.int32)
+    for array, entries in zip(arrays, (base, placed, value)):
+        array[list(entries)] = list(entries.values())
+    return arrays
 
 
 def load_model(path: str) -> PieceModel:
