@@ -13,13 +13,14 @@ from pyspark.sql import types as T
 
 from actiflow.schemas import CSV_MESSAGE_DDL, CSV_MESSAGE_FIELDS, EVENT_FIELDS, EVENT_KEYS, EVENT_SCHEMA
 
-# Fixed value: event times travel as ISO-8601 UTC text with a trailing 'Z'.
-EVENT_TIME_TEXT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+# Fixed value: event times travel as ISO-8601 UTC text with a trailing 'Z'; fractions of a
+# second appear only where there are any.
+EVENT_TIME_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def event_time_text(col="event_time") -> Column:
     c = F.col(col) if isinstance(col, str) else col
-    return F.date_format(c, EVENT_TIME_TEXT)
+    return F.concat(F.regexp_replace(F.date_format(c, EVENT_TIME_TEXT), r"\.?0+$", ""), F.lit("Z"))
 
 
 def _text_fields(df: DataFrame, fields: list[str]) -> list[Column]:

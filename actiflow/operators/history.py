@@ -3,15 +3,16 @@
 The reference kept ``processed_batches`` and ``cumulative_event_count`` in
 driver memory, so they restarted at 0 with the process. Here they are derived
 from the stored per-batch KPI rows, so a restart or a replayed batch cannot
-make them drift. The running total is a skew-proof ``sequence_scan`` rather
-than ``Window.orderBy`` (which would move the whole history into one task).
+make them drift. The running total is computed in blocks of batch numbers rather
+than with one window (which would move the whole history into one task).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from actiflow.operators.scan import sequence_scan
+from actiflow.operators.blocks import running
 
 HISTORY_COLUMNS = ["batch_id", "processed_batches", "event_count", "cumulative_event_count",
                    "total_revenue", "avg_spend", "avg_rating", "discounted_orders",
@@ -20,8 +21,18 @@ HISTORY_COLUMNS = ["batch_id", "processed_batches", "event_count", "cumulative_e
 
 def kpi_history(kpi: DataFrame) -> DataFrame:
     """Per-batch KPI rows (one per non-empty batch) with ordinal and running total."""
-    scanned = sequence_scan(kpi, order_by=["batch_id"],
-                            running_sum={"cumulative_event_count": "event_count"},
-                            row_number="processed_batches")
+    scanned = running(kpi, "batch_id", {"cumulative_event_count": "event_count"}, "processed_batches")
     extra = [c for c in kpi.columns if c not in HISTORY_COLUMNS]
     return scanned.select(*(extra + HISTORY_COLUMNS))
+
+
+def newest(kpi: DataFrame) -> DataFrame:
+    """The newest row of ``kpi_history`` from one aggregate: no history is built for it.
+    No row without batches."""
+    extra = [c for c in kpi.columns if c not in HISTORY_COLUMNS]
+    last = F.max_by(F.struct(*kpi.columns), "batch_id").alias("last")
+    totals = kpi.agg(last, F.count(F.lit(1)).alias("processed_batches"),
+                     F.sum("event_count").alias("cumulative_event_count"))
+    totals = totals.filter("processed_batches > 0")
+    return totals.select(*[F.col(c) if c in totals.columns else F.col(f"last.{c}").alias(c)
+                           for c in extra + HISTORY_COLUMNS])

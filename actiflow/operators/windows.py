@@ -41,6 +41,9 @@ def dedup_events(events: DataFrame, key: str = "event_id", time_col: str | None
     shuffle). Stream: ``dropDuplicatesWithinWatermark``, so state for an id is
     dropped once the watermark passes it.
     """
-    if events.isStreaming and watermark:
+    if events.isStreaming:
+        if not (watermark and time_col):
+            raise ValueError("de-duplication of a stream needs time_col and a watermark: "
+                             "without them its state grows without bound")
         return with_watermark(events, time_col, watermark).dropDuplicatesWithinWatermark([key])
     return events.dropDuplicates([key])

@@ -6,14 +6,11 @@ basket from ``lineitem`` and the recency from the customer's previous order.
 Plan shape (checked with ``explain("formatted")``):
   * lineitem is reduced to one row per order with a partial + final hash
     aggregate before it is shuffled;
-  * the previous order per customer is a ``sequence_scan``: a plain window
-    (sharing the join's hash partitioning on the customer key) unless a
-    sampled check finds a customer bigger than one partition's share; then the
-    range-partitioned scan, so one customer with a third of all orders does
-    not become one task;
-  * ``nation`` is broadcast behind a row-count check; ``customer`` is joined
-    by the planner (broadcast when small by statistics, else sort-merge with
-    AQE skew splitting).
+  * the previous order per customer comes from windows within (customer, day) and one
+    tail row per customer and day, so one customer with a third of all orders does not
+    become one task;
+  * ``customer`` and ``nation`` are joined by the planner (broadcast when small by measured
+    size, else sort-merge with AQE skew splitting).
 """
 
 from __future__ import annotations
@@ -22,8 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from actiflow.functions import rules
-from actiflow.operators.joins import broadcast_if_small
-from actiflow.operators.scan import sequence_scan
+from actiflow.operators.blocks import previous_value
 from actiflow.sources.tables import read_table
 
 # ---------------------------------------------------------------------------
@@ -60,8 +56,8 @@ def basket_per_order(lineitem: DataFrame) -> DataFrame:
 
 def previous_order(orders: DataFrame) -> DataFrame:
     """Orders with the date of the same customer's previous order (no hot task)."""
-    return sequence_scan(orders, order_by=["o_orderdate", "o_orderkey"], group_by=["o_custkey"],
-                         lag={"prev_orderdate": "o_orderdate"})
+    return previous_value(orders, "o_custkey", ["o_orderdate", "o_orderkey"],
+                          F.to_date("o_orderdate"), "o_orderdate", "prev_orderdate")
 
 
 def activity_from_tables(orders: DataFrame, lineitem: DataFrame, customer: DataFrame,
@@ -69,7 +65,7 @@ def activity_from_tables(orders: DataFrame, lineitem: DataFrame, customer: DataF
     orders = orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     li = basket_per_order(lineitem.select("l_orderkey", "l_quantity", "l_discount"))
     cust = (customer.select("c_custkey", "c_nationkey", "c_acctbal")
-            .join(broadcast_if_small(nation.select("n_nationkey", "n_name")),
+            .join(nation.select("n_nationkey", "n_name"),
                   F.col("c_nationkey") == F.col("n_nationkey")))
     base = (previous_order(orders)
             .join(cust, F.col("o_custkey") == F.col("c_custkey"))
@@ -80,7 +76,7 @@ def activity_from_tables(orders: DataFrame, lineitem: DataFrame, customer: DataF
     out = base.select(
         F.format_string(EVENT_ID_FORMAT, F.col("o_orderkey")).alias("event_id"),
         F.col("o_orderdate").alias("event_time"),
-        key.cast("int").alias("customer_id"),
+        key.alias("customer_id"),
         F.when(key % 2 == 0, F.lit("Female")).otherwise(F.lit("Male")).alias("gender"),
         F.when(key % 17 == 0, F.lit(None).cast("int"))
          .otherwise((F.lit(18) + (key * 7) % 53).cast("int")).alias("age"),
@@ -94,7 +90,7 @@ def activity_from_tables(orders: DataFrame, lineitem: DataFrame, customer: DataF
         (F.col("max_disc") > DISCOUNT_OVER).alias("discount_applied"),
         days.cast("int").alias("days_since_last_purchase"),
         F.col("o_orderkey"),
-        F.floor(F.col("o_orderkey") / ORDERS_PER_BATCH).cast("int").alias("batch_id"),
+        F.floor(F.col("o_orderkey") / ORDERS_PER_BATCH).cast("long").alias("batch_id"),
     )
     out = out.withColumn("satisfaction_level", rules.satisfaction_a())
     return out.select(*ACTIVITY_COLUMNS)

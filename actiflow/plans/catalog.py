@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from actiflow.functions import codecs, rules
 from actiflow.operators import history, ranking, summaries
 from actiflow.operators.enrich import enrich, parse_event_time, with_age_group
-from actiflow.operators.scan import sequence_scan
+from actiflow.operators.blocks import running
 from actiflow.operators.upsert import latest_per_key
 from actiflow.operators.windows import dedup_events, window_kpis
 from actiflow.plans import faults, reports
@@ -26,7 +26,7 @@ from actiflow.session import apply_session_conf, work_root
 from actiflow.sinks.store import ResultStore
 from actiflow.sources.events import SourceSpec, read_events
 from actiflow.sources.tables import read_table
-from actiflow.streaming.processor import kpi_history_view, start_event_query
+from actiflow.streaming.processor import kpi_history_view, start_event_query, stored_events
 from actiflow.streaming.replay import BATCH_FIELD, write_event_files
 from actiflow.streaming.segments import current_segments, start_segment_queries
 
@@ -117,7 +117,8 @@ def q_at_risk_classic(spark, sf_dir):
 
 @register("top_at_risk")
 def q_top_at_risk(spark, sf_dir):
-    return ranking.top_at_risk(enriched(spark, sf_dir), 10)
+    """Report panel: of the newest batch, as all report panels."""
+    return ranking.top_at_risk(reports.newest_batch(enriched(spark, sf_dir)), 10)
 
 
 @register("ordered_events")
@@ -141,7 +142,7 @@ def q_recent_kpis(spark, sf_dir):
 
 @register("latest_kpi")
 def q_latest_kpi(spark, sf_dir):
-    return ranking.latest_kpi(kpi_history(spark, sf_dir))
+    return history.newest(summaries.batch_kpi(enriched(spark, sf_dir)))
 
 
 # --- codecs --------------------------------------------------------------------
@@ -205,18 +206,19 @@ def q_valid_rejects(spark, sf_dir):
 
 
 # --- streaming (file replay of the activity table, availableNow trigger) -------
-REPLAY_FILES = 8
+# Micro-batches of a replay: a quarter of its files each.
+REPLAY_BATCHES = 4
 
 
 def _replay(spark: SparkSession, sf_dir: str, purpose: str):
     """Write the activity events as JSON-lines files (with the producer batch
     number) and return (root, stream of decoded events). Folders are fresh per
-    run; two files per trigger, so the stream runs several micro-batches."""
+    run. As many files as the session has shuffle partitions."""
     root = work_root(spark, purpose)
-    # 8 files, 2 per trigger: 4 micro-batches whatever the session's partitioning
-    write_event_files(activity(spark, sf_dir), f"{root}/input", num_files=REPLAY_FILES)
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    write_event_files(activity(spark, sf_dir), f"{root}/input", num_files=files)
     spec = SourceSpec(kind="files", path=f"{root}/input",
-                      max_files_per_trigger=REPLAY_FILES // 4, extra_fields=[BATCH_FIELD])
+                      max_files_per_trigger=max(1, files // REPLAY_BATCHES), extra_fields=[BATCH_FIELD])
     return root, read_events(spark, spec, streaming=True)
 
 
@@ -233,7 +235,7 @@ def _run_event_stream(spark: SparkSession, sf_dir: str, purpose: str) -> ResultS
 @register("stream_events")
 def q_stream_events(spark, sf_dir):
     store = _run_event_stream(spark, sf_dir, "stream_events")
-    return store.read("events").select(*EVENT_FIELDS, "batch_id", "is_at_risk", "high_value_order")
+    return stored_events(store).select(*EVENT_FIELDS, "batch_id", "is_at_risk", "high_value_order")
 
 
 @register("stream_kpis")
@@ -241,51 +243,38 @@ def q_stream_kpis(spark, sf_dir):
     return kpi_history_view(_run_event_stream(spark, sf_dir, "stream_kpis"))
 
 
-def _run_segment_streams(spark, sf_dir, purpose) -> ResultStore:
-    root, stream = _replay(spark, sf_dir, purpose)
+def _run_segment_stream(spark, sf_dir, table) -> DataFrame:
+    root, stream = _replay(spark, sf_dir, f"stream_{table}")
     store = ResultStore(spark, f"{root}/store")
-    queries = start_segment_queries(stream, store, f"{root}/checkpoint", available_now=True)
+    queries = start_segment_queries(stream, store, f"{root}/checkpoint", available_now=True,
+                                    tables=[table])
     for q in queries:
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
-    return store
+    return current_segments(store, table)
 
 
 @register("stream_segments")
 def q_stream_segments(spark, sf_dir):
-    return current_segments(_run_segment_streams(spark, sf_dir, "stream_segments"),
-                            "customer_segments")
+    return _run_segment_stream(spark, sf_dir, "customer_segments")
 
 
 @register("stream_city_segments")
 def q_stream_city_segments(spark, sf_dir):
-    return current_segments(_run_segment_streams(spark, sf_dir, "stream_city_segments"),
-                            "city_segments")
+    return _run_segment_stream(spark, sf_dir, "city_segments")
 
 
-# --- additions: upsert twin, de-duplication, event-time windows -----------------
+# --- additions: upsert read, de-duplication, event-time windows -----------------
 @register("segment_upsert")
 def q_segment_upsert(spark, sf_dir):
-    """Batch twin of update mode: each producer batch emits the running segment
-    values of the groups it touched; the latest version per group is the
-    current segment table."""
+    """Upsert read: every batch gives a version of the segments it touches; the newest
+    version of each segment counts."""
     keys = ["membership_type", "age_group", "city"]
-    per_batch = (with_age_group(activity(spark, sf_dir))
-                 .groupBy(*keys, "batch_id")
-                 .agg(F.sum("total_spend").alias("s_spend"),
-                      F.count("total_spend").alias("n_spend"),
-                      F.sum("items_purchased").cast("long").alias("s_items"),
-                      F.count("items_purchased").alias("n_items")))
-    updates = sequence_scan(per_batch, order_by=["batch_id"], group_by=keys,
-                            running_sum={"s_spend": "s_spend", "n_spend": "n_spend",
-                                         "s_items": "s_items", "n_items": "n_items"})
-    updates = updates.select(
-        *keys, "batch_id",
-        F.round(F.when(F.col("n_spend") > 0, F.col("s_spend") / F.col("n_spend")), 2)
-        .alias("avg_total_spend"),
-        F.when(F.col("n_items") > 0, F.col("s_items")).alias("total_items_purchased"))
-    return latest_per_key(updates, keys, "batch_id")
+    versions = (with_age_group(activity(spark, sf_dir)).groupBy(*keys, "batch_id")
+                .agg(F.round(F.avg("total_spend"), 2).alias("avg_total_spend"),
+                     F.sum("items_purchased").cast("long").alias("total_items_purchased")))
+    return latest_per_key(versions, keys, "batch_id")
 
 
 @register("dedup_events")
@@ -306,9 +295,8 @@ def q_window_kpis(spark, sf_dir):
 # --- synthesis -----------------------------------------------------------------
 @register("synth_events")
 def q_synth_events(spark, sf_dir):
-    """Seed = the activity table with a dense row number (skew-proof scan); one
-    synthetic event per seed row."""
-    seed = sequence_scan(activity(spark, sf_dir), order_by=["o_orderkey"], row_number="_rn")
+    """Seed = the activity table with a dense row number; one synthetic event per seed row."""
+    seed = running(activity(spark, sf_dir), "o_orderkey", row_number="_rn")
     seed = seed.withColumn("row_no", F.col("_rn") - 1).drop("_rn")
     return synth_events(seed, seed.select((F.col("row_no") + 1).alias("i")))
 
@@ -323,14 +311,19 @@ def q_synth_messages(spark, sf_dir):
 # --- reports (from the batch results) ------------------------------------------
 @register("report_cards")
 def q_report_cards(spark, sf_dir):
-    return reports.report_cards(kpi_history(spark, sf_dir))
+    return reports.report_cards(history.newest(summaries.batch_kpi(enriched(spark, sf_dir))))
 
 
 @register("report_bars")
 def q_report_bars(spark, sf_dir):
-    return reports.report_bars_from_events(enriched(spark, sf_dir))
+    newest = reports.newest_batch(enriched(spark, sf_dir))
+    return reports.report_bars(summaries.city_summary(newest), summaries.membership_summary(newest))
 
 
 @register("report_summary")
 def q_report_summary(spark, sf_dir):
-    return reports.report_summary_from_events(enriched(spark, sf_dir))
+    events = enriched(spark, sf_dir)
+    newest = reports.newest_batch(events)
+    return reports.report_summary(history.newest(summaries.batch_kpi(events)),
+                                  summaries.city_summary(newest), summaries.membership_summary(newest),
+                                  newest.filter("is_at_risk"))

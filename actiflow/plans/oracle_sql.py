@@ -19,7 +19,7 @@ o AS (
 base AS (
   SELECT printf('evt-%06d', o_orderkey) AS event_id,
          o_orderdate AS event_time,
-         CAST(c_custkey AS INTEGER) AS customer_id,
+         CAST(c_custkey AS BIGINT) AS customer_id,
          CASE WHEN c_custkey % 2 = 0 THEN 'Female' ELSE 'Male' END AS gender,
          CASE WHEN c_custkey % 17 = 0 THEN NULL
               ELSE CAST(18 + (c_custkey * 7) % 53 AS INTEGER) END AS age,
@@ -32,7 +32,7 @@ base AS (
          max_disc > 0.09 AS discount_applied,
          CAST(1 + date_diff('day', prev, o_orderdate) % 60 AS INTEGER) AS days_since_last_purchase,
          o_orderkey,
-         CAST(FLOOR(o_orderkey / 500) AS INTEGER) AS batch_id
+         CAST(FLOOR(o_orderkey / 500) AS BIGINT) AS batch_id
   FROM o JOIN customer ON o_custkey = c_custkey
          JOIN nation ON c_nationkey = n_nationkey
          LEFT JOIN li ON l_orderkey = o_orderkey),
@@ -85,6 +85,8 @@ def _q(body: str) -> str:
 EVENT_COLS = ("event_id, event_time, customer_id, gender, age, city, membership_type, "
               "total_spend, items_purchased, average_rating, discount_applied, "
               "days_since_last_purchase, satisfaction_level")
+# Decoded events: the message contract has a 32-bit customer id.
+DECODED_COLS = EVENT_COLS.replace("customer_id", "CAST(customer_id AS INTEGER) AS customer_id")
 AT_RISK_COLS = ("event_time, customer_id, city, membership_type, total_spend, average_rating, "
                 "days_since_last_purchase, satisfaction_level")
 RISK_ORDER = ("days_since_last_purchase DESC NULLS LAST, average_rating ASC NULLS FIRST, "
@@ -142,7 +144,8 @@ FROM aged GROUP BY membership_type, age_group, city"""),
 SELECT customer_id, city, total_spend, days_since_last_purchase, satisfaction_level
 FROM activity WHERE days_since_last_purchase > 30 AND satisfaction_level = 'Unsatisfied'"""),
     "top_at_risk": _q(f"""
-SELECT {AT_RISK_COLS} FROM enriched WHERE is_at_risk ORDER BY {RISK_ORDER} LIMIT 10"""),
+SELECT {AT_RISK_COLS} FROM enriched
+WHERE is_at_risk AND batch_id = (SELECT MAX(batch_id) FROM enriched) ORDER BY {RISK_ORDER} LIMIT 10"""),
     "ordered_events": _q("SELECT * FROM enriched"),
     "latest_events": _q("""
 SELECT * FROM enriched WHERE batch_id = (SELECT MAX(batch_id) FROM enriched)
@@ -161,10 +164,10 @@ SELECT event_id, discount_text,
        COALESCE(lower(trim(discount_text)) IN ('1', 'true', 'yes', 'y'), FALSE) AS discount_applied
 FROM t"""),
     "encode_json": _q(f"SELECT event_id, CAST({JSON_EVENT} AS VARCHAR) AS value FROM activity"),
-    "decode_json": _q(f"SELECT {EVENT_COLS} FROM activity"),
+    "decode_json": _q(f"SELECT {DECODED_COLS} FROM activity"),
     "encode_csv": _q(f"SELECT event_id, {_csv(CSV_COLS)} AS value FROM activity"),
     "decode_csv": _q("""
-SELECT customer_id, gender, age, city, membership_type, CAST(total_spend AS FLOAT) AS total_spend,
+SELECT CAST(customer_id AS INTEGER) AS customer_id, gender, age, city, membership_type, CAST(total_spend AS FLOAT) AS total_spend,
        items_purchased, CAST(average_rating AS FLOAT) AS average_rating, discount_applied,
        days_since_last_purchase, satisfaction_level
 FROM activity"""),
@@ -217,7 +220,7 @@ m AS (
          s.days_since_last_purchase + {_randint('days', -6, 8)} AS days_r,
          s.age + {_randint('age', -1, 1)} AS age_r,
          s.discount_applied <> ({_u('flip')} < 0.25) AS discount_applied,
-         CAST(FLOOR((k.i - 1) / 20) + 1 AS INTEGER) AS batch_no
+         CAST(FLOOR((k.i - 1) / 20) + 1 AS BIGINT) AS batch_no
   FROM picked k JOIN seed s ON k.row_no = s.row_no),
 f AS (
   SELECT printf('evt-%06d', i) AS event_id,
@@ -262,10 +265,12 @@ FROM r"""
 
 _LAST_KPI = ", last AS (SELECT * FROM kpi_history ORDER BY batch_id DESC LIMIT 1)\n"
 
-_BARS = """
-, cs AS (SELECT city AS label, ROUND(AVG(total_spend), 2) AS value FROM enriched
+_NEWEST = ", newest AS (SELECT * FROM enriched WHERE batch_id = (SELECT MAX(batch_id) FROM enriched))\n"
+
+_BARS = _NEWEST + """
+, cs AS (SELECT city AS label, ROUND(AVG(total_spend), 2) AS value FROM newest
          GROUP BY city ORDER BY city ASC NULLS FIRST LIMIT 8),
-ms AS (SELECT membership_type AS label, CAST(COUNT(*) AS DOUBLE) AS value FROM enriched
+ms AS (SELECT membership_type AS label, CAST(COUNT(*) AS DOUBLE) AS value FROM newest
        GROUP BY membership_type ORDER BY membership_type ASC NULLS FIRST LIMIT 8)
 SELECT 'avg_spend_by_city' AS chart, label, value, printf('%.2f', value) AS value_text,
        ROUND(GREATEST(CAST(6.0 AS DOUBLE),
@@ -278,12 +283,20 @@ SELECT 'events_by_membership', label, value, CAST(CAST(value AS BIGINT) AS VARCH
 FROM ms"""
 
 ORACLES.update({
-    "stream_events": _q(f"SELECT {EVENT_COLS}, batch_id, is_at_risk, high_value_order FROM enriched"),
+    "stream_events": _q(f"SELECT {DECODED_COLS}, batch_id, is_at_risk, high_value_order FROM enriched"),
     "stream_kpis": ORACLES["kpi_history"],
     "stream_segments": ORACLES["customer_segments"],
     "stream_city_segments": ORACLES["city_segments"],
-    "segment_upsert": ORACLES["customer_segments"],
-    "dedup_events": ORACLES["decode_json"],
+    "segment_upsert": _q("""
+SELECT membership_type, age_group, city, avg_total_spend, total_items_purchased
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY membership_type, age_group, city
+                                   ORDER BY batch_id DESC) AS place
+      FROM (SELECT membership_type, age_group, city, batch_id,
+                   ROUND(AVG(total_spend), 2) AS avg_total_spend,
+                   CAST(SUM(items_purchased) AS BIGINT) AS total_items_purchased
+            FROM aged GROUP BY ALL))
+WHERE place = 1"""),
+    "dedup_events": _q(f"SELECT {EVENT_COLS} FROM activity"),
     "window_kpis": """
 SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end,
        event_type, COUNT(*) AS event_count, ROUND(SUM(value), 2) AS total_value
@@ -296,14 +309,14 @@ UNION ALL SELECT 2, 'Total Events', CAST(cumulative_event_count AS VARCHAR) FROM
 UNION ALL SELECT 3, 'Latest Revenue', printf('%.2f', total_revenue) FROM last
 UNION ALL SELECT 4, 'At-Risk Customers', CAST(at_risk_count AS VARCHAR) FROM last"""),
     "report_bars": _q(_BARS),
-    "report_summary": _q(_LAST_KPI + """
+    "report_summary": _q(_LAST_KPI + _NEWEST + """
 SELECT 'processed_batches' AS metric, CAST(processed_batches AS DOUBLE) AS value FROM last
 UNION ALL SELECT 'total_events', CAST(cumulative_event_count AS DOUBLE) FROM last
 UNION ALL SELECT 'latest_revenue', total_revenue FROM last
 UNION ALL SELECT 'latest_avg_spend', avg_spend FROM last
 UNION ALL SELECT 'latest_at_risk', CAST(at_risk_count AS DOUBLE) FROM last
-UNION ALL SELECT 'cities', CAST(COUNT(*) AS DOUBLE) FROM (SELECT city FROM enriched GROUP BY city)
+UNION ALL SELECT 'cities', CAST(COUNT(*) AS DOUBLE) FROM (SELECT city FROM newest GROUP BY city)
 UNION ALL SELECT 'membership_groups', CAST(COUNT(*) AS DOUBLE)
-          FROM (SELECT membership_type FROM enriched GROUP BY membership_type)
-UNION ALL SELECT 'at_risk_records', CAST(COUNT(*) AS DOUBLE) FROM enriched WHERE is_at_risk"""),
+          FROM (SELECT membership_type FROM newest GROUP BY membership_type)
+UNION ALL SELECT 'at_risk_records', CAST(COUNT(*) AS DOUBLE) FROM newest WHERE is_at_risk"""),
 })

@@ -19,6 +19,11 @@ PANEL_ROWS = 10
 MIN_BAR_WIDTH = 6.0
 
 
+def newest_batch(events: DataFrame) -> DataFrame:
+    """The events of the newest batch; its number is a scalar subquery."""
+    return events.filter(F.col("batch_id") == events.agg(F.max("batch_id")).scalar())
+
+
 def latest_row(history: DataFrame, order_col: str = "batch_id") -> DataFrame:
     """Exactly one row: the newest history row, or all nulls when empty."""
     cols = [c for c in history.columns]
@@ -101,79 +106,7 @@ def reports_from_store(store) -> dict[str, DataFrame]:
     }
 
 
-def report_summary_from_events(enriched: DataFrame) -> DataFrame:
-    """``report_summary`` of a whole enriched history in one pass.
-
-    One ``GROUPING SETS`` aggregate yields the per-batch KPI rows, the city
-    groups and the membership groups from a single scan and shuffle; a final
-    global aggregate over those few rows gives the facts. (The table-based
-    ``report_summary`` reads stored results; given tables derived from the same
-    events, it would recompute them once per input.)
-    """
-    from actiflow.operators.summaries import count_true
-
-    sets = (enriched.groupingSets([["batch_id"], ["city"], ["membership_type"]],
-                                  "batch_id", "city", "membership_type")
-            .agg(F.grouping_id().alias("gid"),
-                 F.count(F.lit(1)).alias("n"),
-                 F.round(F.sum("total_spend"), 2).alias("revenue"),
-                 F.round(F.avg("total_spend"), 2).alias("avg_spend"),
-                 count_true("is_at_risk").alias("at_risk")))
-    # grouping_id bit set = column aggregated away: (batch) -> 0b011, (city) -> 0b101,
-    # (membership_type) -> 0b110
-    is_batch, is_city, is_member = (F.col("gid") == 3), (F.col("gid") == 5), (F.col("gid") == 6)
-    last = F.max_by(F.struct("revenue", "avg_spend", "at_risk"),
-                    F.when(is_batch, F.col("batch_id")))
-    facts = sets.agg(
-        F.count_if(is_batch).cast("double").alias("processed_batches"),
-        F.sum(F.when(is_batch, F.col("n"))).cast("double").alias("total_events"),
-        last.alias("last"),
-        F.count_if(is_city).cast("double").alias("cities"),
-        F.count_if(is_member).cast("double").alias("membership_groups"),
-        F.sum(F.when(is_batch, F.col("at_risk"))).cast("double").alias("at_risk_records"))
-    metrics = [("processed_batches", F.col("processed_batches")),
-               ("total_events", F.col("total_events")),
-               ("latest_revenue", F.col("last.revenue")),
-               ("latest_avg_spend", F.col("last.avg_spend")),
-               ("latest_at_risk", F.col("last.at_risk").cast("double")),
-               ("cities", F.col("cities")),
-               ("membership_groups", F.col("membership_groups")),
-               ("at_risk_records", F.col("at_risk_records"))]
-    return facts.select(F.explode(F.array(*[
-        F.struct(F.lit(m).alias("metric"), v.alias("value")) for m, v in metrics])).alias("f")
-    ).select("f.*")
-
-
 def save_reports(store, tables: dict[str, DataFrame]) -> None:
     """Replace the stored report tables (snapshot writes; each is small)."""
     for name, df in tables.items():
         store.write_snapshot(df, f"reports/{name}")
-
-
-def report_bars_from_events(enriched: DataFrame) -> DataFrame:
-    """``report_bars`` of a whole enriched history in one pass.
-
-    One ``GROUPING SETS`` aggregate gives both series (mean spend per city,
-    events per membership tier); the first 8 labels and the widths come from
-    windows partitioned by chart over the aggregated rows (one per group).
-    """
-    sets = (enriched.groupingSets([["city"], ["membership_type"]], "city", "membership_type")
-            .agg(F.grouping_id().alias("gid"),
-                 F.round(F.avg("total_spend"), 2).alias("avg_spend"),
-                 F.count(F.lit(1)).cast("double").alias("n")))
-    is_city = F.col("gid") == 1          # membership_type aggregated away
-    rows = sets.select(
-        F.when(is_city, F.lit("avg_spend_by_city"))
-         .otherwise(F.lit("events_by_membership")).alias("chart"),
-        F.when(is_city, F.col("city")).otherwise(F.col("membership_type")).alias("label"),
-        F.when(is_city, F.col("avg_spend")).otherwise(F.col("n")).alias("value"))
-    by_label = Window.partitionBy("chart").orderBy(F.col("label").asc_nulls_first())
-    first = (rows.withColumn("_rank", F.row_number().over(by_label))
-             .filter(F.col("_rank") <= BAR_ROWS).drop("_rank"))
-    text = F.when(F.col("chart") == "avg_spend_by_city", F.format_string("%.2f", F.col("value"))) \
-            .otherwise(F.col("value").cast("long").cast("string"))
-    top = Window.partitionBy("chart")
-    return (first.withColumn("value_text", text)
-            .withColumn("width", F.round(F.greatest(
-                F.lit(MIN_BAR_WIDTH),
-                F.col("value") / F.greatest(F.max("value").over(top), F.lit(1.0)) * F.lit(100.0)), 1)))

@@ -58,7 +58,7 @@ def synth_events(seed_rows: DataFrame, indices: DataFrame, seed: int = DEFAULT_S
     rating = F.round(F.col("average_rating")
                      + hashing.uniform_between(seed, i, "rating", -0.4, 0.5), 1)
     flip = hashing.uniform(seed, i, "flip") < F.lit(0.25)
-    batch_no = (F.floor((i - 1) / batch_size) + 1).cast("int")
+    batch_no = (F.floor((i - 1) / batch_size) + 1).cast("long")
     out = base.select(
         F.format_string("evt-%06d", i).alias("event_id"),
         F.timestamp_add("SECOND", (batch_no - 1) * pause_seconds,

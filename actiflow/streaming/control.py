@@ -3,7 +3,7 @@
 ``run_until`` replaces the reference's flag polled from inside the callback:
 it counts non-empty micro-batches from the query's own progress reports, and
 its idle clock starts when the query starts, so a stream that never receives
-data still stops.
+data still stops; while a batch is being worked on, the clock does not run.
 """
 
 from __future__ import annotations
@@ -18,26 +18,42 @@ def non_empty_batches(query: StreamingQuery) -> set[int]:
     return {p["batchId"] for p in query.recentProgress if p.get("numInputRows", 0) > 0}
 
 
+def is_working(query: StreamingQuery) -> bool:
+    """A trigger is running and has data: not idle, however long it takes."""
+    status = query.status
+    return bool(status.get("isTriggerActive") and status.get("isDataAvailable"))
+
+
+def run_all_until(queries: list[StreamingQuery], max_batches: int | None = None,
+                  idle_seconds: float | None = None, poll_seconds: float = 1.0) -> list[int]:
+    """Block until every query has run ``max_batches`` non-empty batches, has had nothing
+    to do for ``idle_seconds``, or has ended. The clock of a query stands still while it
+    works on a batch. Returns the counts of non-empty batches; no limit means no end."""
+    seen: list[set[int]] = [set() for _ in queries]
+    since = [time.monotonic()] * len(queries)
+    while any(q.isActive for q in queries):
+        next(q for q in queries if q.isActive).awaitTermination(poll_seconds)
+        for i, q in enumerate(queries):
+            if not q.isActive:
+                continue
+            done = non_empty_batches(q)
+            if done - seen[i] or is_working(q):
+                since[i] = time.monotonic()
+            seen[i] |= done
+            enough = max_batches is not None and len(seen[i]) >= max_batches
+            if enough or idle_seconds is not None and time.monotonic() - since[i] >= idle_seconds:
+                q.stop()
+    for i, q in enumerate(queries):
+        if q.exception() is None:
+            q.awaitTermination()
+        seen[i] |= non_empty_batches(q)
+    return [len(s) for s in seen]
+
+
 def run_until(query: StreamingQuery, max_batches: int | None = None,
               idle_seconds: float | None = None, poll_seconds: float = 1.0) -> int:
-    """Block until ``max_batches`` non-empty batches ran, or nothing arrived for
-    ``idle_seconds``, or the query ended. Returns the non-empty batch count."""
-    seen: set[int] = set()
-    last_data = time.monotonic()
-    while query.isActive:
-        query.awaitTermination(poll_seconds)
-        now = non_empty_batches(query)
-        if now - seen:
-            last_data = time.monotonic()
-            seen |= now
-        if max_batches is not None and len(seen) >= max_batches:
-            break
-        if idle_seconds is not None and time.monotonic() - last_data >= idle_seconds:
-            break
-    if query.isActive:
-        query.stop()
-    query.awaitTermination()
-    return len(seen)
+    """``run_all_until`` for one query."""
+    return run_all_until([query], max_batches, idle_seconds, poll_seconds)[0]
 
 
 def await_all(spark: SparkSession, queries: list[StreamingQuery],

@@ -10,17 +10,19 @@ each update batch can also be appended to JDBC tables (one table per grain).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from actiflow.operators.enrich import enrich
+from actiflow.operators.windows import dedup_events
 from actiflow.plans.reports import reports_from_store, save_reports
 from actiflow.sinks.external import jdbc_batch_sink
 from actiflow.sinks.store import ResultStore
 from actiflow.sources.events import SourceSpec, read_events
-from actiflow.streaming.control import run_until
+from actiflow.streaming.control import run_all_until, run_until
 from actiflow.streaming.processor import EventBatchWriter, event_query
 from actiflow.streaming.segments import (STATE_PARTITIONS, UpdateRowsWriter, current_segments,
                                          start_with_partitions)
@@ -32,14 +34,22 @@ from actiflow.operators.enrich import with_age_group
 class RunLimits:
     available_now: bool = False        # bounded run over what is there, then stop
     trigger_seconds: float = 5.0
-    max_batches: int | None = 5        # non-empty micro-batches
-    idle_seconds: float | None = 12.0
+    max_batches: int | None = None     # non-empty micro-batches; None: no end
+    idle_seconds: float | None = None
 
 
 def run_event_job(spark: SparkSession, source: SourceSpec, store_root: str, checkpoint: str,
-                  limits: RunLimits = RunLimits()) -> dict[str, DataFrame]:
+                  limits: RunLimits = RunLimits(), dedup_delay: str | None = None
+                  ) -> dict[str, DataFrame]:
+    """``dedup_delay`` (e.g. "1 hour"): drop events whose id came before within that delay."""
     store = ResultStore(spark, store_root)
-    stream = enrich(read_events(spark, source, streaming=True))
+    stream = enrich(read_events(spark, replace(source, keep_raw=True), streaming=True))
+    if dedup_delay:
+        # Rows without an id or a time are rejects, not duplicates of one another.
+        whole = F.col("event_id").isNotNull() & F.col("event_time").isNotNull()
+        kept = dedup_events(stream.filter(whole), "event_id", "event_time", dedup_delay)
+        stream = (kept.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
+                  .unionByName(stream.filter(~whole)))
     query = event_query(stream, EventBatchWriter(store), checkpoint,
                         trigger_seconds=limits.trigger_seconds,
                         available_now=limits.available_now, name=None).start()
@@ -65,9 +75,13 @@ class _FanOut:
         self.store_writer, self.jdbc = store_writer, jdbc
 
     def __call__(self, df: DataFrame, epoch_id: int) -> None:
-        self.store_writer(df, epoch_id)
-        if self.jdbc is not None:
-            self.jdbc(df.withColumn("epoch", F.lit(int(epoch_id)).cast("long")), epoch_id)
+        batch = df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self.store_writer(batch, epoch_id)
+            if self.jdbc is not None:
+                self.jdbc(batch.withColumn("epoch", F.lit(int(epoch_id)).cast("long")), epoch_id)
+        finally:
+            batch.unpersist()
 
 
 def run_segment_job(spark: SparkSession, source: SourceSpec, store_root: str,
@@ -91,11 +105,12 @@ def run_segment_job(spark: SparkSession, source: SourceSpec, store_root: str,
              else w.trigger(processingTime=f"{limits.trigger_seconds} seconds"))
         # start all first, then wait on all
         queries.append(start_with_partitions(w, spark, STATE_PARTITIONS))
-    for q in queries:
-        if limits.available_now:
+    if limits.available_now:
+        for q in queries:
             q.awaitTermination()
-        else:
-            run_until(q, limits.max_batches, limits.idle_seconds)
+    else:
+        run_all_until(queries, limits.max_batches, limits.idle_seconds)
+    for q in queries:
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
     return {t: current_segments(store, t) for t in plans}

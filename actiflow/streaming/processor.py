@@ -10,7 +10,8 @@ Stored are facts only, each table partitioned by the epoch (one new
 partition per micro-batch, bounded by the number of triggers, never by a data
 value):
   events/epoch=E       valid enriched events (with the producer batch id)
-  rejects/epoch=E      rows with a missing key, with ``reject_reason``
+  rejects/epoch=E      rows with a missing key, with ``reject_reason`` and, when the source
+                       keeps them, the raw record and its position
   kpi_parts/epoch=E    mergeable KPI partials per producer batch (written last)
 The reference's "latest" snapshot files (city, membership, at-risk) are views
 over the newest epoch's events partition (partition-pruned), and the KPI table
@@ -23,12 +24,15 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from actiflow.functions.codecs import split_valid
 from actiflow.operators import history, summaries
-from actiflow.schemas import AT_RISK_COLUMNS
+from actiflow.operators.enrich import enrich
+from actiflow.schemas import AT_RISK_COLUMNS, EVENT_SCHEMA
 from actiflow.sinks.store import ResultStore
+from actiflow.sources.events import RAW_COLUMNS
 
 
 class EventBatchWriter:
@@ -43,19 +47,19 @@ class EventBatchWriter:
         self.batch_col = batch_col
 
     def __call__(self, df: DataFrame, epoch_id: int) -> None:
-        if df.isEmpty():  # stops at the first row; empty triggers write nothing
-            return
         batch = df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            self._write(batch, int(epoch_id))
+            if not batch.isEmpty():  # empty triggers write nothing
+                self._write(batch, int(epoch_id))
         finally:
             batch.unpersist()
 
     def _write(self, batch: DataFrame, epoch: int) -> None:
         if self.batch_col not in batch.columns:
-            batch = batch.withColumn(self.batch_col, F.lit(epoch))
+            batch = batch.withColumn(self.batch_col, F.lit(epoch).cast("long"))
         batch = batch.withColumn("epoch", F.lit(epoch).cast("long"))
         valid, rejects = split_valid(batch)
+        valid = valid.drop(*RAW_COLUMNS)  # rejects keep the record as it came
         store = self.store
         store.write_partitions(valid, "events", ["epoch"])
         store.write_partitions(rejects, "rejects", ["epoch"])
@@ -65,9 +69,28 @@ class EventBatchWriter:
         store.write_partitions(parts, "kpi_parts", ["epoch"])
 
 
+def events_schema(store: ResultStore) -> T.StructType:
+    """Declared schema of the stored events (also what a store without events reads as)."""
+    empty = enrich(store.spark.createDataFrame([], EVENT_SCHEMA))
+    return T.StructType(empty.schema.fields + [T.StructField("batch_id", T.LongType()),
+                                               T.StructField("epoch", T.LongType())])
+
+
+def kpi_parts(store: ResultStore) -> DataFrame:
+    empty = store.spark.createDataFrame([], events_schema(store))
+    schema = T.StructType(summaries.kpi_partials(empty).schema.fields
+                          + [T.StructField("processed_at", T.TimestampType()),
+                             T.StructField("epoch", T.LongType())])
+    return store.read("kpi_parts", schema)
+
+
+def stored_events(store: ResultStore) -> DataFrame:
+    return store.read("events", events_schema(store))
+
+
 def kpi_table(store: ResultStore) -> DataFrame:
     """One KPI row per producer batch, merged from the stored partials."""
-    return summaries.merge_kpi_partials(store.read("kpi_parts"))
+    return summaries.merge_kpi_partials(kpi_parts(store))
 
 
 def kpi_history_view(store: ResultStore, with_processed_at: bool = False) -> DataFrame:
@@ -87,8 +110,8 @@ def newest_epoch_events(store: ResultStore) -> DataFrame:
     from the small partials table; filtering by it as a literal lets Spark
     prune the events table to one partition (a join would not: dynamic
     pruning needs a selective filter on the other side)."""
-    newest = store.read("kpi_parts").agg(F.max("epoch")).first()[0]
-    events = store.read("events")
+    newest = kpi_parts(store).agg(F.max("epoch")).first()[0]
+    events = stored_events(store)
     if newest is None:
         return events.limit(0)
     return events.filter(F.col("epoch") == F.lit(newest))

@@ -30,11 +30,11 @@ def write_event_files(events: DataFrame, path: str, batch_col: str = "batch_id",
         else:
             cols.append(F.col(name))
     n = num_files or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (events.select(*cols, F.col(batch_col).cast("int").alias(batch_col))
+    (events.select(*cols, F.col(batch_col).cast("long").alias(batch_col))
      .repartitionByRange(n, batch_col, "event_id")
      .write.mode("errorifexists")
      .option("ignoreNullFields", "false")
      .json(path))
 
 
-BATCH_FIELD = T.StructField("batch_id", T.IntegerType(), True)
+BATCH_FIELD = T.StructField("batch_id", T.LongType(), True)

@@ -10,13 +10,16 @@ table, which fails on the second schema).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from actiflow.operators import summaries
 from actiflow.operators.enrich import with_age_group
 from actiflow.operators.upsert import latest_per_key
+from actiflow.schemas import EVENT_SCHEMA
 from actiflow.sinks.store import ResultStore
 
 # State partitions of the segment rollups. The group space is small and bounded
@@ -37,10 +40,13 @@ class UpdateRowsWriter:
         self.store, self.table = store, table
 
     def __call__(self, df: DataFrame, epoch_id: int) -> None:
-        if df.isEmpty():
-            return
-        self.store.write_partitions(df.withColumn("epoch", F.lit(int(epoch_id)).cast("long")),
-                                    self.table, ["epoch"])
+        batch = df.persist(StorageLevel.MEMORY_AND_DISK)  # the stateful step runs once
+        try:
+            if not batch.isEmpty():
+                self.store.write_partitions(batch.withColumn("epoch", F.lit(int(epoch_id)).cast("long")),
+                                            self.table, ["epoch"])
+        finally:
+            batch.unpersist()
 
 
 def start_with_partitions(writer: DataStreamWriter, spark: SparkSession,
@@ -63,13 +69,15 @@ def start_with_partitions(writer: DataStreamWriter, spark: SparkSession,
 def start_segment_queries(events_stream: DataFrame, store: ResultStore, checkpoint_root: str,
                           available_now: bool = False, trigger_seconds: float = 5.0,
                           decimals: int | None = 2,
-                          state_partitions: int | None = STATE_PARTITIONS) -> list[StreamingQuery]:
+                          state_partitions: int | None = STATE_PARTITIONS,
+                          tables: list[str] | None = None) -> list[StreamingQuery]:
     plans = {
         "customer_segments": summaries.customer_segments(with_age_group(events_stream), decimals),
         "city_segments": summaries.city_segments(events_stream, decimals),
     }
     queries = []
-    for table, plan in plans.items():
+    for table in tables or plans:
+        plan = plans[table]
         w = (plan.writeStream.outputMode("update")
              .foreachBatch(UpdateRowsWriter(store, table + "_updates"))
              .option("checkpointLocation", f"{checkpoint_root}/{table}"))
@@ -79,5 +87,14 @@ def start_segment_queries(events_stream: DataFrame, store: ResultStore, checkpoi
     return queries
 
 
+def update_schema(store: ResultStore, table: str) -> T.StructType:
+    """Schema of a table of update rows; a table never written reads as empty."""
+    events = store.spark.createDataFrame([], EVENT_SCHEMA)
+    plan = (summaries.customer_segments(with_age_group(events)) if table == "customer_segments"
+            else summaries.city_segments(events))
+    return T.StructType(plan.schema.fields + [T.StructField("epoch", T.LongType())])
+
+
 def current_segments(store: ResultStore, table: str) -> DataFrame:
-    return latest_per_key(store.read(table + "_updates"), SEGMENT_KEYS[table], "epoch")
+    return latest_per_key(store.read(table + "_updates", update_schema(store, table)),
+                          SEGMENT_KEYS[table], "epoch")

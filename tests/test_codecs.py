@@ -6,10 +6,10 @@ from actiflow.functions import codecs
 from actiflow.operators.enrich import parse_event_time
 from actiflow.schemas import EVENT_FIELDS
 
-GOOD = ('{"event_id":"evt-000001","event_time":"2024-01-01T10:00:00Z","customer_id":101,'
-        '"gender":"Female","age":29,"city":"New York","membership_type":"Gold",'
-        '"total_spend":1120.2,"items_purchased":14,"average_rating":4.6,'
-        '"discount_applied":true,"days_since_last_purchase":25,"satisfaction_level":"Satisfied"}')
+GOOD = ('{"event_id":"evt-000001","event_time":"2024-01-01T10:00:00Z","customer_id":77001,'
+        '"gender":"Female","age":61,"city":"Springfield","membership_type":"Gold",'
+        '"total_spend":305.75,"items_purchased":3,"average_rating":2.5,'
+        '"discount_applied":true,"days_since_last_purchase":4,"satisfaction_level":"Neutral"}')
 
 
 def bad_records():
@@ -18,7 +18,7 @@ def bad_records():
         "this is not json",
         "",
         GOOD.replace('"event_id":"evt-000001",', ""),
-        GOOD.replace('"customer_id":101', '"customer_id":"abc"'),
+        GOOD.replace('"customer_id":77001', '"customer_id":"abc"'),
         GOOD.replace("2024-01-01T10:00:00Z", "nope"),
         GOOD.replace('"discount_applied":true', '"discount_applied":"true"'),
         GOOD.replace('}', ',"extra":1}'),
@@ -41,7 +41,7 @@ def test_bad_records_are_kept_and_classified(spark):
     assert rows[2]["reject_reason"] == "missing event_id"
     assert rows[3]["reject_reason"] == "missing event_id"
     assert rows[4]["reject_reason"] == "missing customer_id"
-    assert rows[4]["city"] == "New York"          # other fields survive one bad field
+    assert rows[4]["city"] == "Springfield"          # other fields survive one bad field
     assert rows[5]["reject_reason"] == "missing event_time"
     assert rows[6]["reject_reason"] is None and rows[6]["discount_applied"] is None
     assert rows[7]["reject_reason"] is None        # unknown fields are ignored
@@ -61,12 +61,12 @@ def test_json_round_trip(spark):
 
 
 def test_csv_message_reads_python_booleans(spark):
-    lines = [("101,Male,30,Miami,Gold,1120.2,14,4.6,True,25,Satisfied",),
-             ("102,Female,,Houston,Silver,780.5,11,4.1,False,18,Neutral",)]
+    lines = [("5001,Male,44,Shelbyville,Silver,99.5,2,3.25,True,7,Neutral",),
+             ("5002,Female,,Ogdenville,Bronze,12.25,1,1.5,False,90,Unsatisfied",)]
     out = codecs.decode_csv(spark.createDataFrame(lines, "value string")).collect()
     assert out[0]["discount_applied"] is True and out[1]["discount_applied"] is False
     assert out[1]["age"] is None
-    assert abs(out[0]["total_spend"] - 1120.2) < 1e-4   # FLOAT, as declared
+    assert abs(out[0]["total_spend"] - 99.5) < 1e-4   # FLOAT, as declared
 
 
 def test_csv_text_null_fields_are_empty(spark):

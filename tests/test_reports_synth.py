@@ -70,16 +70,30 @@ def test_synth_messages_ranges(spark):
     assert r[8] == 6 and r[9] == 3
 
 
-def test_single_pass_summary_equals_table_summary(spark):
-    from actiflow.operators import ranking
+def test_reports_are_of_the_newest_batch(spark):
+    from actiflow.plans.catalog import QUERIES
     ev = enrich(activity(spark, SF_SMALL))
-    tables = reports.report_summary(history.kpi_history(summaries.batch_kpi(ev)),
-                                    summaries.city_summary(ev), summaries.membership_summary(ev),
-                                    ranking.at_risk_ranked(ev))
-    assert sorted(tables.collect()) == sorted(reports.report_summary_from_events(ev).collect())
-
-
-def test_single_pass_bars_equal_table_bars(spark):
-    ev = enrich(activity(spark, SF_SMALL))
-    tables = reports.report_bars(summaries.city_summary(ev), summaries.membership_summary(ev))
-    assert sorted(tables.collect()) == sorted(reports.report_bars_from_events(ev).collect())
+    newest = ev.filter(F.col("batch_id") == ev.agg(F.max("batch_id")).first()[0])
+    facts = {r.metric: r.value for r in QUERIES["report_summary"](spark, SF_SMALL).collect()}
+    assert facts["at_risk_records"] == newest.filter("is_at_risk").count() == facts["latest_at_risk"]
+    assert facts["cities"] == newest.select("city").distinct().count()
+    assert facts["total_events"] == ev.count()
+
+
+def test_large_indices_and_fractions(spark):
+    from actiflow.functions import codecs
+    from actiflow.operators.enrich import parse_event_time
+    seed = activity(spark, SF_SMALL).withColumn("row_no", F.col("o_orderkey"))
+    row = synth_events(seed, spark.sql("SELECT 100000000000L AS i")).first()
+    assert row.batch_no == 5_000_000_000 and row.event_time.year == 2816
+    times = spark.sql("SELECT timestamp_ntz'2024-01-01 10:00:00.75' AS t UNION ALL SELECT timestamp_ntz'2024-01-01 10:00:10'")
+    text = times.select("t", codecs.event_time_text("t").alias("s"))
+    assert sorted(r.s for r in text.collect()) == ["2024-01-01T10:00:00.75Z", "2024-01-01T10:00:10Z"]
+    assert text.filter(parse_event_time("s") != F.col("t")).count() == 0
+
+
+def test_newest_kpi_is_the_last_history_row(spark):
+    kpi = summaries.batch_kpi(enrich(activity(spark, SF_SMALL)))
+    whole = history.kpi_history(kpi).orderBy(F.col("batch_id").desc()).first()
+    assert history.newest(kpi).collect() == [whole]
+    assert history.newest(kpi.limit(0)).collect() == []

@@ -196,3 +196,92 @@ def test_generator_to_stream_demo(spark, workdir):
     got = kpi_history_view(store).orderBy("batch_id").collect()
     want = history.kpi_history(summaries.batch_kpi(enrich(events))).orderBy("batch_id").collect()
     assert got == want and len(got) == 5
+
+
+def test_job_without_data_gives_empty_reports(spark, workdir):
+    from actiflow.streaming.job import RunLimits, run_event_job
+    os.makedirs(f"{workdir}/input")
+    spec = SourceSpec(kind="files", path=f"{workdir}/input")
+    out = run_event_job(spark, spec, f"{workdir}/store", f"{workdir}/ckpt", RunLimits(available_now=True))
+    assert {r.card: r.value for r in out["cards"].collect()} == {
+        "Processed Batches": "0", "Total Events": "0", "Latest Revenue": "0.00", "At-Risk Customers": "0"}
+    assert out["bars"].count() == 0 and out["latest_events"].count() == 0
+
+
+def test_rejects_keep_the_record_and_its_position(spark, workdir):
+    from actiflow.streaming.job import RunLimits, run_event_job
+    os.makedirs(f"{workdir}/input")
+    bad = ["not json", '{"event_id":"e2","event_time":"nope","customer_id":2}', '{"customer_id":3000000000}']
+    with open(f"{workdir}/input/part-0.json", "w") as fh:
+        fh.write("\n".join(bad) + "\n\n")
+    spec = SourceSpec(kind="files", path=f"{workdir}/input")
+    run_event_job(spark, spec, f"{workdir}/store", f"{workdir}/ckpt", RunLimits(available_now=True))
+    rejects = ResultStore(spark, f"{workdir}/store").read("rejects").collect()
+    assert sorted(r.raw_value for r in rejects) == sorted(bad)
+    assert all(r.raw_origin.endswith("part-0.json") for r in rejects)
+
+
+def test_kafka_frame_and_file_give_equal_columns(spark, workdir):
+    from actiflow.schemas import KAFKA_SCHEMA
+    from actiflow.sources.events import decode_kafka
+    line = '{"event_id":"e1","event_time":"2024-01-01T00:00:00Z","customer_id":1,"batch_id":7}'
+    frame = spark.createDataFrame([(None, line.encode(), "t", 3, 11, None, 0)], KAFKA_SCHEMA)
+    spec = SourceSpec(kind="kafka", extra_fields=[BATCH_FIELD], keep_raw=True)
+    row = decode_kafka(frame, spec).first()
+    assert row.batch_id == 7 and row.raw_value == line and row.raw_origin == "t/3/11"
+    os.makedirs(f"{workdir}/in")
+    with open(f"{workdir}/in/x.json", "w") as fh:
+        fh.write(line + "\n")
+    files = read_events(spark, SourceSpec(path=f"{workdir}/in", extra_fields=[BATCH_FIELD], keep_raw=True), False)
+    assert files.schema == decode_kafka(frame, spec).schema
+    assert files.drop("raw_origin").collect() == decode_kafka(frame, spec).drop("raw_origin").collect()
+
+
+def test_slow_first_batch_is_not_idle(spark, workdir):
+    import time
+    write_event_files(activity(spark, SF_SMALL), f"{workdir}/input", num_files=2)
+    done = []
+    q = (_stream(spark, workdir).writeStream
+         .foreachBatch(lambda df, e: (time.sleep(6), done.append(df.count())) and None)
+         .option("checkpointLocation", f"{workdir}/ckpt").trigger(processingTime="0 seconds").start())
+    assert run_until(q, idle_seconds=3, poll_seconds=0.5) == 2 and len(done) == 2
+
+
+def test_max_batches_then_restart(spark, workdir):
+    ev = activity(spark, SF_SMALL)
+    write_event_files(ev, f"{workdir}/input", num_files=4)
+    store = ResultStore(spark, f"{workdir}/store")
+    q = start_event_query(enrich(_stream(spark, workdir)), store, f"{workdir}/ckpt", trigger_seconds=2)
+    assert 2 <= run_until(q, max_batches=2, poll_seconds=0.2) < 4
+    q = start_event_query(enrich(_stream(spark, workdir)), store, f"{workdir}/ckpt", available_now=True)
+    q.awaitTermination()
+    assert store.read("events").count() == ev.count()
+    row = kpi_history_view(store, with_processed_at=True).first()
+    assert (row.processed_at is not None) and row.processed_at.year >= 2024
+
+
+def test_replay_file_count_follows_the_setting(spark, workdir):
+    write_event_files(activity(spark, SF_SMALL), f"{workdir}/input")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len([f for f in os.listdir(f"{workdir}/input") if f.endswith(".json")]) == n
+
+
+def test_stream_dedup_needs_a_watermark(spark, workdir):
+    import pytest
+    from actiflow.operators.windows import dedup_events
+    os.makedirs(f"{workdir}/input")
+    with pytest.raises(ValueError):
+        dedup_events(_stream(spark, workdir), "event_id")
+
+
+def test_job_drops_duplicates_but_no_rejects(spark, workdir):
+    from actiflow.streaming.job import RunLimits, run_event_job
+    os.makedirs(f"{workdir}/input")
+    good = '{"event_id":"e1","event_time":"2024-01-01T00:00:00Z","customer_id":1}'
+    with open(f"{workdir}/input/part-0.json", "w") as fh:
+        fh.write("\n".join([good, good, "bad one", "bad two"]) + "\n")
+    spec = SourceSpec(kind="files", path=f"{workdir}/input")
+    out = run_event_job(spark, spec, f"{workdir}/store", f"{workdir}/ckpt",
+                        RunLimits(available_now=True), dedup_delay="1 hour")
+    assert {r.card: r.value for r in out["cards"].collect()}["Total Events"] == "1"
+    assert ResultStore(spark, f"{workdir}/store").read("rejects").count() == 2
