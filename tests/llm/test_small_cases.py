@@ -4,6 +4,8 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from actiflow.llm import (mixing, neighbours, paragraphs, pieces, quality_rules, quotes, secrets,
@@ -175,22 +177,31 @@ def test_token_files(spark, docs, none, clashing, tmp_path):
     assert token_files.read_token_files(spark, path).count() == 0
 
 
+def plain_ids(tokenizer, text):
+    return tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_token_chunks_equal_whole_texts(monkeypatch):
     tokenizers = pytest.importorskip("tokenizers")
     import public_tokenizers
-    from actiflow.llm.chunks import ChunkCache, encode_texts
+    from actiflow.llm.chunks import ChunkCache, encode_column, encode_texts
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
         model = f.read()
-    plain = tokenizers.Tokenizer.from_str(model)
-    texts = ["", " ", "  ", " a", "a ", "a  b", "a\n b \n", " x y  z", "it's 'quoted' \t tab", "a" * 999,
+    plain_model = tokenizers.Tokenizer.from_str(model)
+    texts = ["", " ", "x\u00a0\u2003y z", "a\x1c\x1fb c", "  ", " a", "a ", "a  b", "a\n b \n", " x y  z", "it's 'quoted' \t tab", "a" * 999,
              "one two  three\n\nfour five ", "日本 語", "\n".join(f"w{i} x" for i in range(50)), WORDS]
     for size in (1 << 20, 7):
         monkeypatch.setattr(token_files, "SLICE", size)
         for limit in (1_000_000, 3):
             cache = ChunkCache(token_files.ByteEncoder(model), max_chunks=limit)
+            plain = ~pc.match_substring_regex(pa.array(texts), token_files._PLAIN_RE2).to_numpy(zero_copy_only=False)
+            for at_once in (1, 20, 1 << 20):
+                got = [x.tolist() for x in encode_column(pa.array(texts), plain, token_files.split_text, cache,
+                                                         True, at_once)]
+                assert got == [plain_ids(plain_model, t) for t in texts]
             for at_once in (1, 100):
                 got = [x.tolist() for x in encode_texts(texts, token_files.split_text, cache, at_once)]
-                assert got == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+                assert got == [plain_ids(plain_model, t) for t in texts]
 
 
 def test_streams_round_trip():
@@ -233,7 +244,7 @@ def test_pieces_reach_the_best_score(piece_path, monkeypatch):
     texts = ["hello world", "the  end", "日本語テキスト 🙂🙂", "a\tb\nc", "x" * 90, "▁ literal", "\x00", "ünïcödé ÄÖ"]
     for size in (1 << 20, 5):
         monkeypatch.setattr(pieces, "SLICE", size)
-        for text, ids in zip(texts, pieces.encoder(model)([t.encode() for t in texts])):
+        for text, ids in zip(texts, pieces.encoder(model)(pa.array([t.encode() for t in texts]))):
             assert pieces.decode_ids(model, ids.astype(np.int64)).decode() == text
             byte = np.isin(ids, model.byte_id)
             lost = sum(1 for c in text if c not in keys)
