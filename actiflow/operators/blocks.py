@@ -26,10 +26,12 @@ def _zero(col: str) -> Column:
 
 
 def previous_value(df: DataFrame, group: str, order_by: list[str], block: Column,
-                   source: str, name: str) -> DataFrame:
+                   source: str, name: str, nulls: bool = True) -> DataFrame:
     """Adds ``name``: ``source`` of the previous row of the group (null for its first).
 
     ``block`` must rise with ``order_by``, which must be a total order in the group.
+    ``nulls=False`` leaves rows whose group or block is null without values carried from
+    other blocks; Spark can then drop the join where the new column is not used.
     """
     work = df.withColumn(_BLOCK, block)
     inside = Window.partitionBy(group, _BLOCK).orderBy(*order_by)
@@ -40,8 +42,11 @@ def previous_value(df: DataFrame, group: str, order_by: list[str], block: Column
                .withColumn("_carried", F.lag("_last").over(before)).drop("_last"))
     first = F.row_number().over(inside) == 1
     own = work.withColumn("_first", first).withColumn("_lag", F.lag(source).over(inside))
-    joined = own.join(carried, F.col(group).eqNullSafe(F.col("_group"))
-                      & F.col(_BLOCK).eqNullSafe(F.col("_of")), "left")
+    if nulls:
+        same = F.col(group).eqNullSafe(F.col("_group")) & F.col(_BLOCK).eqNullSafe(F.col("_of"))
+    else:
+        same = (F.col(group) == F.col("_group")) & (F.col(_BLOCK) == F.col("_of"))
+    joined = own.join(carried, same, "left")
     value = F.when(F.col("_first"), F.col(f"_carried.{source}")).otherwise(F.col("_lag"))
     return joined.withColumn(name, value).drop(_BLOCK, "_group", "_of", "_carried", "_first", "_lag")
 

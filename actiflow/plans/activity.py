@@ -57,7 +57,8 @@ def basket_per_order(lineitem: DataFrame) -> DataFrame:
 def previous_order(orders: DataFrame) -> DataFrame:
     """Orders with the date of the same customer's previous order (no hot task)."""
     return previous_value(orders, "o_custkey", ["o_orderdate", "o_orderkey"],
-                          F.to_date("o_orderdate"), "o_orderdate", "prev_orderdate")
+                          F.to_date("o_orderdate"), "o_orderdate", "prev_orderdate",
+                          nulls=False)  # orders without a customer are not events
 
 
 def activity_from_tables(orders: DataFrame, lineitem: DataFrame, customer: DataFrame,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Field names and types of the event, message and risk tables are contracts.
 # One customer-activity event (JSON line). The first three fields are keys; Spark
 # does not enforce non-null on read, so validity is checked by ``split_valid``.
 EVENT_SCHEMA = T.StructType([
@@ -33,7 +34,7 @@ CSV_MESSAGE_DDL = (
 )
 CSV_MESSAGE_FIELDS = [part.strip().split(" ")[0] for part in CSV_MESSAGE_DDL.split(",")]
 
-# Seed table of the generator: header CSV, read with every column typed.
+# Seed table of the generator: header CSV, read as text; ``typed_seed`` types the columns.
 SEED_SCHEMA = T.StructType([
     T.StructField("Customer ID", T.StringType(), True),
     T.StructField("Gender", T.StringType(), True),

@@ -10,9 +10,11 @@ and push filters down.
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -48,3 +50,35 @@ class ResultStore:
             if schema is None:
                 raise
             return self.spark.createDataFrame([], schema)
+
+
+UPTO = "upto"  # partition column of a compaction: the last epoch it holds
+
+
+def compacted_rows(store: ResultStore, name: str, schema: T.StructType) -> DataFrame:
+    """Rows of a table stored by epoch: its newest compaction and all later epochs. The
+    newest compaction is one scalar, used as a literal so that partitions are pruned."""
+    rows = store.read(name, schema)
+    merged = store.read(name + "_compacted", T.StructType(schema.fields + [T.StructField(UPTO, T.LongType())]))
+    upto = merged.agg(F.max(UPTO)).first()[0]
+    if upto is None:
+        return rows
+    return rows.filter(F.col("epoch") > F.lit(upto)).unionByName(
+        merged.filter(F.col(UPTO) == F.lit(upto)).drop(UPTO))
+
+
+def compact(store: ResultStore, name: str, rows: DataFrame, keep_epochs: int,
+            merge: Callable[[DataFrame], DataFrame]) -> None:
+    """Store ``merge`` of all but the newest ``keep_epochs`` epochs as a new compaction.
+
+    A compaction is a partition of its own, written whole; run twice, it is overwritten
+    with the same rows. Readers see the old one or the new one.
+    """
+    if keep_epochs < 1:
+        raise ValueError("the newest epoch may be replayed and cannot be compacted")
+    newest = rows.agg(F.max("epoch")).first()[0]
+    if newest is None or newest < keep_epochs:
+        return
+    upto = newest - keep_epochs
+    old = rows.filter(F.col("epoch") <= F.lit(upto))
+    store.write_partitions(merge(old).withColumn(UPTO, F.lit(upto).cast("long")), name + "_compacted", [UPTO])

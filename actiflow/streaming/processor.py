@@ -31,7 +31,7 @@ from actiflow.functions.codecs import split_valid
 from actiflow.operators import history, summaries
 from actiflow.operators.enrich import enrich
 from actiflow.schemas import AT_RISK_COLUMNS, EVENT_SCHEMA
-from actiflow.sinks.store import ResultStore
+from actiflow.sinks.store import ResultStore, compact, compacted_rows
 from actiflow.sources.events import RAW_COLUMNS
 
 
@@ -77,11 +77,25 @@ def events_schema(store: ResultStore) -> T.StructType:
 
 
 def kpi_parts(store: ResultStore) -> DataFrame:
+    """Stored partials: the newest compaction and the epochs after it."""
     empty = store.spark.createDataFrame([], events_schema(store))
     schema = T.StructType(summaries.kpi_partials(empty).schema.fields
                           + [T.StructField("processed_at", T.TimestampType()),
                              T.StructField("epoch", T.LongType())])
-    return store.read("kpi_parts", schema)
+    return compacted_rows(store, "kpi_parts", schema)
+
+
+def compact_kpis(store: ResultStore, keep_epochs: int = 100) -> None:
+    """Merge the partials of all but the newest ``keep_epochs`` epochs into one table.
+
+    Only epochs that can no longer be replayed may be merged; a replay rewrites the newest
+    epoch alone, so any ``keep_epochs`` of 1 or more is safe. Views give the same rows
+    before and after; the merged epochs' own partitions are then read no more.
+    """
+    compact(store, "kpi_parts", kpi_parts(store), keep_epochs, lambda rows: rows.groupBy("batch_id").agg(
+        *[F.sum(c).cast(rows.schema[c].dataType).alias(c) for c in rows.columns
+          if c not in ("batch_id", "processed_at", "epoch")],
+        F.max("processed_at").alias("processed_at"), F.max("epoch").alias("epoch")))
 
 
 def stored_events(store: ResultStore) -> DataFrame:

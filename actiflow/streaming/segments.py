@@ -20,7 +20,7 @@ from actiflow.operators import summaries
 from actiflow.operators.enrich import with_age_group
 from actiflow.operators.upsert import latest_per_key
 from actiflow.schemas import EVENT_SCHEMA
-from actiflow.sinks.store import ResultStore
+from actiflow.sinks.store import ResultStore, compact, compacted_rows
 
 # State partitions of the segment rollups. The group space is small and bounded
 # (tiers x age groups x cities), and partial aggregation shrinks each trigger's
@@ -96,5 +96,19 @@ def update_schema(store: ResultStore, table: str) -> T.StructType:
 
 
 def current_segments(store: ResultStore, table: str) -> DataFrame:
-    return latest_per_key(store.read(table + "_updates", update_schema(store, table)),
-                          SEGMENT_KEYS[table], "epoch")
+    return latest_per_key(updates(store, table), SEGMENT_KEYS[table], "epoch")
+
+
+def updates(store: ResultStore, table: str) -> DataFrame:
+    """Stored update rows: the newest compaction and the epochs after it."""
+    return compacted_rows(store, table + "_updates", update_schema(store, table))
+
+
+def compact_segments(store: ResultStore, table: str, keep_epochs: int = 100) -> None:
+    """Keep only the newest version of every segment among all but the newest epochs."""
+    def merged(rows: DataFrame) -> DataFrame:
+        values = [c for c in rows.columns if c not in SEGMENT_KEYS[table]]
+        newest = F.max_by(F.struct(*values), "epoch").alias("n")
+        return rows.groupBy(*SEGMENT_KEYS[table]).agg(newest).select(
+            *SEGMENT_KEYS[table], *[F.col(f"n.{c}").alias(c) for c in values])
+    compact(store, table + "_updates", updates(store, table), keep_epochs, merged)

@@ -285,3 +285,36 @@ def test_job_drops_duplicates_but_no_rejects(spark, workdir):
                         RunLimits(available_now=True), dedup_delay="1 hour")
     assert {r.card: r.value for r in out["cards"].collect()}["Total Events"] == "1"
     assert ResultStore(spark, f"{workdir}/store").read("rejects").count() == 2
+
+
+def test_compaction_changes_no_result(spark, workdir):
+    from actiflow.streaming.processor import compact_kpis
+    from actiflow.streaming.segments import UpdateRowsWriter, compact_segments
+    ev = enrich(activity(spark, SF_SMALL)).drop("o_orderkey").withColumn("batch_id", F.col("batch_id") * 2)
+    store = ResultStore(spark, f"{workdir}/store")
+    writer, updates = EventBatchWriter(store), UpdateRowsWriter(store, "city_segments_updates")
+    parts = [ev.filter(F.crc32("event_id") % 4 == k) for k in range(4)]
+    for epoch, part in enumerate(parts):
+        writer(part, epoch)
+        updates(summaries.city_segments(part), epoch)
+    kpis = lambda: sorted(map(str, kpi_history_view(store).collect()))
+    cities = lambda: sorted(current_segments(store, "city_segments").collect())
+    before = kpis(), cities()
+    compact_kpis(store, keep_epochs=2)
+    compact_segments(store, "city_segments", keep_epochs=2)
+    assert (kpis(), cities()) == before
+    assert store.read("kpi_parts_compacted").select("upto").distinct().collect()[0][0] == 1
+    writer(parts[3], 3)  # a replay after the compaction
+    updates(summaries.city_segments(parts[3]), 3)
+    compact_kpis(store, keep_epochs=1)
+    compact_segments(store, "city_segments", keep_epochs=1)
+    compact_kpis(store, keep_epochs=1)
+    assert (kpis(), cities()) == before
+
+
+def test_job_script(spark, workdir, capsys):
+    from scripts.run_job import main
+    write_event_files(activity(spark, SF_SMALL).limit(50), f"{workdir}/input", num_files=1)
+    main(["events", "--path", f"{workdir}/input", "--store", f"{workdir}/store",
+          "--checkpoint", f"{workdir}/ckpt", "--available-now"])
+    assert "Processed Batches" in capsys.readouterr().out
