@@ -1,4 +1,4 @@
-"""Encoding of long texts chunk by chunk, with a bounded cache of chunks per task.
+"""Encoding of long texts chunk by chunk, with a bounded cache of chunks per worker.
 
 A tokenizer whose pieces never cross certain spaces can encode the chunks between them
 apart. Distinct chunks are encoded once; texts are then put together with numpy.
@@ -9,6 +9,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 
 class ChunkCache:
@@ -16,12 +18,9 @@ class ChunkCache:
     chunks, one after the other, and how many each has."""
 
     def __init__(self, encode: Callable[[list], tuple[np.ndarray, np.ndarray]],
-                 max_chunks: int = 400_000, max_ids: int = 16_000_000):
+                 max_chunks: int = 400_000, max_ids: int = 8_000_000):
         self.encode, self.max_chunks, self.max_ids = encode, max_chunks, max_ids
-        self.clear()
-
-    def clear(self) -> None:
-        self.index: dict[bytes, int] = {}
+        self.index: dict = {}
         self.ids = np.zeros(1 << 16, dtype=np.uint32)
         self.ends = np.zeros(1 << 14, dtype=np.int64)  # ends[k + 1]: end of chunk k
 
@@ -38,23 +37,42 @@ class ChunkCache:
         self.ends[k + 1:k + 1 + len(sizes)] = start + np.cumsum(sizes)
         self.index.update(zip(chunks, range(k, k + len(chunks))))
 
-    def ids_of(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all chunks, one after the other, and how many each has."""
-        if not chunks:
-            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+    def spans(self, chunks: list) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of each chunk lie in ``self.ids``, and how many there are; valid
+        until the next call."""
         found = list(map(self.index.get, chunks))
+        kept, new = len(self.index), []
         if None in found:
-            if len(self.index) > self.max_chunks or self.ends[len(self.index)] > self.max_ids:
-                self.clear()
-                found = [None] * len(chunks)
-            self.add(list(dict.fromkeys(c for c, k in zip(chunks, found) if k is None)))
-            found = list(map(self.index.__getitem__, chunks))
+            gaps = [i for i, k in enumerate(found) if k is None]
+            new = list(dict.fromkeys([chunks[i] for i in gaps]))
+            self.add(new)
+            for i in gaps:
+                found[i] = self.index[chunks[i]]
         at = np.array(found, dtype=np.int64)
         starts = self.ends[at]
         sizes = self.ends[at + 1] - starts
+        if len(self.index) > self.max_chunks or self.ends[len(self.index)] > self.max_ids:
+            # Full: frequent chunks came early and stay, these were needed once.
+            for c in new:
+                del self.index[c]
+        return starts, sizes
+
+    def ids_of(self, chunks: list) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all chunks, one after the other, and how many each has."""
+        if not chunks:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        starts, sizes = self.spans(chunks)
         return gather(self.ids, starts, sizes), sizes
 
 
+def shared(holder: dict, name: str, build: Callable):
+    """``build()`` once per worker process: kept with the broadcast value ``holder``, which
+    a worker reads once and keeps for all its tasks."""
+    if name not in holder:
+        holder[name] = build()
+    return holder[name]
+
+
 def gather(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The slices pool[start:start + size], one after the other."""
     ends = np.cumsum(sizes)
@@ -62,7 +80,7 @@ def gather(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarra
 
 
 def encode_texts(texts: list[bytes], split: Callable[[bytes], Iterator[list[bytes]]],
-                 cache: ChunkCache, at_once: int = 100_000) -> Iterator[np.ndarray]:
+                 cache: ChunkCache, at_once: int = 50_000) -> Iterator[np.ndarray]:
     """Id array of each text. ``split`` yields lists of chunks of bounded size."""
     chunks: list[bytes] = []
     parts: list[np.ndarray] = []  # of a text longer than one list
@@ -94,3 +112,56 @@ def encode_texts(texts: list[bytes], split: Callable[[bytes], Iterator[list[byte
         if len(chunks) >= at_once:
             yield from flush()
     yield from flush()
+
+
+def encode_plain(texts: pa.Array, cache: ChunkCache, bare_first: bool) -> list[np.ndarray]:
+    """Id array of each text, where every space has other characters on both sides.
+
+    Words are split and numbered by Arrow; only distinct ones are looked up, as a space
+    and the word. With ``bare_first`` the first word of a text is a chunk without a space.
+    """
+    space = " " if pa.types.is_string(texts.type) else b" "
+    parts = pc.split_pattern(texts, space)
+    firsts = parts.offsets.to_numpy()[:-1] - parts.offsets[0].as_py()
+    coded = parts.flatten().dictionary_encode()
+    words = coded.dictionary.to_pylist()
+    at = coded.indices.to_numpy().astype(np.int64)
+    chunks = [space + w for w in words]
+    if bare_first:
+        at[firsts] = len(chunks) + np.arange(len(firsts))
+        chunks += [words[k] for k in coded.indices.to_numpy()[firsts].tolist()]
+    starts, sizes = cache.spans(chunks)
+    starts, sizes = starts[at], sizes[at]
+    ids = gather(cache.ids, starts, sizes)
+    ends = np.concatenate(([0], np.cumsum(sizes)))[np.append(firsts, len(at))].tolist()
+    return [ids[a:b] for a, b in zip(ends, ends[1:])]
+
+
+def encode_column(texts: pa.Array, plain: np.ndarray, split: Callable, cache: ChunkCache,
+                  bare_first: bool, at_once: int = 1 << 21) -> Iterator[np.ndarray]:
+    """Id array of each text: runs of plain texts together, others one by one."""
+    sizes = pc.binary_length(texts).to_numpy()
+    begin = 0
+    while begin < len(texts):
+        end = begin
+        total = 0
+        while end < len(texts) and plain[end] and (end == begin or total + sizes[end] <= at_once) \
+                and sizes[end] <= at_once:
+            total += sizes[end]
+            end += 1
+        if end > begin:
+            yield from encode_plain(texts.slice(begin, end - begin), cache, bare_first)
+        else:
+            yield from encode_texts([texts[begin].as_py()], split, cache)
+            end += 1
+        begin = end
+
+
+def by_bytes(sizes: np.ndarray, most: int = 1 << 22) -> Iterator[tuple[int, int]]:
+    """(start, length) of consecutive rows with at most ``most`` bytes, or of one row."""
+    begin = 0
+    while begin < len(sizes):
+        total = np.cumsum(sizes[begin:])
+        rows = max(1, int(np.searchsorted(total, most, side="right")))
+        yield begin, rows
+        begin += rows

@@ -28,11 +28,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from actiflow.llm.chunks import ChunkCache, encode_texts, gather
+from actiflow.llm.chunks import ChunkCache, by_bytes, encode_column, gather, shared
 from actiflow.llm.common import PREFIX, map_arrow, text_bytes, without
 from actiflow.sources.tables import read_table
 
@@ -296,12 +297,13 @@ def decode_ids(model: PieceModel, ids: np.ndarray) -> bytes:
 
 
 def encoder(model: PieceModel):
-    """texts (bytes) -> id arrays, with a bounded cache of words."""
+    """Binary array of texts -> id arrays, with a bounded cache of words."""
     cache = ChunkCache(lambda words: viterbi(model, words))
     split = split_words if model.plain_words else (lambda data: iter([[b" " + data]] if data else []))
 
-    def encode(texts):
-        yield from encode_texts(texts, split, cache)
+    def encode(texts: pa.Array):
+        odd = pc.match_substring_regex(texts, "^ |  | $|^$").to_numpy(zero_copy_only=False)
+        return encode_column(texts, ~odd & model.plain_words, split, cache, bare_first=False)
     return encode
 
 
@@ -313,7 +315,12 @@ class SharedModel:
 
     @property
     def value(self) -> PieceModel:
-        return PieceModel(**self.fields.value)
+        return shared(self.fields.value, "model", lambda: PieceModel(**self.fields.value))
+
+    @property
+    def encoder(self):
+        model = self.value
+        return shared(self.fields.value, "encoder", lambda: encoder(model))
 
 
 def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "piece_ids") -> DataFrame:
@@ -323,15 +330,17 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: st
     schema = T.StructType(base.schema.fields + [T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
 
     def run(batches):
-        encode_all = encoder(model.value)
-        for batch in batches:
-            arrays = list(encode_all(x.as_py() for x in batch.column(at)))
-            ends = np.cumsum([0] + [len(a) for a in arrays]).astype(np.int32)
-            flat = np.concatenate(arrays) if arrays else np.zeros(0, np.uint32)
-            null = batch.column(at + 1).to_numpy(zero_copy_only=False)
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.int32)),
-                                           mask=pa.array(null, pa.bool_()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:at], ids], names=schema.fieldNames())
+        encode_all = model.encoder
+        for whole in batches:
+            sizes = pc.binary_length(whole.column(at)).to_numpy()
+            for begin, rows in by_bytes(sizes):  # ids take more room than text
+                batch = whole.slice(begin, rows)
+                arrays = list(encode_all(batch.column(at)))
+                ends = np.cumsum([0] + [len(a) for a in arrays]).astype(np.int32)
+                null = batch.column(at + 1).to_numpy(zero_copy_only=False)
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(arrays).view(np.int32)),
+                                               mask=pa.array(null, pa.bool_()))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:at], ids], names=schema.fieldNames())
 
     return base.withColumns({PREFIX + "data": text_bytes(text_col),
                              PREFIX + "null": F.col(text_col).isNull()}).mapInArrow(run, schema)
@@ -364,14 +373,14 @@ def round_trips(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_c
 
     def make():
         pieces = model.value
-        encode_all = encoder(pieces)
+        encode_all = model.encoder
         is_byte = np.zeros(len(pieces.score), bool)
         is_byte[pieces.byte_id[pieces.byte_id >= 0]] = True
 
         def each(batch: pa.RecordBatch) -> dict:
             texts = batch.column(1)
             out = {"n_pieces": [], "n_byte_pieces": [], "ids_crc32": [], "round_trip": []}
-            for x, ids in zip(texts, encode_all(x.as_py() for x in texts)):
+            for x, ids in zip(texts, encode_all(texts)):
                 out["n_pieces"].append(len(ids))
                 out["n_byte_pieces"].append(int(is_byte[ids].sum()))
                 out["ids_crc32"].append(zlib.crc32(ids.astype("<u4").tobytes()))

@@ -26,11 +26,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from actiflow.llm.chunks import ChunkCache, encode_texts
+from actiflow.llm.chunks import ChunkCache, encode_column, shared
 from actiflow.llm.common import PREFIX, map_arrow, stored, text_bytes
 from actiflow.session import work_root
 from actiflow.sources.tables import read_table
@@ -43,6 +44,8 @@ SLICE = 1 << 20  # bytes of a long text split at once
 # A space between two other characters: no piece of a byte-level vocabulary whose
 # splitting pattern keeps a space with the word after it crosses the place before it.
 _PLAIN = re.compile(r"\s\s")
+_PLAIN_RE2 = (r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}"
+              r"\x{202f}\x{205f}\x{3000}]{2}")  # the same for Arrow's expressions
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -77,7 +80,7 @@ class ByteEncoder:
             self.bytes_of[i] = len(piece)
 
     def ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
     def __call__(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all chunks and how many each has. Chunks of the form space, word are
@@ -86,7 +89,7 @@ class ByteEncoder:
         run: list[int] = []
         size = 0
         for k, c in enumerate(chunks):
-            if len(c) > 1 and c[0] == " " and not c[1].isspace() and not c[-1].isspace():
+            if c[:1] == " " and not c[-1:].isspace():
                 run.append(k)
                 size += len(c)
                 if size > 1 << 14:
@@ -118,18 +121,19 @@ def encode_documents(docs: DataFrame, tokenizer_json: str, end_id: int = END_ID,
     """(doc_id, n_ids, crc, ids): ids with the end id, as compressed little-endian
     unsigned 32-bit integers."""
     spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(tokenizer_json)  # bounded by the vocabulary
+    model = spark.sparkContext.broadcast({"json": tokenizer_json})  # bounded by the vocabulary
     work = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_bytes(text_col).alias("data"))
 
     def make():
-        cache = ChunkCache(ByteEncoder(model.value))
+        cache = shared(model.value, "cache", lambda: ChunkCache(ByteEncoder(model.value["json"])))
         pack = zstandard.ZstdCompressor(level=1)
         end = np.array([end_id], np.uint32)
 
         def each(batch: pa.RecordBatch) -> dict:
             n, crc, packed = [], [], []
-            texts = (x.as_py().decode("utf-8", "replace") for x in batch.column(1))
-            for ids in encode_texts(texts, split_text, cache):
+            texts = as_strings(batch.column(1))
+            plain = ~pc.match_substring_regex(texts, _PLAIN_RE2).to_numpy(zero_copy_only=False)
+            for ids in encode_column(texts, plain, split_text, cache, bare_first=True):
                 ids = np.concatenate([ids, end])
                 n.append(len(ids))
                 crc.append(zlib.crc32(ids.astype("<u4").tobytes()))
@@ -140,6 +144,13 @@ def encode_documents(docs: DataFrame, tokenizer_json: str, end_id: int = END_ID,
     return map_arrow(work, make, "doc_id BIGINT, n_ids BIGINT, crc BIGINT, ids BINARY")
 
 
+def as_strings(data: pa.Array) -> pa.Array:
+    try:
+        return data.cast(pa.string())
+    except pa.ArrowInvalid:  # not UTF-8: replacement characters
+        return pa.array([x.as_py().decode("utf-8", "replace") for x in data], pa.string())
+
+
 def planes(ids: np.ndarray) -> bytes:
     """16-bit ids where they fit, else 32-bit, with a leading byte that tells."""
     small = not len(ids) or int(ids.max()) < 1 << 16
@@ -154,13 +165,23 @@ def unpacked(data: bytes) -> np.ndarray:
 def id_ranks(encoded: DataFrame) -> DataFrame:
     """(id, n, rank): ids by falling frequency in the whole corpus, ties by id."""
     def counts(batches):
-        total = np.zeros(1 << 16, np.int64)
+        total, held, size = np.zeros(1 << 16, np.int64), [], 0
+
+        def counted():
+            nonlocal total
+            found = np.bincount(np.concatenate(held) if held else np.zeros(0, np.int64), minlength=len(total))
+            found[:len(total)] += total
+            total = found
+            held.clear()
+
         for batch in batches:
             for x in batch.column(0):
-                ids = unpacked(x.as_py())
-                if len(ids) and ids.max() >= len(total):
-                    total = np.concatenate([total, np.zeros(int(ids.max()) + 1 - len(total), np.int64)])
-                total += np.bincount(ids, minlength=len(total))
+                held.append(unpacked(x.as_py()))
+                size += len(held[-1])
+                if size > 1 << 20:
+                    counted()
+                    size = 0
+        counted()
         seen = np.nonzero(total)[0]
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())],
                                          names=["id", "n"])
