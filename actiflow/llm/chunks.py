@@ -18,7 +18,7 @@ class ChunkCache:
     chunks, one after the other, and how many each has."""
 
     def __init__(self, encode: Callable[[list], tuple[np.ndarray, np.ndarray]],
-                 max_chunks: int = 400_000, max_ids: int = 8_000_000):
+                 max_chunks: int = 200_000, max_ids: int = 4_000_000):
         self.encode, self.max_chunks, self.max_ids = encode, max_chunks, max_ids
         self.index: dict = {}
         self.ids = np.zeros(1 << 16, dtype=np.uint32)
@@ -114,31 +114,67 @@ def encode_texts(texts: list[bytes], split: Callable[[bytes], Iterator[list[byte
     yield from flush()
 
 
-def encode_plain(texts: pa.Array, cache: ChunkCache, bare_first: bool) -> list[np.ndarray]:
+class WordCache:
+    """Ids of words, each taken as a space and the word, with all of it in Arrow and numpy
+    arrays: a million words take some 50 MB. ``encode(array of words)`` fills the gaps."""
+
+    def __init__(self, encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]],
+                 max_words: int = 1_000_000, max_ids: int = 8_000_000):
+        self.encode, self.max_words, self.max_ids = encode, max_words, max_ids
+        self.words: pa.Array | None = None
+        self.ids = np.zeros(0, np.uint32)
+        self.starts = self.sizes = np.zeros(0, np.int64)
+
+    def ids_of(self, words: pa.Array, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of ``words[at]`` one after the other, and how many each has; ``words`` are
+        distinct."""
+        if self.words is None:
+            place = np.full(len(words), -1, np.int64)
+        else:
+            place = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy().astype(np.int64)
+        missing = place < 0
+        ids, starts, sizes, known = self.ids, self.starts, self.sizes, self.words
+        if missing.any():
+            new = words.filter(pa.array(missing))
+            more, counts = self.encode(new)
+            place[missing] = len(starts) + np.arange(len(new))
+            starts = np.concatenate([starts, len(ids) + np.cumsum(counts) - counts])
+            sizes = np.concatenate([sizes, counts])
+            ids = np.concatenate([ids, more])
+            if len(starts) <= self.max_words and len(ids) <= self.max_ids:
+                self.words = new if known is None else pa.concat_arrays([known, new])
+                self.ids, self.starts, self.sizes = ids, starts, sizes
+            # else full: frequent words came early and stay, these were needed once
+        at = place[at]
+        return gather(ids, starts[at], sizes[at]), sizes[at]
+
+
+def encode_plain(texts: pa.Array, words: WordCache, bare: ChunkCache | None) -> list[np.ndarray]:
     """Id array of each text, where every space has other characters on both sides.
 
-    Words are split and numbered by Arrow; only distinct ones are looked up, as a space
-    and the word. With ``bare_first`` the first word of a text is a chunk without a space.
+    Words are split and numbered by Arrow; only distinct ones are looked up. With ``bare``
+    the first word of a text has no space before it and is encoded there.
     """
-    space = " " if pa.types.is_string(texts.type) else b" "
-    parts = pc.split_pattern(texts, space)
-    firsts = parts.offsets.to_numpy()[:-1] - parts.offsets[0].as_py()
+    parts = pc.split_pattern(texts, " " if pa.types.is_string(texts.type) else b" ")
+    bounds = parts.offsets.to_numpy() - parts.offsets[0].as_py()
     coded = parts.flatten().dictionary_encode()
-    words = coded.dictionary.to_pylist()
     at = coded.indices.to_numpy().astype(np.int64)
-    chunks = [space + w for w in words]
-    if bare_first:
-        at[firsts] = len(chunks) + np.arange(len(firsts))
-        chunks += [words[k] for k in coded.indices.to_numpy()[firsts].tolist()]
-    starts, sizes = cache.spans(chunks)
-    starts, sizes = starts[at], sizes[at]
-    ids = gather(cache.ids, starts, sizes)
-    ends = np.concatenate(([0], np.cumsum(sizes)))[np.append(firsts, len(at))].tolist()
-    return [ids[a:b] for a, b in zip(ends, ends[1:])]
-
-
-def encode_column(texts: pa.Array, plain: np.ndarray, split: Callable, cache: ChunkCache,
-                  bare_first: bool, at_once: int = 1 << 21) -> Iterator[np.ndarray]:
+    if bare is None:
+        ids, sizes = words.ids_of(coded.dictionary, at)
+        ends = np.concatenate(([0], np.cumsum(sizes)))[bounds].tolist()
+        return [ids[a:b] for a, b in zip(ends, ends[1:])]
+    first = np.zeros(len(at), bool)
+    first[bounds[:-1]] = True
+    used, rest = np.unique(at[~first], return_inverse=True)
+    ids, sizes = words.ids_of(coded.dictionary.take(pa.array(used)), rest)
+    ends = np.concatenate(([0], np.cumsum(sizes)))[bounds - np.arange(len(bounds))].tolist()
+    heads, counts = bare.ids_of(coded.dictionary.take(pa.array(at[first])).to_pylist())
+    cuts = np.concatenate(([0], np.cumsum(counts))).tolist()
+    return [np.concatenate([heads[c:d], ids[a:b]]) for a, b, c, d in zip(ends, ends[1:], cuts, cuts[1:])]
+
+
+def encode_column(texts: pa.Array, plain: np.ndarray, split: Callable, cache: ChunkCache, words: WordCache,
+                  bare_first: bool, at_once: int = 1 << 22) -> Iterator[np.ndarray]:
     """Id array of each text: runs of plain texts together, others one by one."""
     sizes = pc.binary_length(texts).to_numpy()
     begin = 0
@@ -150,7 +186,7 @@ def encode_column(texts: pa.Array, plain: np.ndarray, split: Callable, cache: Ch
             total += sizes[end]
             end += 1
         if end > begin:
-            yield from encode_plain(texts.slice(begin, end - begin), cache, bare_first)
+            yield from encode_plain(texts.slice(begin, end - begin), words, cache if bare_first else None)
         else:
             yield from encode_texts([texts[begin].as_py()], split, cache)
             end += 1

@@ -33,7 +33,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from actiflow.llm.chunks import ChunkCache, by_bytes, encode_column, gather, shared
+from actiflow.llm.chunks import (ChunkCache, WordCache, by_bytes, encode_column, gather,
+                                 shared)
 from actiflow.llm.common import PREFIX, map_arrow, text_bytes, without
 from actiflow.sources.tables import read_table
 
@@ -299,11 +300,12 @@ def decode_ids(model: PieceModel, ids: np.ndarray) -> bytes:
 def encoder(model: PieceModel):
     """Binary array of texts -> id arrays, with a bounded cache of words."""
     cache = ChunkCache(lambda words: viterbi(model, words))
+    words = WordCache(lambda words: viterbi(model, [b" " + w for w in words.to_pylist()]))
     split = split_words if model.plain_words else (lambda data: iter([[b" " + data]] if data else []))
 
     def encode(texts: pa.Array):
         odd = pc.match_substring_regex(texts, "^ |  | $|^$").to_numpy(zero_copy_only=False)
-        return encode_column(texts, ~odd & model.plain_words, split, cache, bare_first=False)
+        return encode_column(texts, ~odd & model.plain_words, split, cache, words, bare_first=False)
     return encode
 
 

@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from actiflow.llm.chunks import ChunkCache, encode_column, shared
+from actiflow.llm.chunks import ChunkCache, WordCache, encode_column, shared
 from actiflow.llm.common import PREFIX, map_arrow, stored, text_bytes
 from actiflow.session import work_root
 from actiflow.sources.tables import read_table
@@ -44,8 +44,11 @@ SLICE = 1 << 20  # bytes of a long text split at once
 # A space between two other characters: no piece of a byte-level vocabulary whose
 # splitting pattern keeps a space with the word after it crosses the place before it.
 _PLAIN = re.compile(r"\s\s")
-_PLAIN_RE2 = (r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}"
-              r"\x{202f}\x{205f}\x{3000}]{2}")  # the same for Arrow's expressions
+# The same for Arrow's expressions, and white space at an end, or nothing.
+_WHITE = (r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}"
+          r"\x{202f}\x{205f}\x{3000}]")
+_PLAIN_RE2 = _WHITE + "{2}"
+_EDGE_RE2 = f"^{_WHITE}|{_WHITE}$|^$"
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -103,18 +106,43 @@ class ByteEncoder:
     def _together(self, chunks: list[str], run: list[int], out: list) -> None:
         if not run:
             return
-        ids = self.ids("".join([chunks[k] for k in run]))
-        at = np.cumsum(self.bytes_of[ids])
-        ends = np.cumsum([len(chunks[k].encode()) for k in run])
-        cuts = np.searchsorted(at, ends)
-        if not len(at) or at[-1] != ends[-1] or not np.array_equal(at[cuts], ends):
+        ids, sizes = self._cut("".join([chunks[k] for k in run]),
+                               np.array([len(chunks[k].encode()) for k in run]))
+        if ids is None:
             for k in run:
                 out[k] = self.ids(chunks[k])
             return
-        cuts = [0, *(cuts + 1).tolist()]
-        for k, a, b in zip(run, cuts, cuts[1:]):
+        ends = [0, *np.cumsum(sizes).tolist()]
+        for k, a, b in zip(run, ends, ends[1:]):
             out[k] = ids[a:b]
 
+    def _cut(self, text: str, lengths: np.ndarray):
+        """Ids of the text, and how many belong to each stretch of bytes; (None, None) if
+        an id crosses from one to the next."""
+        ids = self.ids(text)
+        at, ends = np.cumsum(self.bytes_of[ids]), np.cumsum(lengths)
+        cuts = np.searchsorted(at, ends)
+        if not len(at) or at[-1] != ends[-1] or not np.array_equal(at[cuts], ends):
+            return None, None
+        return ids, np.diff(cuts, prepend=-1)
+
+    def words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, each with a space in front, and how many each has."""
+        odd = pc.match_substring_regex(words, _EDGE_RE2).to_numpy(zero_copy_only=False)
+        if odd.any():  # at the end of a text only
+            return self([" " + w for w in words.to_pylist()])
+        lengths = pc.binary_length(words).to_numpy() + 1
+        bounds = np.append(np.arange(0, len(words), 2000), len(words)).astype(np.int32)
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds), words), " ").to_pylist()
+        ids, sizes = [], []
+        for text, a, b in zip(joined, bounds, bounds[1:]):
+            one, counts = self._cut(" " + text, lengths[a:b])
+            if one is None:
+                one, counts = self([" " + w for w in words[a:b].to_pylist()])
+            ids.append(one)
+            sizes.append(counts)
+        return np.concatenate(ids), np.concatenate(sizes).astype(np.int64)
+
 
 def encode_documents(docs: DataFrame, tokenizer_json: str, end_id: int = END_ID,
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -125,7 +153,9 @@ def encode_documents(docs: DataFrame, tokenizer_json: str, end_id: int = END_ID,
     work = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_bytes(text_col).alias("data"))
 
     def make():
-        cache = shared(model.value, "cache", lambda: ChunkCache(ByteEncoder(model.value["json"])))
+        encoder = shared(model.value, "encoder", lambda: ByteEncoder(model.value["json"]))
+        cache = shared(model.value, "chunks", lambda: ChunkCache(encoder))
+        words = shared(model.value, "words", lambda: WordCache(encoder.words))
         pack = zstandard.ZstdCompressor(level=1)
         end = np.array([end_id], np.uint32)
 
@@ -133,7 +163,7 @@ def encode_documents(docs: DataFrame, tokenizer_json: str, end_id: int = END_ID,
             n, crc, packed = [], [], []
             texts = as_strings(batch.column(1))
             plain = ~pc.match_substring_regex(texts, _PLAIN_RE2).to_numpy(zero_copy_only=False)
-            for ids in encode_column(texts, plain, split_text, cache, bare_first=True):
+            for ids in encode_column(texts, plain, split_text, cache, words, bare_first=True):
                 ids = np.concatenate([ids, end])
                 n.append(len(ids))
                 crc.append(zlib.crc32(ids.astype("<u4").tobytes()))

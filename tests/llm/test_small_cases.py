@@ -184,7 +184,7 @@ def plain_ids(tokenizer, text):
 def test_token_chunks_equal_whole_texts(monkeypatch):
     tokenizers = pytest.importorskip("tokenizers")
     import public_tokenizers
-    from actiflow.llm.chunks import ChunkCache, encode_column, encode_texts
+    from actiflow.llm.chunks import ChunkCache, WordCache, encode_column, encode_texts
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
         model = f.read()
     plain_model = tokenizers.Tokenizer.from_str(model)
@@ -196,8 +196,10 @@ def test_token_chunks_equal_whole_texts(monkeypatch):
             cache = ChunkCache(token_files.ByteEncoder(model), max_chunks=limit)
             plain = ~pc.match_substring_regex(pa.array(texts), token_files._PLAIN_RE2).to_numpy(zero_copy_only=False)
             for at_once in (1, 20, 1 << 20):
-                got = [x.tolist() for x in encode_column(pa.array(texts), plain, token_files.split_text, cache,
-                                                         True, at_once)]
+                words = WordCache(token_files.ByteEncoder(model).words, max_words=limit)
+                got = [x.tolist() for k in range(2)
+                       for x in encode_column(pa.array(texts), plain, token_files.split_text, cache, words,
+                                              True, at_once)][len(texts):]
                 assert got == [plain_ids(plain_model, t) for t in texts]
             for at_once in (1, 100):
                 got = [x.tolist() for x in encode_texts(texts, token_files.split_text, cache, at_once)]
