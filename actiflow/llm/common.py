@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -51,6 +52,20 @@ def ensure_checkpoint(spark: SparkSession) -> str:
     return checkpoint_dir(spark)
 
 
+# Rows go to Python workers in batches of at most so many bytes: texts can be long.
+BATCH_BYTES = 4 << 20
+
+
+def in_arrow(df: DataFrame, run: Callable, schema: T.StructType | str) -> DataFrame:
+    """``mapInArrow`` with batches bounded by bytes, not only by rows. The bound is a
+    session setting that changes no result; it is lowered, never raised."""
+    key, conf = "spark.sql.execution.arrow.maxBytesPerBatch", df.sparkSession.conf
+    now = re.fullmatch(r"(\d+)b?", conf.get(key))
+    if not now or not 0 < int(now[1]) <= BATCH_BYTES:
+        conf.set(key, str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
+
+
 def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterable[dict] | pa.RecordBatch]],
               schema: T.StructType | str) -> DataFrame:
     """``mapInArrow`` with a worker-side function per batch.
@@ -73,7 +88,7 @@ def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Itera
                       for n, c in ((n, cols[n]) for n in names)]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return df.mapInArrow(run, struct)
+    return in_arrow(df, run, struct)
 
 
 def map_groups(df: DataFrame, keys: list[str], make: Callable, schema: T.StructType | str) -> DataFrame:
@@ -124,4 +139,4 @@ def map_groups(df: DataFrame, keys: list[str], make: Callable, schema: T.StructT
             table = pa.Table.from_batches(held).combine_chunks()
             yield out(table, starts_of(table))
 
-    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, struct)
+    return in_arrow(df.repartition(*keys).sortWithinPartitions(*keys), run, struct)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from actiflow.llm.common import PREFIX, map_arrow, text_bytes
+from actiflow.llm.common import PREFIX, in_arrow, map_arrow, text_bytes
 from actiflow.sources.tables import read_table
 
 # Method parameters.
@@ -148,7 +148,7 @@ def inverse_frequencies(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()),
                                           pa.array(np.append(total, rows)[at], pa.int64())], names=["f", "n"])
 
-    rows = (docs.select(text_bytes(text_col).alias("data")).mapInArrow(counted, "f BIGINT, n BIGINT")
+    rows = (in_arrow(docs.select(text_bytes(text_col).alias("data")), counted, "f BIGINT, n BIGINT")
             .groupBy("f").agg(F.sum("n").alias("n")).collect())
     found = {r["f"]: r["n"] for r in rows}
     total = found.get(FEATURES, 0)

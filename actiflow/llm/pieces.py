@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from actiflow.llm.chunks import (ChunkCache, WordCache, by_bytes, encode_column, gather,
                                  shared)
-from actiflow.llm.common import PREFIX, map_arrow, text_bytes, without
+from actiflow.llm.common import in_arrow, map_arrow, text_bytes, without
 from actiflow.sources.tables import read_table
 
 # Fixed values of the model format.
@@ -300,12 +300,14 @@ def decode_ids(model: PieceModel, ids: np.ndarray) -> bytes:
 def encoder(model: PieceModel):
     """Binary array of texts -> id arrays, with a bounded cache of words."""
     cache = ChunkCache(lambda words: viterbi(model, words))
-    words = WordCache(lambda words: viterbi(model, [b" " + w for w in words.to_pylist()]))
+    words = WordCache(lambda words: viterbi(model, [b" " + w for w in words.to_pylist()]),
+                      max_words=250_000, max_ids=2_000_000)
     split = split_words if model.plain_words else (lambda data: iter([[b" " + data]] if data else []))
 
     def encode(texts: pa.Array):
         odd = pc.match_substring_regex(texts, "^ |  | $|^$").to_numpy(zero_copy_only=False)
-        return encode_column(texts, ~odd & model.plain_words, split, cache, words, bare_first=False)
+        return encode_column(texts, ~odd & model.plain_words, split, cache, words, bare_first=False,
+                             at_once=1 << 21)
     return encode
 
 
@@ -328,24 +330,24 @@ class SharedModel:
 def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "piece_ids") -> DataFrame:
     """The documents with their own columns and the piece ids of the text."""
     base = without(docs, ids_col)
-    model, at = SharedModel(docs.sparkSession, model_path), len(base.columns)
+    model, at = SharedModel(docs.sparkSession, model_path), base.columns.index(text_col)
     schema = T.StructType(base.schema.fields + [T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
 
     def run(batches):
         encode_all = model.encoder
         for whole in batches:
-            sizes = pc.binary_length(whole.column(at)).to_numpy()
-            for begin, rows in by_bytes(sizes):  # ids take more room than text
-                batch = whole.slice(begin, rows)
-                arrays = list(encode_all(batch.column(at)))
+            texts = whole.column(at).cast(pa.binary())
+            sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy()
+            for begin, rows in by_bytes(sizes, 1 << 21):  # ids take more room than text
+                null = texts.slice(begin, rows).is_null()
+                arrays = list(encode_all(pc.fill_null(texts.slice(begin, rows), b"")))
                 ends = np.cumsum([0] + [len(a) for a in arrays]).astype(np.int32)
-                null = batch.column(at + 1).to_numpy(zero_copy_only=False)
                 ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(arrays).view(np.int32)),
-                                               mask=pa.array(null, pa.bool_()))
-                yield pa.RecordBatch.from_arrays([*batch.columns[:at], ids], names=schema.fieldNames())
+                                               mask=null)
+                yield pa.RecordBatch.from_arrays([*whole.slice(begin, rows).columns, ids],
+                                                 names=schema.fieldNames())
 
-    return base.withColumns({PREFIX + "data": text_bytes(text_col),
-                             PREFIX + "null": F.col(text_col).isNull()}).mapInArrow(run, schema)
+    return in_arrow(base, run, schema)
 
 
 def decode(encoded: DataFrame, model_path: str, ids_col: str = "piece_ids",
@@ -364,7 +366,7 @@ def decode(encoded: DataFrame, model_path: str, ids_col: str = "piece_ids",
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
                                              names=schema.fieldNames())
 
-    return base.mapInArrow(run, schema)
+    return in_arrow(base, run, schema)
 
 
 def round_trips(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from actiflow.llm.common import CONTINUATION, PREFIX, WHITE, map_arrow, stored, text_bytes
+from actiflow.llm.common import CONTINUATION, PREFIX, WHITE, in_arrow, map_arrow, stored, text_bytes
 from actiflow.sources.tables import read_table
 
 # Fixed values of the base rules.
@@ -148,7 +148,7 @@ def keep_good(docs: DataFrame, max_rate: float = MAX_HOST_RATE, text_col: str =
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i) for i in range(at)], names=columns).filter(pa.array(ok, pa.bool_()))
 
-    good = flagged.mapInArrow(passing, docs.schema)
+    good = in_arrow(flagged, passing, docs.schema)
     bad = bad.select(F.col("host").alias(PREFIX + "host"))
     return good.join(bad, F.col(host_col).cast("string").eqNullSafe(F.col(PREFIX + "host")),
                      "left_anti").select(*columns)

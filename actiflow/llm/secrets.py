@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from actiflow.llm.common import PREFIX, map_arrow, text_bytes
+from actiflow.llm.common import PREFIX, in_arrow, map_arrow, text_bytes
 from actiflow.sources.tables import read_table
 
 # Fixed values of the base rules: expressions and least lengths.
@@ -163,7 +163,7 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = Non
                     arrays[k] = pa.array(sizes, arrays[k].type)
             yield pa.RecordBatch.from_arrays(arrays, names=columns)
 
-    return docs.withColumn(PREFIX + "data", text_bytes(text_col)).mapInArrow(run, docs.schema)
+    return in_arrow(docs.withColumn(PREFIX + "data", text_bytes(text_col)), run, docs.schema)
 
 
 def digest(spans_col: str = "spans") -> dict:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from actiflow.llm.chunks import ChunkCache, WordCache, encode_column, shared
-from actiflow.llm.common import PREFIX, map_arrow, stored, text_bytes
+from actiflow.llm.common import in_arrow, map_arrow, stored, text_bytes
 from actiflow.session import work_root
 from actiflow.sources.tables import read_table
 
@@ -187,15 +187,21 @@ def planes(ids: np.ndarray) -> bytes:
     return (b"\x02" if small else b"\x04") + ids.astype("<u2" if small else "<u4").tobytes()
 
 
-def unpacked(data: bytes) -> np.ndarray:
-    raw = zstandard.ZstdDecompressor().decompress(data)
-    return np.frombuffer(raw, "<u2" if raw[0] == 2 else "<u4", offset=1).astype(np.uint32)
+def unpacker():
+    """Compressed planes -> ids; one decompressor per task."""
+    decompress = zstandard.ZstdDecompressor().decompress
+
+    def unpacked(data: bytes) -> np.ndarray:
+        raw = decompress(data)
+        return np.frombuffer(raw, "<u2" if raw[0] == 2 else "<u4", offset=1)
+    return unpacked
 
 
 def id_ranks(encoded: DataFrame) -> DataFrame:
     """(id, n, rank): ids by falling frequency in the whole corpus, ties by id."""
     def counts(batches):
         total, held, size = np.zeros(1 << 16, np.int64), [], 0
+        unpacked = unpacker()
 
         def counted():
             nonlocal total
@@ -216,7 +222,7 @@ def id_ranks(encoded: DataFrame) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())],
                                          names=["id", "n"])
 
-    summed = encoded.select("ids").mapInArrow(counts, "id BIGINT, n BIGINT").groupBy("id").agg(
+    summed = in_arrow(encoded.select("ids"), counts, "id BIGINT, n BIGINT").groupBy("id").agg(
         F.sum("n").alias("n"))
     # One row per vocabulary entry at most.
     order = Window.orderBy(F.col("n").desc(), F.col("id"))
@@ -225,9 +231,15 @@ def id_ranks(encoded: DataFrame) -> DataFrame:
 
 def encode_stream(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """(control, data) of unsigned 32-bit numbers."""
-    ranks = ranks.astype("<u4")
-    extra = (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
-    data = ranks.view(np.uint8).reshape(-1, 4)[np.arange(4) <= extra[:, None]]
+    ranks = ranks.astype(np.uint32)
+    extra = (ranks > 0xFF).view(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
+    ends = np.cumsum(extra + np.uint8(1), dtype=np.int64)
+    starts = ends - extra - 1
+    data = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+    data[starts] = ranks.astype(np.uint8)
+    for k in range(1, int(extra.max()) + 1 if len(extra) else 1):
+        long = np.nonzero(extra >= k)[0]
+        data[starts[long] + k] = (ranks[long] >> np.uint32(8 * k)).astype(np.uint8)
     four = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
     four[:len(ranks)] = extra
     four = four.reshape(-1, 4)
@@ -236,14 +248,18 @@ def encode_stream(ranks: np.ndarray) -> tuple[bytes, bytes]:
 
 
 # Lengths of the four numbers that a control byte describes.
-LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
+LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1).astype(np.uint8)
 
 
 def decode_stream(control: bytes, data: bytes, n: int) -> np.ndarray:
     lengths = LENGTHS[np.frombuffer(control, np.uint8)].ravel()[:n]
-    out = np.zeros((n, 4), np.uint8)
-    out[np.arange(4) < lengths[:, None]] = np.frombuffer(data, np.uint8)
-    return out.view("<u4").ravel()
+    raw = np.frombuffer(data, np.uint8)
+    starts = np.cumsum(lengths, dtype=np.int64) - lengths
+    out = raw[starts].astype(np.uint32)
+    for k in range(1, int(lengths.max()) if n else 1):
+        long = np.nonzero(lengths > k)[0]
+        out[long] |= raw[starts[long] + k].astype(np.uint32) << np.uint32(8 * k)
+    return out
 
 
 CHUNK_SCHEMA = ("range INT, first BIGINT, n_docs BIGINT, n_ids BIGINT, doc_ids BINARY, "
@@ -270,7 +286,7 @@ def write_token_files(encoded: DataFrame, path: str, ids_per_chunk: int = IDS_PE
                    .sortWithinPartitions("range", F.col("doc_id"), "crc", "n_ids"))
 
     def pack(batches):
-        rank_of = table.value
+        rank_of, unpacked = table.value, unpacker()
         state = {"range": None, "first": 0}
         docs: list = []
 
@@ -300,7 +316,7 @@ def write_token_files(encoded: DataFrame, path: str, ids_per_chunk: int = IDS_PE
         if docs:
             yield chunk()
 
-    sorted_rows.mapInArrow(pack, CHUNK_SCHEMA).write.option("compression", "zstd").parquet(path + "/chunks")
+    in_arrow(sorted_rows, pack, CHUNK_SCHEMA).write.option("compression", "zstd").parquet(path + "/chunks")
 
 
 CHUNK_NAMES = [x.split()[0] for x in CHUNK_SCHEMA.split(", ")]
@@ -315,8 +331,9 @@ def rank_table(spark: SparkSession, path: str, by: str, value: str):
     return spark.sparkContext.broadcast(table)
 
 
-def read_token_files(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids): start counts the ids of all documents before."""
+def read_token_files(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32, ids): start counts the ids of all documents
+    before; ids are little-endian unsigned 32-bit integers, left out if not wanted."""
     table = rank_table(spark, path, by="rank", value="id")
     chunks = spark.read.schema(CHUNK_SCHEMA).parquet(path + "/chunks")
 
@@ -324,7 +341,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
         id_of = table.value
 
         def each(batch: pa.RecordBatch) -> dict:
-            out = {c: [] for c in ("range", "doc_id", "at", "n_tokens", "ids")}
+            out = {c: [] for c in ("range", "doc_id", "at", "n_tokens", "ids_crc32", "ids")}
             for row in batch.to_pylist():
                 ids = id_of[decode_stream(row["control"], row["data"], row["n_ids"])].astype("<u4")
                 sizes = np.frombuffer(row["doc_sizes"], "<u4").astype(np.int64)
@@ -335,17 +352,21 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                 out["doc_id"] += [None if x else d for d, x in zip(docs, nulls)]
                 out["at"] += (row["first"] + ends - sizes).tolist()
                 out["n_tokens"] += sizes.tolist()
-                out["ids"] += [ids[b - s:b].tobytes() for b, s in zip(ends.tolist(), sizes.tolist())]
+                parts = [ids[b - s:b] for b, s in zip(ends.tolist(), sizes.tolist())]
+                out["ids_crc32"] += [zlib.crc32(x) for x in parts]
+                out["ids"] += [x.tobytes() if with_ids else None for x in parts]
             return out
         return each
 
-    docs = map_arrow(chunks, make, "range INT, doc_id BIGINT, at BIGINT, n_tokens BIGINT, ids BINARY")
+    docs = map_arrow(chunks, make, "range INT, doc_id BIGINT, at BIGINT, n_tokens BIGINT, "
+                                   "ids_crc32 BIGINT, ids BINARY")
     # One row per range, at most MAX_RANGES + 1.
     before = Window.orderBy("of").rowsBetween(Window.unboundedPreceding, -1)
     starts = chunks.groupBy(F.col("range").alias("of")).agg(F.sum("n_ids").alias("n")).select(
         "of", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     return docs.join(F.broadcast(starts), F.col("range") == F.col("of")).select(
-        "doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids")
+        "doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32",
+        *(["ids"] if with_ids else []))
 
 
 def token_files(docs: DataFrame, tokenizer_json: str, path: str, end_id: int = END_ID,
@@ -363,5 +384,4 @@ def op7_token_files(spark: SparkSession, sf_dir: str, tokenizer_path: str | None
     with open(tokenizer_path, encoding="utf-8") as f:
         model = f.read()
     path = token_files(read_table(spark, sf_dir, "documents"), model, work_root(spark, "token_files"))
-    return read_token_files(spark, path).select("doc_id", "start", "n_tokens",
-                                                F.crc32("ids").alias("ids_crc32"))
+    return read_token_files(spark, path, with_ids=False)

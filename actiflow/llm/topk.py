@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from actiflow.llm.common import stored
+from actiflow.llm.common import in_arrow, stored
 from actiflow.sources.tables import read_table
 
 # Fixed values of the contract.
@@ -80,7 +80,7 @@ def packed(rows: DataFrame, size: int, per_part: int) -> DataFrame:
         if ids:
             yield row()
 
-    return rows.repartitionByRange(n, "id").sortWithinPartitions("id").mapInArrow(pack, PACKED)
+    return in_arrow(rows.repartitionByRange(n, "id").sortWithinPartitions("id"), pack, PACKED)
 
 
 def unpack(ids: bytes, width: int, matrix: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -201,8 +201,8 @@ def top_k(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding
                 [pa.array(np.concatenate([np.frombuffer(x.as_py(), "<i8") for x in c]), pa.int64())
                  for c in batch.columns], names=["query_id", "vec_id", "score"])
 
-    found = first.select("query_ids", "ids", "scores").union(second.select("query_ids", "ids", "scores")) \
-        .mapInArrow(unpacked, "query_id BIGINT, vec_id BIGINT, score BIGINT")
+    packed_rows = first.select("query_ids", "ids", "scores").union(second.select("query_ids", "ids", "scores"))
+    found = in_arrow(packed_rows, unpacked, "query_id BIGINT, vec_id BIGINT, score BIGINT")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
