@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from actiflow.llm.common import PREFIX, map_arrow, map_groups, stored, text_bytes
+from actiflow.llm.common import PREFIX, in_arrow, map_arrow, map_groups, stored, text_bytes
 from actiflow.llm.components import Forest, connected_components
 from actiflow.sources.tables import read_table
 
@@ -109,7 +109,7 @@ def with_fingerprint(docs: DataFrame, text_col: str, shingle_words: int) -> Data
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:at], pa.array(prints, pa.int64())], names=schema.fieldNames())
 
-    return docs.withColumn(PREFIX + "data", text_bytes(text_col)).mapInArrow(run, schema)
+    return in_arrow(docs.withColumn(PREFIX + "data", text_bytes(text_col)), run, schema)
 
 
 def block_masks(max_bits: int) -> list[int]:
@@ -253,7 +253,8 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
                                          (F.col("doc_id").isNotNull() & (F.col("n") == 1)).alias("single")),
                  "simhash_keep")
     same_id = F.col(id_col).cast("bigint").eqNullSafe(F.col(PREFIX + "doc"))
-    kept = docs.join(ids.filter("single").drop("single"), same_id, "left_semi")
+    # The list of kept ids grows with the documents: the same join at every size.
+    kept = docs.join(ids.filter("single").drop("single").hint("merge"), same_id, "left_semi")
     shared = ids.filter("NOT single").drop("single")
     if shared.isEmpty():
         return kept
