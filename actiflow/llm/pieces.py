@@ -323,8 +323,8 @@ class SharedModel:
 
     @property
     def encoder(self):
-        model = self.value
-        return shared(self.fields.value, "encoder", lambda: encoder(model))
+        """An encoder whose word caches end with the task."""
+        return encoder(self.value)
 
 
 def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "piece_ids") -> DataFrame:
