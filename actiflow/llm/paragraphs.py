@@ -11,15 +11,18 @@
 4. Verification is exact Jaccard of the shingle sets (64-bit shingle hashes), and
    ``similarity`` or more links. Components of the links are the classes; within a class
    all occurrences but the first (smallest doc_id, then paragraph) are removals.
+5. An occurrence is named by doc_id and text hash, rows without doc_id by a number too.
 
-Defined cases: null or empty text has no paragraphs; a null doc_id comes after all others;
-repeated rows count as occurrences, and rows of one doc_id share the verdict of their
-paragraph; paragraphs below the length are never duplicates; an empty table gives an empty result; extra columns are ignored.
+Defined cases: null or empty text has no paragraphs; a null doc_id comes after all others,
+and each such row is a document of its own; different texts under one doc_id are different
+documents; rows equal in doc_id and text count as occurrences and share their verdicts; paragraphs below the length are never duplicates; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -63,21 +66,29 @@ def text_hash(normalised: bytes) -> int:
     return h - (1 << 64) if h >= 1 << 63 else h
 
 
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, text_id, data): the text as bytes and its hash."""
+    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_bytes(text_col).alias("data")) \
+        .select("doc_id", F.xxhash64("data").alias("text_id"), "data")
+
+
 def occurrences(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, paragraph, start, end, n_words, h): every long enough paragraph."""
-    work = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_bytes(text_col).alias("data"))
+    """(doc_id, text_id, row, paragraph, start, end, n_words, h): every long enough paragraph.
+    ``row`` tells rows without doc_id apart; it holds as long as the result is stored."""
+    work = keyed(docs, id_col, text_col).select(
+        "doc_id", "text_id", F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).alias("row"), "data")
 
     def make():
         def each(batch: pa.RecordBatch) -> dict:
-            rows = [(d, n, a, b, w, text_hash(t))
-                    for d, x in zip(batch.column(0).to_pylist(), batch.column(1))
+            rows = [(d, i, r, n, a, b, w, text_hash(t))
+                    for d, i, r, x in zip(*(batch.column(c).to_pylist() for c in range(3)), batch.column(3))
                     for n, a, b, w, t in paragraphs(x.as_py(), min_words)]
-            return dict(zip(("doc_id", "paragraph", "start", "end", "n_words", "h"),
-                            map(list, zip(*rows)) if rows else [[]] * 6))
+            return dict(zip(("doc_id", "text_id", "row", "paragraph", "start", "end", "n_words", "h"),
+                            map(list, zip(*rows)) if rows else [[]] * 8))
         return each
 
-    return map_arrow(work, make, "doc_id BIGINT, paragraph BIGINT, start BIGINT, `end` BIGINT, "
-                                 "n_words BIGINT, h BIGINT")
+    return map_arrow(work, make, "doc_id BIGINT, text_id BIGINT, row BIGINT, paragraph BIGINT, start BIGINT, "
+                                 "`end` BIGINT, n_words BIGINT, h BIGINT")
 
 
 def band_keys(grams: np.ndarray, starts: np.ndarray, bands: int, rows: int) -> np.ndarray:
@@ -146,25 +157,23 @@ def colliding(texts: DataFrame, bands: int) -> DataFrame:
     return rows.join(shared, "key")
 
 
-def shingle_sets(docs: DataFrame, firsts: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def shingle_sets(docs: DataFrame, firsts: DataFrame, min_words: int, id_col: str, text_col: str) -> DataFrame:
     """(h, grams): sorted distinct shingle hashes of the texts whose one occurrence
-    (doc_id, paragraph, h) is listed."""
-    wanted = firsts.groupBy(F.col("doc_id").alias("of")).agg(
-        F.collect_set(F.struct("paragraph", "h")).alias("wanted"))  # at most a document's lines
-    work = docs.join(wanted, F.col(id_col).cast("bigint").eqNullSafe(F.col("of"))).select(
-        text_bytes(text_col).alias("data"), "wanted")
+    (doc_id, text_id, paragraph) is listed."""
+    wanted = firsts.groupBy(F.col("doc_id").alias("of"), F.col("text_id").alias("of_text")).agg(
+        F.collect_set("paragraph").alias("wanted"))  # at most one text's lines, also for null ids
+    work = keyed(docs, id_col, text_col).join(
+        wanted, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_id") == F.col("of_text"))).select("data", "wanted")
 
     def make():
         def each(batch: pa.RecordBatch) -> dict:
             out = {"h": [], "grams": []}
             for x, wanted in zip(batch.column(0), batch.column(1).to_pylist()):
-                at = {w["paragraph"]: w["h"] for w in wanted}
-                for n, line in enumerate(x.as_py().split(b"\n")):
+                at = set(wanted)
+                for n, _, _, _, text in paragraphs(x.as_py(), min_words):
                     if n in at:
-                        text = b" ".join(line.lower().split())
-                        if text_hash(text) == at[n]:
-                            out["h"].append(at[n])
-                            out["grams"].append(np.unique(shingle_hashes(text, SHINGLE_WORDS)).view(np.int64))
+                        out["h"].append(text_hash(text))
+                        out["grams"].append(np.unique(shingle_hashes(text, SHINGLE_WORDS)).view(np.int64))
             return out
         return each
 
@@ -267,13 +276,14 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     its first occurrence, which alone is not removed."""
     bands = tune_bands(similarity, recall, rows)
     found = stored(occurrences(docs, min_words, id_col, text_col), "paragraphs")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "paragraph", "start"))
+    place = ["doc_id", "paragraph", "start", "text_id", "row"]
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("x"), *place))
     texts = stored(found.groupBy("h").agg(first.alias("first"), F.count(F.lit(1)).alias("times")), "texts")
 
     members = stored(colliding(stored(banded(docs, min_words, bands, rows, text_col), "bands"), bands)
                      .withColumn("root", F.col("h")), "buckets")
-    needed = texts.join(members.select("h").distinct(), "h").select("h", "first.doc_id", "first.paragraph")
-    sets = stored(shingle_sets(docs, needed, id_col, text_col), "shingles")
+    needed = texts.join(members.select("h").distinct(), "h").select("h", "first.doc_id", "first.text_id", "first.paragraph")
+    sets = stored(shingle_sets(docs, needed, min_words, id_col, text_col), "shingles")
     links = None
     for number in range(rounds):
         more = verified(star_pairs(members, number), sets, similarity)
@@ -288,8 +298,7 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         .filter("size > 1")
     named = rooted.select("h", "root").join(classes, "root").select("h", "class")
     out = found.join(named, "h")
-    is_first = F.col("doc_id").eqNullSafe(F.col("class.doc_id")) & (F.col("paragraph") == F.col("class.paragraph")) \
-        & (F.col("start") == F.col("class.start"))
+    is_first = reduce(and_, [F.col(c).eqNullSafe(F.col(f"class.{c}")) for c in place])
     return out.select("doc_id", "paragraph", "start", "end", "n_words",
                       F.col("class.doc_id").alias("class_doc_id"),
                       F.col("class.paragraph").alias("class_paragraph"), (~is_first).alias("removed"))
