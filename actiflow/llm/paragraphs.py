@@ -21,6 +21,7 @@ documents; rows equal in doc_id and text count as occurrences and share their ve
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 from operator import and_
 
@@ -61,6 +62,39 @@ def paragraphs(data: bytes, min_words: int):
         at += size + 1
 
 
+def blocks(data: bytes, min_words: int):
+    """Like ``paragraphs``, but consecutive shorter lines are joined up to a blank or a long
+    line, and a text without any long enough block is one block whatever its length.
+    The number is that of the first line."""
+    at, ascii_only, open_block, found = 0, data.isascii(), [], False
+
+    def closed():
+        words = [w for *_, line in open_block for w in line]
+        if len(words) >= min_words:
+            yield open_block[0][0], open_block[0][1], open_block[-1][2], len(words), b" ".join(words)
+        open_block.clear()
+
+    for number, line in enumerate(data.split(b"\n")):
+        size = len(line) if ascii_only or line.isascii() else len(line.translate(None, CONTINUATION))
+        words = line.lower().split()
+        if not words or len(words) >= min_words:
+            for block in closed():
+                found = True
+                yield block
+        if len(words) >= min_words:
+            found = True
+            yield number, at, at + size, len(words), b" ".join(words)
+        elif words:
+            open_block.append((number, at, at + size, words))
+        at += size + 1
+    for block in closed():
+        found = True
+        yield block
+    words = data.lower().split()
+    if words and not found:
+        yield 0, 0, at - 1, len(words), b" ".join(words)
+
+
 def text_hash(normalised: bytes) -> int:
     h = xxhash.xxh3_64_intdigest(normalised)
     return h - (1 << 64) if h >= 1 << 63 else h
@@ -72,7 +106,7 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         .select("doc_id", F.xxhash64("data").alias("text_id"), "data")
 
 
-def occurrences(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> DataFrame:
+def occurrences(docs: DataFrame, min_words: int, id_col: str, text_col: str, cut: Callable = paragraphs) -> DataFrame:
     """(doc_id, text_id, row, paragraph, start, end, n_words, h): every long enough paragraph.
     ``row`` tells rows without doc_id apart; it holds as long as the result is stored."""
     work = keyed(docs, id_col, text_col).select(
@@ -82,7 +116,7 @@ def occurrences(docs: DataFrame, min_words: int, id_col: str, text_col: str) ->
         def each(batch: pa.RecordBatch) -> dict:
             rows = [(d, i, r, n, a, b, w, text_hash(t))
                     for d, i, r, x in zip(*(batch.column(c).to_pylist() for c in range(3)), batch.column(3))
-                    for n, a, b, w, t in paragraphs(x.as_py(), min_words)]
+                    for n, a, b, w, t in cut(x.as_py(), min_words)]
             return dict(zip(("doc_id", "text_id", "row", "paragraph", "start", "end", "n_words", "h"),
                             map(list, zip(*rows)) if rows else [[]] * 8))
         return each
@@ -108,7 +142,7 @@ def band_keys(grams: np.ndarray, starts: np.ndarray, bands: int, rows: int) -> n
     return keys
 
 
-def banded(docs: DataFrame, min_words: int, bands: int, rows: int, text_col: str) -> DataFrame:
+def banded(docs: DataFrame, min_words: int, bands: int, rows: int, text_col: str, cut: Callable = paragraphs) -> DataFrame:
     """(h, n, keys): distinct texts with their number of words and band keys."""
     def make():
         def each(batch: pa.RecordBatch) -> dict:
@@ -126,7 +160,7 @@ def banded(docs: DataFrame, min_words: int, bands: int, rows: int, text_col: str
                 held, size = [], 0
 
             for x in batch.column(0):
-                for _, _, _, w, t in paragraphs(x.as_py(), min_words):
+                for _, _, _, w, t in cut(x.as_py(), min_words):
                     h = text_hash(t)
                     if h not in seen:
                         seen[h] = True
@@ -157,7 +191,7 @@ def colliding(texts: DataFrame, bands: int) -> DataFrame:
     return rows.join(shared, "key")
 
 
-def shingle_sets(docs: DataFrame, firsts: DataFrame, min_words: int, id_col: str, text_col: str) -> DataFrame:
+def shingle_sets(docs: DataFrame, firsts: DataFrame, min_words: int, id_col: str, text_col: str, cut: Callable = paragraphs) -> DataFrame:
     """(h, grams): sorted distinct shingle hashes of the texts whose one occurrence
     (doc_id, text_id, paragraph) is listed."""
     wanted = firsts.groupBy(F.col("doc_id").alias("of"), F.col("text_id").alias("of_text")).agg(
@@ -170,7 +204,7 @@ def shingle_sets(docs: DataFrame, firsts: DataFrame, min_words: int, id_col: str
             out = {"h": [], "grams": []}
             for x, wanted in zip(batch.column(0), batch.column(1).to_pylist()):
                 at = set(wanted)
-                for n, _, _, _, text in paragraphs(x.as_py(), min_words):
+                for n, _, _, _, text in cut(x.as_py(), min_words):
                     if n in at:
                         out["h"].append(text_hash(text))
                         out["grams"].append(np.unique(shingle_hashes(text, SHINGLE_WORDS)).view(np.int64))
@@ -267,23 +301,19 @@ def rest_links(members: DataFrame, sets: DataFrame, similarity: float, chunk: in
                       ["key", "c1", "c2"], make, "a BIGINT, b BIGINT")
 
 
-def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                        min_words: int = MIN_WORDS, similarity: float = SIMILARITY,
-                        recall: float = RECALL, rows: int = ROWS, rounds: int = ROUNDS,
-                        chunk: int = CHUNK) -> DataFrame:
-    """doc_id, paragraph, start, end, n_words, class_doc_id, class_paragraph, removed: one
-    row per occurrence of a paragraph whose class has two or more; the class is named by
-    its first occurrence, which alone is not removed."""
+def classed(docs: DataFrame, id_col: str, text_col: str, min_words: int, similarity: float, recall: float,
+            rows: int, rounds: int, chunk: int, cut: Callable) -> DataFrame:
+    """The rows of ``repeated_paragraphs`` with text_id and row."""
     bands = tune_bands(similarity, recall, rows)
-    found = stored(occurrences(docs, min_words, id_col, text_col), "paragraphs")
+    found = stored(occurrences(docs, min_words, id_col, text_col, cut), "paragraphs")
     place = ["doc_id", "paragraph", "start", "text_id", "row"]
     first = F.min(F.struct(F.col("doc_id").isNull().alias("x"), *place))
     texts = stored(found.groupBy("h").agg(first.alias("first"), F.count(F.lit(1)).alias("times")), "texts")
 
-    members = stored(colliding(stored(banded(docs, min_words, bands, rows, text_col), "bands"), bands)
+    members = stored(colliding(stored(banded(docs, min_words, bands, rows, text_col, cut), "bands"), bands)
                      .withColumn("root", F.col("h")), "buckets")
     needed = texts.join(members.select("h").distinct(), "h").select("h", "first.doc_id", "first.text_id", "first.paragraph")
-    sets = stored(shingle_sets(docs, needed, min_words, id_col, text_col), "shingles")
+    sets = stored(shingle_sets(docs, needed, min_words, id_col, text_col, cut), "shingles")
     links = None
     for number in range(rounds):
         more = verified(star_pairs(members, number), sets, similarity)
@@ -299,10 +329,29 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     named = rooted.select("h", "root").join(classes, "root").select("h", "class")
     out = found.join(named, "h")
     is_first = reduce(and_, [F.col(c).eqNullSafe(F.col(f"class.{c}")) for c in place])
-    return out.select("doc_id", "paragraph", "start", "end", "n_words",
+    return out.select("doc_id", "text_id", "row", "paragraph", "start", "end", "n_words",
                       F.col("class.doc_id").alias("class_doc_id"),
                       F.col("class.paragraph").alias("class_paragraph"), (~is_first).alias("removed"))
 
 
+def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                        min_words: int = MIN_WORDS, similarity: float = SIMILARITY,
+                        recall: float = RECALL, rows: int = ROWS, rounds: int = ROUNDS,
+                        chunk: int = CHUNK, cut: Callable = paragraphs) -> DataFrame:
+    """doc_id, paragraph, start, end, n_words, class_doc_id, class_paragraph, removed: one
+    row per occurrence of a paragraph whose class has two or more; the class is named by
+    its first occurrence, which alone is not removed."""
+    return classed(docs, id_col, text_col, min_words, similarity, recall, rows, rounds, chunk, cut).drop("text_id", "row")
+
+
+def repeated_blocks(docs: DataFrame, **options) -> DataFrame:
+    """The same for blocks: short and wrapped copies take part."""
+    return repeated_paragraphs(docs, cut=blocks, **options)
+
+
 def op5_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_paragraphs(read_table(spark, sf_dir, "documents"))
+
+
+def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_blocks(read_table(spark, sf_dir, "documents"))

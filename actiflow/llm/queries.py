@@ -5,7 +5,7 @@ from __future__ import annotations
 from actiflow.llm.mixing import OP9_SQL, op9_mixing
 from actiflow.llm.quality_rules import OP10_SQL, op10_quality_rules
 from actiflow.llm.neighbours import op4_neighbours
-from actiflow.llm.paragraphs import op5_paragraphs
+from actiflow.llm.paragraphs import op5_paragraphs, op5_passages
 from actiflow.llm.pieces import op1_sentencepiece
 from actiflow.llm.quotes import op2_quotes
 from actiflow.llm.secrets import op6_secrets
@@ -19,6 +19,7 @@ QUERIES = {
     "op3_topk": op3_topk,
     "op4_neighbours": op4_neighbours,
     "op5_paragraphs": op5_paragraphs,
+    "op5_passages": op5_passages,
     "op6_secrets": op6_secrets,
     "op7_token_files": op7_token_files,
     "op8_simhash": op8_simhash,
