@@ -31,6 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from actiflow.llm import runs
 from actiflow.llm.common import CONTINUATION, map_arrow, map_groups, stored, text_bytes
 from actiflow.llm.components import connected_components
 from actiflow.llm.simhash import shingle_hashes
@@ -353,5 +354,17 @@ def op5_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_paragraphs(read_table(spark, sf_dir, "documents"))
 
 
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                      min_words: int = MIN_WORDS, similarity: float = SIMILARITY, recall: float = RECALL,
+                      rows: int = ROWS, rounds: int = ROUNDS, chunk: int = CHUNK) -> DataFrame:
+    """doc_id, text_id, repeat, start, end: the merged spans to remove, of repeated blocks first and
+    then of runs of ``runs.RUN`` words that what is left still repeats; see ``runs``."""
+    found = stored(classed(docs, id_col, text_col, min_words, similarity, recall, rows, rounds, chunk, blocks)
+                   .select("doc_id", "text_id", "row", "start", "end", "removed"), "repeated_blocks")
+    whole = stored(runs.by_copy(found), "block_spans")
+    more = runs.repeated_runs(keyed(docs, id_col, text_col), whole.filter("NOT repeat").drop("repeat"))
+    return runs.merged(whole.union(runs.by_copy(more)))
+
+
 def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_blocks(read_table(spark, sf_dir, "documents"))
+    return repeated_passages(read_table(spark, sf_dir, "documents"))
