@@ -75,8 +75,7 @@ def decode_csv(df: DataFrame, value_col: str = "value", ddl: str = CSV_MESSAGE_D
     """
     text = F.col(value_col).cast("string")
     parsed = df.select(*(keep or []), F.from_csv(text, ddl).alias("_msg"))
-    names = [part.strip().split(" ")[0] for part in ddl.split(",")]
-    return parsed.select(*(keep or []), *[F.col(f"_msg.{n}").alias(n) for n in names])
+    return parsed.select(*(keep or []), "_msg.*")
 
 
 def reject_reason(keys: list[str] | None = None) -> Column:

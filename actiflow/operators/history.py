@@ -9,7 +9,7 @@ than with one window (which would move the whole history into one task).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from actiflow.operators.blocks import running
@@ -36,3 +36,17 @@ def newest(kpi: DataFrame) -> DataFrame:
     totals = totals.filter("processed_batches > 0")
     return totals.select(*[F.col(c) if c in totals.columns else F.col(f"last.{c}").alias(c)
                            for c in extra + HISTORY_COLUMNS])
+
+
+def recent(kpi: DataFrame, n: int) -> DataFrame:
+    """The newest ``n`` rows of ``kpi_history``, newest first: two totals less what came
+    after each row, so that no history is built."""
+    rows = kpi.orderBy(F.col("batch_id").desc()).limit(n)
+    totals = kpi.agg(F.count(F.lit(1)).alias("batches"), F.sum("event_count").alias("events"))
+    newer = Window.orderBy(F.col("batch_id").desc()).rowsBetween(Window.unboundedPreceding, -1)  # over n rows
+    extra = [c for c in kpi.columns if c not in HISTORY_COLUMNS]
+    return (rows.withColumn("processed_batches", totals.select("batches").scalar()
+                            - F.row_number().over(Window.orderBy(F.col("batch_id").desc())) + 1)
+            .withColumn("cumulative_event_count", totals.select("events").scalar()
+                        - F.coalesce(F.sum("event_count").over(newer), F.lit(0)))
+            .select(*(extra + HISTORY_COLUMNS)).orderBy(F.col("batch_id").desc()))

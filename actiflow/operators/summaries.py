@@ -1,7 +1,9 @@
 """Rollups: city, membership, segments and the per-batch KPI row.
 
 All are single ``groupBy().agg()`` plans: partial aggregation runs before the
-shuffle, so a hot group key costs one row per map task, not a hot reducer.
+shuffle, so a hot group key costs one row per map task, not a hot reducer. Sums and means
+are exact (``functions.exact``): they depend neither on the order of rows nor on how rows
+were split over files, partitions or micro-batches.
 """
 
 from __future__ import annotations
@@ -9,6 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from actiflow.functions import exact
+
+# The names of the result columns below.
+
 
 def count_true(c) -> Column:
     """Conditional count; a null condition counts as false."""
@@ -20,7 +26,7 @@ def city_summary(events: DataFrame, ordered: bool = True) -> DataFrame:
     """Per-city rollup; ``ordered=False`` for stored tables (no sort job)."""
     out = (events.groupBy("city")
            .agg(F.count(F.lit(1)).alias("event_count"),
-                F.round(F.avg("total_spend"), 2).alias("avg_total_spend"),
+                exact.mean("total_spend").alias("avg_total_spend"),
                 F.sum("items_purchased").cast("long").alias("total_items_purchased")))
     return out.orderBy("city") if ordered else out
 
@@ -28,8 +34,8 @@ def city_summary(events: DataFrame, ordered: bool = True) -> DataFrame:
 def membership_summary(enriched: DataFrame, ordered: bool = True) -> DataFrame:
     out = (enriched.groupBy("membership_type")
            .agg(F.count(F.lit(1)).alias("event_count"),
-                F.round(F.avg("total_spend"), 2).alias("avg_total_spend"),
-                F.round(F.avg("average_rating"), 2).alias("avg_rating"),
+                exact.mean("total_spend").alias("avg_total_spend"),
+                exact.mean("average_rating").alias("avg_rating"),
                 F.sum("high_value_order").cast("long").alias("high_value_orders")))
     return out.orderBy("membership_type") if ordered else out
 
@@ -38,32 +44,48 @@ def segment_measures(decimals: int | None = 2) -> list[Column]:
     """Mean spend and item total of a segment, with explicit names.
 
     The dict-style API would name them ``avg(total_spend)`` and
-    ``sum(items_purchased)``. Means are rounded: a streaming state store adds
-    the same doubles in a different order than a batch plan, which changes the
-    last bit; ``decimals=None`` keeps them raw.
+    ``sum(items_purchased)``. ``decimals=None`` keeps the means unrounded.
     """
-    mean = F.avg("total_spend")
-    if decimals is not None:
-        mean = F.round(mean, decimals)
-    return [mean.alias("avg_total_spend"),
+    return [exact.mean("total_spend", decimals).alias("avg_total_spend"),
             F.sum("items_purchased").cast("long").alias("total_items_purchased")]
 
 
+def segment_state() -> list[Column]:
+    """Mergeable state of a segment: what ``merge_segment_state`` adds up."""
+    return [exact.total("total_spend").alias("spend_sum"), exact.count("total_spend").alias("spend_n"),
+            F.sum("items_purchased").cast("long").alias("items_sum")]
+
+
+def merge_segment_state(states: DataFrame, keys: list[str], decimals: int | None = 2) -> DataFrame:
+    """Segments from any number of partial states per key (columns of ``customer_segments``
+    or ``city_segments``)."""
+    merged = states.groupBy(*keys).agg(exact.merged("spend_sum").alias("spend_sum"), F.sum("spend_n").alias("spend_n"),
+                                       F.sum("items_sum").cast("long").alias("total_items_purchased"))
+    return merged.select(*keys, exact.rounded_mean("spend_sum", "spend_n", decimals).alias("avg_total_spend"),
+                         "total_items_purchased")
+
+
+SEGMENT_KEYS = {
+    "customer_segments": ["membership_type", "age_group", "city"],
+    "city_segments": ["city"],
+}
+
+
 def customer_segments(with_age: DataFrame, decimals: int | None = 2) -> DataFrame:
-    return with_age.groupBy("membership_type", "age_group", "city").agg(*segment_measures(decimals))
+    return with_age.groupBy(*SEGMENT_KEYS["customer_segments"]).agg(*segment_measures(decimals))
 
 
 def city_segments(events: DataFrame, decimals: int | None = 2) -> DataFrame:
-    return events.groupBy("city").agg(*segment_measures(decimals))
+    return events.groupBy(*SEGMENT_KEYS["city_segments"]).agg(*segment_measures(decimals))
 
 
 def kpi_measures() -> list[Column]:
     """The KPI aggregates of one batch, in one pass (no per-measure jobs)."""
     return [
         F.count(F.lit(1)).alias("event_count"),
-        F.round(F.sum("total_spend"), 2).alias("total_revenue"),
-        F.round(F.avg("total_spend"), 2).alias("avg_spend"),
-        F.round(F.avg("average_rating"), 2).alias("avg_rating"),
+        exact.rounded(exact.total("total_spend")).alias("total_revenue"),
+        exact.mean("total_spend").alias("avg_spend"),
+        exact.mean("average_rating").alias("avg_rating"),
         count_true("discount_applied").alias("discounted_orders"),
         F.sum("high_value_order").cast("long").alias("high_value_orders"),
         count_true("is_at_risk").alias("at_risk_count"),
@@ -77,7 +99,7 @@ def batch_kpi(enriched: DataFrame, batch_col: str = "batch_id") -> DataFrame:
 
 
 def kpi_partials(enriched: DataFrame, batch_col: str = "batch_id") -> DataFrame:
-    """Mergeable KPI state per batch: counts and sums only (no means, no rounding).
+    """Mergeable KPI state per batch: counts and exact sums only (no means, no rounding).
 
     Partials of the same batch from different micro-batches are combined by
     ``merge_kpi_partials``; the result does not depend on how a batch's events
@@ -85,10 +107,10 @@ def kpi_partials(enriched: DataFrame, batch_col: str = "batch_id") -> DataFrame:
     """
     return (enriched.groupBy(F.col(batch_col).cast("long").alias("batch_id"))
             .agg(F.count(F.lit(1)).alias("event_count"),
-                 F.sum("total_spend").alias("spend_sum"),
-                 F.count("total_spend").alias("spend_n"),
-                 F.sum("average_rating").alias("rating_sum"),
-                 F.count("average_rating").alias("rating_n"),
+                 exact.total("total_spend").alias("spend_sum"),
+                 exact.count("total_spend").alias("spend_n"),
+                 exact.total("average_rating").alias("rating_sum"),
+                 exact.count("average_rating").alias("rating_n"),
                  count_true("discount_applied").alias("discounted_orders"),
                  F.sum("high_value_order").cast("long").alias("high_value_orders"),
                  count_true("is_at_risk").alias("at_risk_count")))
@@ -98,8 +120,8 @@ def merge_kpi_partials(parts: DataFrame) -> DataFrame:
     """Combine partials into one KPI row per batch (same columns as ``batch_kpi``)."""
     m = (parts.groupBy(F.col("batch_id").cast("long").alias("batch_id"))
          .agg(F.sum("event_count").cast("long").alias("event_count"),
-              F.sum("spend_sum").alias("spend_sum"), F.sum("spend_n").alias("spend_n"),
-              F.sum("rating_sum").alias("rating_sum"), F.sum("rating_n").alias("rating_n"),
+              exact.merged("spend_sum").alias("spend_sum"), F.sum("spend_n").alias("spend_n"),
+              exact.merged("rating_sum").alias("rating_sum"), F.sum("rating_n").alias("rating_n"),
               F.sum("discounted_orders").cast("long").alias("discounted_orders"),
               F.sum("high_value_orders").cast("long").alias("high_value_orders"),
               F.sum("at_risk_count").cast("long").alias("at_risk_count"),
@@ -108,9 +130,7 @@ def merge_kpi_partials(parts: DataFrame) -> DataFrame:
     extra = ["processed_at"] if "processed_at" in parts.columns else []
     return m.select(
         *extra, "batch_id", "event_count",
-        F.round(F.col("spend_sum"), 2).alias("total_revenue"),
-        F.round(F.when(F.col("spend_n") > 0, F.col("spend_sum") / F.col("spend_n")), 2)
-        .alias("avg_spend"),
-        F.round(F.when(F.col("rating_n") > 0, F.col("rating_sum") / F.col("rating_n")), 2)
-        .alias("avg_rating"),
+        exact.rounded("spend_sum").alias("total_revenue"),
+        exact.rounded_mean("spend_sum", "spend_n").alias("avg_spend"),
+        exact.rounded_mean("rating_sum", "rating_n").alias("avg_rating"),
         "discounted_orders", "high_value_orders", "at_risk_count")

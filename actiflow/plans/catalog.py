@@ -16,8 +16,7 @@ from actiflow.functions import codecs, rules
 from actiflow.operators import history, ranking, summaries
 from actiflow.operators.enrich import enrich, parse_event_time, with_age_group
 from actiflow.operators.blocks import running
-from actiflow.operators.upsert import latest_per_key
-from actiflow.operators.windows import dedup_events, window_kpis
+from actiflow.operators.windows import dedup_events, session_kpis, window_kpis
 from actiflow.plans import faults, reports
 from actiflow.plans.activity import load_activity
 from actiflow.plans.synth import synth_events, synth_messages
@@ -26,9 +25,10 @@ from actiflow.session import apply_session_conf, work_root
 from actiflow.sinks.store import ResultStore
 from actiflow.sources.events import SourceSpec, read_events
 from actiflow.sources.tables import read_table
-from actiflow.streaming.processor import kpi_history_view, start_event_query, stored_events
+from actiflow.streaming.late import triggers
+from actiflow.streaming.processor import kpi_history_view, late_events, start_event_query, stored_events
 from actiflow.streaming.replay import BATCH_FIELD, write_event_files
-from actiflow.streaming.segments import current_segments, start_segment_queries
+from actiflow.streaming.segments import current_segments, start_segment_query
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -137,7 +137,7 @@ register("kpi_history")(kpi_history)
 
 @register("recent_kpis")
 def q_recent_kpis(spark, sf_dir):
-    return ranking.recent_kpis(kpi_history(spark, sf_dir), 8)
+    return history.recent(summaries.batch_kpi(enriched(spark, sf_dir)), 8)
 
 
 @register("latest_kpi")
@@ -246,12 +246,10 @@ def q_stream_kpis(spark, sf_dir):
 def _run_segment_stream(spark, sf_dir, table) -> DataFrame:
     root, stream = _replay(spark, sf_dir, f"stream_{table}")
     store = ResultStore(spark, f"{root}/store")
-    queries = start_segment_queries(stream, store, f"{root}/checkpoint", available_now=True,
-                                    tables=[table])
-    for q in queries:
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise RuntimeError(str(q.exception()))
+    query = start_segment_query(stream, store, f"{root}/checkpoint", available_now=True)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
     return current_segments(store, table)
 
 
@@ -265,16 +263,52 @@ def q_stream_city_segments(spark, sf_dir):
     return _run_segment_stream(spark, sf_dir, "city_segments")
 
 
+# Fixed values of the late replay: events arrive in slices of two years from 1995 on, those
+# with o_orderkey % 50 = 3 one slice later, = 4 two slices later (in the last one at most);
+# events 30 days or less behind are not late.
+LATE_SLICES = 4
+LATE_FROM_YEAR = 1995
+LATE_AFTER = "30 days"
+
+
+def _run_late_stream(spark: SparkSession, sf_dir: str, purpose: str) -> ResultStore:
+    """Every slice arrives, then the query runs until it has read it: one epoch per slice."""
+    root = work_root(spark, purpose)
+    store = ResultStore(spark, f"{root}/store")
+    behind = F.when(F.col("o_orderkey") % 50 == 3, 1).when(F.col("o_orderkey") % 50 == 4, 2).otherwise(0)
+    due = F.floor((F.year("event_time") - LATE_FROM_YEAR) / 2).cast("int")
+    arrivals = activity(spark, sf_dir).withColumn("slice", F.least(due + behind, F.lit(LATE_SLICES - 1)))
+    spec = SourceSpec(kind="files", path=f"{root}/input/*", extra_fields=[BATCH_FIELD])
+    for k in range(LATE_SLICES):
+        write_event_files(arrivals.filter(F.col("slice") == k), f"{root}/input/slice-{k}")
+        query = start_event_query(enrich(read_events(spark, spec, streaming=True)), store, f"{root}/checkpoint",
+                                  late_after=LATE_AFTER, available_now=True)
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise RuntimeError(str(query.exception()))
+    return store
+
+
+@register("late_events")
+def q_late_events(spark, sf_dir):
+    return late_events(_run_late_stream(spark, sf_dir, "late_events")).select(
+        *EVENT_FIELDS, "batch_id", "epoch", "watermark")
+
+
+@register("trigger_counts")
+def q_trigger_counts(spark, sf_dir):
+    return triggers(_run_late_stream(spark, sf_dir, "trigger_counts")).drop("generation")
+
+
 # --- additions: upsert read, de-duplication, event-time windows -----------------
 @register("segment_upsert")
 def q_segment_upsert(spark, sf_dir):
-    """Upsert read: every batch gives a version of the segments it touches; the newest
-    version of each segment counts."""
-    keys = ["membership_type", "age_group", "city"]
-    versions = (with_age_group(activity(spark, sf_dir)).groupBy(*keys, "batch_id")
-                .agg(F.round(F.avg("total_spend"), 2).alias("avg_total_spend"),
-                     F.sum("items_purchased").cast("long").alias("total_items_purchased")))
-    return latest_per_key(versions, keys, "batch_id")
+    """Upsert read: every batch adds a partial state of the segments it touches; a segment's
+    current value is the merge of all its states."""
+    keys = summaries.SEGMENT_KEYS["customer_segments"]
+    states = (with_age_group(activity(spark, sf_dir)).groupBy(*keys, "batch_id")
+              .agg(*summaries.segment_state()))
+    return summaries.merge_segment_state(states, keys)
 
 
 @register("dedup_events")
@@ -292,6 +326,12 @@ def q_window_kpis(spark, sf_dir):
     return window_kpis(read_table(spark, sf_dir, "events", ["ts", "event_type", "value"]))
 
 
+@register("session_kpis")
+def q_session_kpis(spark, sf_dir):
+    apply_session_conf(spark)
+    return session_kpis(read_table(spark, sf_dir, "events", ["ts", "user_id", "value"]))
+
+
 # --- synthesis -----------------------------------------------------------------
 @register("synth_events")
 def q_synth_events(spark, sf_dir):
@@ -322,8 +362,4 @@ def q_report_bars(spark, sf_dir):
 
 @register("report_summary")
 def q_report_summary(spark, sf_dir):
-    events = enriched(spark, sf_dir)
-    newest = reports.newest_batch(events)
-    return reports.report_summary(history.newest(summaries.batch_kpi(events)),
-                                  summaries.city_summary(newest), summaries.membership_summary(newest),
-                                  newest.filter("is_at_risk"))
+    return reports.report_summary_of(enriched(spark, sf_dir))

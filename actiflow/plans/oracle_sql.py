@@ -8,7 +8,30 @@ would return HUGEINT).
 
 from __future__ import annotations
 
-ACTIVITY_CTE = """
+# Order-independent sums and means: values count with six decimals as whole numbers, sums
+# are exact, quotients are rounded half up on whole numbers.
+
+
+def _micros(x: str) -> str:
+    return f"SUM(CAST(ROUND({x} * 1000000) AS HUGEINT))"
+
+
+def _half_up(s: str, n: str, decimals: int) -> str:
+    """s / n for s in millionths, rounded half up."""
+    down = 10 ** (6 - decimals)
+    return (f"CAST(CASE WHEN {s} < 0 THEN -1 ELSE 1 END * ((ABS({s}) * 2 + {n} * {down}) // ({n} * {2 * down}))"
+            f" AS DOUBLE) / {10 ** decimals}")
+
+
+def _total(x: str, decimals: int = 2) -> str:
+    return _half_up(_micros(x), "1", decimals)
+
+
+def _mean(x: str, decimals: int = 2) -> str:
+    return f"CASE WHEN COUNT({x}) > 0 THEN {_half_up(_micros(x), f'COUNT({x})', decimals)} END"
+
+
+ACTIVITY_CTE = f"""
 WITH li AS (
   SELECT l_orderkey, CAST(SUM(l_quantity) AS INTEGER) AS items, MAX(l_discount) AS max_disc
   FROM lineitem GROUP BY l_orderkey),
@@ -60,9 +83,9 @@ aged AS (
 kpi AS (
   SELECT CAST(batch_id AS BIGINT) AS batch_id,
          COUNT(*) AS event_count,
-         ROUND(SUM(total_spend), 2) AS total_revenue,
-         ROUND(AVG(total_spend), 2) AS avg_spend,
-         ROUND(AVG(average_rating), 2) AS avg_rating,
+         {_total("total_spend")} AS total_revenue,
+         {_mean("total_spend")} AS avg_spend,
+         {_mean("average_rating")} AS avg_rating,
          CAST(SUM(CASE WHEN discount_applied THEN 1 ELSE 0 END) AS BIGINT) AS discounted_orders,
          CAST(SUM(high_value_order) AS BIGINT) AS high_value_orders,
          CAST(SUM(CASE WHEN is_at_risk THEN 1 ELSE 0 END) AS BIGINT) AS at_risk_count
@@ -91,7 +114,7 @@ AT_RISK_COLS = ("event_time, customer_id, city, membership_type, total_spend, av
                 "days_since_last_purchase, satisfaction_level")
 RISK_ORDER = ("days_since_last_purchase DESC NULLS LAST, average_rating ASC NULLS FIRST, "
               "customer_id ASC NULLS FIRST, event_time ASC NULLS FIRST, event_id ASC NULLS FIRST")
-SEGMENT_MEASURES = ("ROUND(AVG(total_spend), 2) AS avg_total_spend, "
+SEGMENT_MEASURES = (f"{_mean('total_spend')} AS avg_total_spend, "
                     "CAST(SUM(items_purchased) AS BIGINT) AS total_items_purchased")
 JSON_EVENT = """to_json(struct_pack(
     event_id := event_id, event_time := strftime(event_time, '%Y-%m-%dT%H:%M:%SZ'),
@@ -125,13 +148,13 @@ SELECT event_id, average_rating,
        CASE WHEN average_rating > 4.0 THEN 'Satisfied' WHEN average_rating = 4.0 THEN 'Neutral'
             ELSE 'Unsatisfied' END AS satisfaction_level
 FROM activity"""),
-    "city_summary": _q("""
-SELECT city, COUNT(*) AS event_count, ROUND(AVG(total_spend), 2) AS avg_total_spend,
+    "city_summary": _q(f"""
+SELECT city, COUNT(*) AS event_count, {_mean("total_spend")} AS avg_total_spend,
        CAST(SUM(items_purchased) AS BIGINT) AS total_items_purchased
 FROM enriched GROUP BY city"""),
-    "membership_summary": _q("""
-SELECT membership_type, COUNT(*) AS event_count, ROUND(AVG(total_spend), 2) AS avg_total_spend,
-       ROUND(AVG(average_rating), 2) AS avg_rating,
+    "membership_summary": _q(f"""
+SELECT membership_type, COUNT(*) AS event_count, {_mean("total_spend")} AS avg_total_spend,
+       {_mean("average_rating")} AS avg_rating,
        CAST(SUM(high_value_order) AS BIGINT) AS high_value_orders
 FROM enriched GROUP BY membership_type"""),
     "customer_segments": _q(f"""
@@ -267,8 +290,8 @@ _LAST_KPI = ", last AS (SELECT * FROM kpi_history ORDER BY batch_id DESC LIMIT 1
 
 _NEWEST = ", newest AS (SELECT * FROM enriched WHERE batch_id = (SELECT MAX(batch_id) FROM enriched))\n"
 
-_BARS = _NEWEST + """
-, cs AS (SELECT city AS label, ROUND(AVG(total_spend), 2) AS value FROM newest
+_BARS = _NEWEST + f"""
+, cs AS (SELECT city AS label, {_mean("total_spend")} AS value FROM newest
          GROUP BY city ORDER BY city ASC NULLS FIRST LIMIT 8),
 ms AS (SELECT membership_type AS label, CAST(COUNT(*) AS DOUBLE) AS value FROM newest
        GROUP BY membership_type ORDER BY membership_type ASC NULLS FIRST LIMIT 8)
@@ -282,24 +305,47 @@ SELECT 'events_by_membership', label, value, CAST(CAST(value AS BIGINT) AS VARCH
              value / GREATEST((SELECT MAX(value) FROM ms), CAST(1.0 AS DOUBLE)) * 100.0), 1)
 FROM ms"""
 
+_LATE = """
+, arrivals AS (
+  SELECT *, LEAST(3, (YEAR(event_time) - 1995) // 2
+                  + CASE o_orderkey % 50 WHEN 3 THEN 1 WHEN 4 THEN 2 ELSE 0 END) AS epoch
+  FROM enriched),
+marks AS (
+  SELECT epoch, newest_event_time, MAX(newest_event_time) OVER (ORDER BY epoch
+         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 30 DAY AS watermark
+  FROM (SELECT epoch, MAX(event_time) AS newest_event_time FROM arrivals GROUP BY epoch))
+"""
+
 ORACLES.update({
     "stream_events": _q(f"SELECT {DECODED_COLS}, batch_id, is_at_risk, high_value_order FROM enriched"),
     "stream_kpis": ORACLES["kpi_history"],
     "stream_segments": ORACLES["customer_segments"],
     "stream_city_segments": ORACLES["city_segments"],
-    "segment_upsert": _q("""
-SELECT membership_type, age_group, city, avg_total_spend, total_items_purchased
-FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY membership_type, age_group, city
-                                   ORDER BY batch_id DESC) AS place
-      FROM (SELECT membership_type, age_group, city, batch_id,
-                   ROUND(AVG(total_spend), 2) AS avg_total_spend,
-                   CAST(SUM(items_purchased) AS BIGINT) AS total_items_purchased
-            FROM aged GROUP BY ALL))
-WHERE place = 1"""),
+    "segment_upsert": ORACLES["customer_segments"],
+    "late_events": _q(_LATE + f"""
+SELECT {DECODED_COLS}, batch_id, CAST(epoch AS BIGINT) AS epoch, watermark
+FROM arrivals JOIN marks USING (epoch) WHERE event_time < watermark"""),
+    "trigger_counts": _q(_LATE + """
+SELECT CAST(epoch AS BIGINT) AS epoch, COUNT(*) AS rows_read,
+       COUNT(*) FILTER (watermark IS NULL OR event_time >= watermark) AS kept,
+       COUNT(*) FILTER (event_time < watermark) AS late, CAST(0 AS BIGINT) AS rejected, watermark,
+       MAX(MAX(arrivals.event_time)) OVER (ORDER BY epoch ROWS UNBOUNDED PRECEDING) AS newest_event_time
+FROM arrivals JOIN marks USING (epoch) GROUP BY epoch, watermark"""),
+    "session_kpis": f"""
+WITH o AS (
+  SELECT user_id, ts, value, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS before
+  FROM events WHERE ts IS NOT NULL),
+s AS (
+  SELECT *, SUM(CASE WHEN before IS NULL OR epoch_us(ts) - epoch_us(before) > 1800000000 THEN 1 ELSE 0 END)
+            OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS session
+  FROM o)
+SELECT user_id, MIN(ts) AS session_start, MAX(ts) + INTERVAL 30 MINUTE AS session_end,
+       COUNT(*) AS event_count, {_total("value")} AS total_value
+FROM s GROUP BY user_id, session""",
     "dedup_events": _q(f"SELECT {EVENT_COLS} FROM activity"),
-    "window_kpis": """
+    "window_kpis": f"""
 SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end,
-       event_type, COUNT(*) AS event_count, ROUND(SUM(value), 2) AS total_value
+       event_type, COUNT(*) AS event_count, {_total("value")} AS total_value
 FROM events GROUP BY ALL""",
     "synth_events": _q(_SYNTH_EVENTS),
     "synth_messages": _SYNTH_MESSAGES,

@@ -12,6 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from actiflow.functions import exact
+from actiflow.operators.summaries import count_true
+
 # Card labels, bar count, minimum bar width (percent).
 CARD_LABELS = ["Processed Batches", "Total Events", "Latest Revenue", "At-Risk Customers"]
 BAR_ROWS = 8
@@ -65,27 +68,53 @@ def report_bars(city_summary: DataFrame, membership_summary: DataFrame) -> DataF
                                     "membership_type", "event_count", True)))
 
 
+# Metric names of the summary and where their values come from.
+SUMMARY_FACTS = [("processed_batches", "processed_batches"), ("total_events", "cumulative_event_count"),
+                 ("latest_revenue", "total_revenue"), ("latest_avg_spend", "avg_spend"),
+                 ("latest_at_risk", "at_risk_count")]
+SUMMARY_COUNTS = ["cities", "membership_groups", "at_risk_records"]
+
+
+def _facts(row: DataFrame, columns: list[tuple[str, str]]) -> DataFrame:
+    return row.select(F.explode(F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.col(c).cast("double").alias("value"))
+        for m, c in columns])).alias("f")).select("f.*")
+
+
 def report_summary(history: DataFrame, city_summary: DataFrame,
                    membership_summary: DataFrame, at_risk: DataFrame) -> DataFrame:
     """(metric, value) facts of the latest batch and the result tables."""
-    last = latest_row(history)
-    facts = last.select(F.explode(F.array(*[
-        F.struct(F.lit(m).alias("metric"), F.col(c).cast("double").alias("value"))
-        for m, c in [("processed_batches", "processed_batches"),
-                     ("total_events", "cumulative_event_count"),
-                     ("latest_revenue", "total_revenue"),
-                     ("latest_avg_spend", "avg_spend"),
-                     ("latest_at_risk", "at_risk_count")]])).alias("f")).select("f.*")
-    counts = [t.agg(F.count(F.lit(1)).cast("double").alias("value"))
-              .select(F.lit(name).alias("metric"), "value")
-              for name, t in [("cities", city_summary), ("membership_groups", membership_summary),
-                              ("at_risk_records", at_risk)]]
-    out = facts
-    for c in counts:
-        out = out.unionByName(c)
+    out = _facts(latest_row(history), SUMMARY_FACTS)
+    for name, t in zip(SUMMARY_COUNTS, (city_summary, membership_summary, at_risk)):
+        out = out.unionByName(t.agg(F.count(F.lit(1)).cast("double").alias("value"))
+                              .select(F.lit(name).alias("metric"), "value"))
     return out
 
 
+def report_summary_of(enriched: DataFrame) -> DataFrame:
+    """The same facts from one pass over the events: states per (batch, city, tier), then per
+    batch, then the newest batch and the totals."""
+    groups = enriched.groupBy("batch_id", "city", "membership_type").agg(
+        F.count(F.lit(1)).alias("n"), exact.total("total_spend").alias("spend_sum"),
+        exact.count("total_spend").alias("spend_n"), count_true("is_at_risk").alias("at_risk_count"))
+    distinct = lambda c: F.count_distinct(c) + F.max(F.col(c).isNull().cast("long"))
+    batches = groups.groupBy("batch_id").agg(
+        F.sum("n").alias("event_count"), exact.merged("spend_sum").alias("spend_sum"),
+        F.sum("spend_n").alias("spend_n"), F.sum("at_risk_count").alias("at_risk_count"),
+        distinct("city").alias("cities"), distinct("membership_type").alias("membership_groups"))
+    newest = ["spend_sum", "spend_n", "at_risk_count", "cities", "membership_groups"]
+    row = batches.agg(F.max_by(F.struct(*newest), "batch_id").alias("r"),
+                      F.nullif(F.count(F.lit(1)), F.lit(0)).alias("processed_batches"),
+                      F.sum("event_count").alias("cumulative_event_count")).select("r.*", "processed_batches",
+                                                                                   "cumulative_event_count")
+    row = row.select(
+        "processed_batches", "cumulative_event_count", exact.rounded("spend_sum").alias("total_revenue"),
+        exact.rounded_mean("spend_sum", "spend_n").alias("avg_spend"), "at_risk_count",
+        *[F.coalesce(c, F.lit(0)).alias(m) for c, m in
+          (("cities", "cities"), ("membership_groups", "membership_groups"), ("at_risk_count", "at_risk_records"))])
+    return _facts(row, SUMMARY_FACTS + [(m, m) for m in SUMMARY_COUNTS])
+
+
 def reports_from_store(store) -> dict[str, DataFrame]:
     """Rebuild every report from stored results alone (no stream needed)."""
     from actiflow.operators import ranking

@@ -27,12 +27,14 @@ EVENT_FIELDS = [f.name for f in EVENT_SCHEMA.fields]
 EVENT_KEYS = ["event_id", "event_time", "customer_id"]
 
 # The 11-field CSV message of the older pipeline: no id, no time, 32-bit floats.
-CSV_MESSAGE_DDL = (
-    "customer_id INT, gender STRING, age INT, city STRING, membership_type STRING, "
-    "total_spend FLOAT, items_purchased INT, average_rating FLOAT, "
-    "discount_applied BOOLEAN, days_since_last_purchase INT, satisfaction_level STRING"
-)
-CSV_MESSAGE_FIELDS = [part.strip().split(" ")[0] for part in CSV_MESSAGE_DDL.split(",")]
+CSV_MESSAGE_TYPES = [
+    ("customer_id", "INT"), ("gender", "STRING"), ("age", "INT"), ("city", "STRING"),
+    ("membership_type", "STRING"), ("total_spend", "FLOAT"), ("items_purchased", "INT"),
+    ("average_rating", "FLOAT"), ("discount_applied", "BOOLEAN"),
+    ("days_since_last_purchase", "INT"), ("satisfaction_level", "STRING"),
+]
+CSV_MESSAGE_DDL = ", ".join(f"{name} {kind}" for name, kind in CSV_MESSAGE_TYPES)
+CSV_MESSAGE_FIELDS = [name for name, _ in CSV_MESSAGE_TYPES]
 
 # Seed table of the generator: header CSV, read as text; ``typed_seed`` types the columns.
 SEED_SCHEMA = T.StructType([

@@ -34,7 +34,7 @@ DEFAULT_CONF = {
     # times the core count) without many tiny tasks at small scale.
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    # Checkpoints written by the ordered scan are removed once unreferenced.
+    # Checkpointed tables are removed once unreferenced.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
