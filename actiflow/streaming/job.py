@@ -12,22 +12,19 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from actiflow.functions import exact
 from actiflow.operators.enrich import enrich
-from actiflow.operators.windows import dedup_events
+from actiflow.operators.windows import dedup_whole_rows
 from actiflow.plans.reports import reports_from_store, save_reports
 from actiflow.sinks.external import jdbc_batch_sink
 from actiflow.sinks.store import ResultStore
 from actiflow.sources.events import SourceSpec, read_events
-from actiflow.streaming.control import run_all_until, run_until
-from actiflow.streaming.processor import EventBatchWriter, event_query
-from actiflow.streaming.segments import (STATE_PARTITIONS, UpdateRowsWriter, current_segments,
-                                         start_with_partitions)
-from actiflow.operators import summaries
-from actiflow.operators.enrich import with_age_group
+from actiflow.streaming.control import run_until
+from actiflow.streaming.processor import start_event_query
+from actiflow.streaming.segments import SEGMENT_KEYS, current_segments, start_segment_query
 
 
 @dataclass
@@ -39,20 +36,16 @@ class RunLimits:
 
 
 def run_event_job(spark: SparkSession, source: SourceSpec, store_root: str, checkpoint: str,
-                  limits: RunLimits = RunLimits(), dedup_delay: str | None = None
-                  ) -> dict[str, DataFrame]:
-    """``dedup_delay`` (e.g. "1 hour"): drop events whose id came before within that delay."""
+                  limits: RunLimits = RunLimits(), dedup_delay: str | None = None,
+                  late_after: str | None = None) -> dict[str, DataFrame]:
+    """``dedup_delay`` (e.g. "1 hour"): drop events whose id came before within that delay.
+    ``late_after``: keep events that much older than the newest one before apart, in ``late``."""
     store = ResultStore(spark, store_root)
     stream = enrich(read_events(spark, replace(source, keep_raw=True), streaming=True))
     if dedup_delay:
-        # Rows without an id or a time are rejects, not duplicates of one another.
-        whole = F.col("event_id").isNotNull() & F.col("event_time").isNotNull()
-        kept = dedup_events(stream.filter(whole), "event_id", "event_time", dedup_delay)
-        stream = (kept.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
-                  .unionByName(stream.filter(~whole)))
-    query = event_query(stream, EventBatchWriter(store), checkpoint,
-                        trigger_seconds=limits.trigger_seconds,
-                        available_now=limits.available_now, name=None).start()
+        stream = dedup_whole_rows(stream, dedup_delay)
+    query = start_event_query(stream, store, checkpoint, late_after=late_after,
+                              trigger_seconds=limits.trigger_seconds, available_now=limits.available_now)
     if limits.available_now:
         query.awaitTermination()
     else:
@@ -64,53 +57,31 @@ def run_event_job(spark: SparkSession, source: SourceSpec, store_root: str, chec
     return tables
 
 
-class _FanOut:
-    """Update rows to the store and, when configured, to a JDBC table.
-
-    JDBC rows carry their epoch: an appended table keeps every version of a
-    group, and a replayed epoch can only append identical rows, so readers that
-    take the latest version per group (highest epoch) are unaffected."""
-
-    def __init__(self, store_writer: UpdateRowsWriter, jdbc=None):
-        self.store_writer, self.jdbc = store_writer, jdbc
-
-    def __call__(self, df: DataFrame, epoch_id: int) -> None:
-        batch = df.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            self.store_writer(batch, epoch_id)
-            if self.jdbc is not None:
-                self.jdbc(batch.withColumn("epoch", F.lit(int(epoch_id)).cast("long")), epoch_id)
-        finally:
-            batch.unpersist()
-
-
 def run_segment_job(spark: SparkSession, source: SourceSpec, store_root: str,
                     checkpoint_root: str, limits: RunLimits = RunLimits(),
                     jdbc_url: str | None = None, jdbc_properties: dict | None = None
                     ) -> dict[str, DataFrame]:
+    """JDBC rows carry their epoch: an appended table keeps every state of a segment, and a
+    replayed epoch can only append identical rows, so readers that take the newest state per
+    segment (highest epoch) are unaffected."""
     store = ResultStore(spark, store_root)
     messages = read_events(spark, source, streaming=True)
-    plans = {
-        "customer_segments": summaries.customer_segments(with_age_group(messages)),
-        "city_segments": summaries.city_segments(messages),
-    }
-    queries = []
-    for table, plan in plans.items():
-        jdbc = (jdbc_batch_sink(jdbc_url, table, jdbc_properties or {})
-                if jdbc_url else None)
-        w = (plan.writeStream.outputMode("update")
-             .foreachBatch(_FanOut(UpdateRowsWriter(store, table + "_updates"), jdbc))
-             .option("checkpointLocation", f"{checkpoint_root}/{table}"))
-        w = (w.trigger(availableNow=True) if limits.available_now
-             else w.trigger(processingTime=f"{limits.trigger_seconds} seconds"))
-        # start all first, then wait on all
-        queries.append(start_with_partitions(w, spark, STATE_PARTITIONS))
+    sinks = {t: jdbc_batch_sink(jdbc_url, t, jdbc_properties or {}) for t in SEGMENT_KEYS} if jdbc_url else {}
+
+    def also(table: str, rows: DataFrame, epoch: int) -> None:
+        values = rows.select(*SEGMENT_KEYS[table],
+                             exact.rounded_mean("spend_sum", "spend_n").alias("avg_total_spend"),
+                             F.col("items_sum").alias("total_items_purchased"),
+                             F.lit(epoch).cast("long").alias("epoch"))
+        sinks[table](values, epoch)
+
+    query = start_segment_query(messages, store, f"{checkpoint_root}/segments",
+                                available_now=limits.available_now, trigger_seconds=limits.trigger_seconds,
+                                also=also if sinks else None)
     if limits.available_now:
-        for q in queries:
-            q.awaitTermination()
+        query.awaitTermination()
     else:
-        run_all_until(queries, limits.max_batches, limits.idle_seconds)
-    for q in queries:
-        if q.exception() is not None:
-            raise RuntimeError(str(q.exception()))
-    return {t: current_segments(store, t) for t in plans}
+        run_until(query, limits.max_batches, limits.idle_seconds)
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    return {t: current_segments(store, t) for t in SEGMENT_KEYS}

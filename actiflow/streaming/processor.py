@@ -3,18 +3,21 @@
 The reference collected each micro-batch to the driver five times (uncached)
 and appended CSV files. Here the batch is persisted once, every output is a
 Spark writer running on executors, and every write replaces partitions keyed
-by the epoch (and the producer's batch number), so replaying an epoch after a
+by the version (generation and epoch), so replaying an epoch after a
 failure rewrites the same files instead of duplicating rows.
 
-Stored are facts only, each table partitioned by the epoch (one new
-partition per micro-batch, bounded by the number of triggers, never by a data
-value):
-  events/epoch=E       valid enriched events (with the producer batch id)
-  rejects/epoch=E      rows with a missing key, with ``reject_reason`` and, when the source
-                       keeps them, the raw record and its position
-  kpi_parts/epoch=E    mergeable KPI partials per producer batch (written last)
+Stored are facts only, each table partitioned by version: the generation (one per checkpoint)
+and the epoch (one new partition per micro-batch, bounded by the number of triggers, never by
+a data value):
+  events       valid enriched events (with the producer batch id)
+  rejects      rows with a missing key, with ``reject_reason`` and, when the source
+               keeps them, the raw record and its position
+  late         valid events behind the watermark (only with a lateness limit), which the other
+               tables do not hold
+  kpi_parts    mergeable KPI partials per producer batch
+  triggers     rows read, kept, late and rejected, and the newest event time (written last)
 The reference's "latest" snapshot files (city, membership, at-risk) are views
-over the newest epoch's events partition (partition-pruned), and the KPI table
+over the newest version's events partition (partition-pruned), and the KPI table
 is the merge of all partials per producer batch, so a batch whose events
 arrive in several micro-batches is still counted whole.
 """
@@ -27,75 +30,113 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from actiflow.functions.codecs import split_valid
+from actiflow.functions import exact
+from actiflow.functions.codecs import with_validity
 from actiflow.operators import history, summaries
 from actiflow.operators.enrich import enrich
 from actiflow.schemas import AT_RISK_COLUMNS, EVENT_SCHEMA
-from actiflow.sinks.store import ResultStore, compact, compacted_rows
+from actiflow.sinks.store import VERSION, VERSION_FIELDS, ResultStore, compact, compacted_rows, version
 from actiflow.sources.events import RAW_COLUMNS
+from actiflow.streaming.late import Lateness
 
 
 class EventBatchWriter:
     """``foreachBatch`` callback for enriched events.
 
     ``batch_col``: producer batch number carried by the events (a field of the
-    file replay). When absent, the epoch id is the batch.
+    file replay). When absent, the epoch id is the batch. ``checkpoint`` is the query's: its
+    generation keeps epochs of different checkpoints apart. ``late_after`` (e.g. "1 hour"):
+    events so much older than the newest one of earlier epochs go to ``late``.
     """
 
-    def __init__(self, store: ResultStore, batch_col: str = "batch_id"):
+    def __init__(self, store: ResultStore, batch_col: str = "batch_id", checkpoint: str | None = None,
+                 late_after: str | None = None):
         self.store = store
         self.batch_col = batch_col
+        self.checkpoint = checkpoint
+        self.late_after = late_after
+        self._lateness: Lateness | None = None
+
+    @property
+    def lateness(self) -> Lateness:
+        if self._lateness is None:  # the checkpoint exists by the first batch
+            self._lateness = Lateness(self.store, self.store.generation(self.checkpoint), self.late_after)
+        return self._lateness
 
     def __call__(self, df: DataFrame, epoch_id: int) -> None:
         batch = df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if not batch.isEmpty():  # empty triggers write nothing
-                self._write(batch, int(epoch_id))
+            self._write(batch, int(epoch_id))
         finally:
             batch.unpersist()
 
     def _write(self, batch: DataFrame, epoch: int) -> None:
         if self.batch_col not in batch.columns:
             batch = batch.withColumn(self.batch_col, F.lit(epoch).cast("long"))
-        batch = batch.withColumn("epoch", F.lit(epoch).cast("long"))
-        valid, rejects = split_valid(batch)
-        valid = valid.drop(*RAW_COLUMNS)  # rejects keep the record as it came
-        store = self.store
-        store.write_partitions(valid, "events", ["epoch"])
-        store.write_partitions(rejects, "rejects", ["epoch"])
-        parts = (summaries.kpi_partials(valid, self.batch_col)
-                 .withColumn("processed_at", F.current_timestamp())
-                 .withColumn("epoch", F.lit(epoch).cast("long")))
-        store.write_partitions(parts, "kpi_parts", ["epoch"])
+        lateness = self.lateness
+        put = lambda df, name: self.store.write_version(df, name, lateness.generation, epoch)
+        checked = with_validity(batch)
+        is_valid = F.col("reject_reason").isNull()
+        watermark = lateness.watermark(epoch)
+        behind = F.coalesce(F.col("event_time") < watermark, F.lit(False))
+        trigger = lateness.counted(checked, is_valid, behind, epoch)
+        if not trigger["rows_read"]:  # empty triggers write nothing
+            return
+        # Rejects keep the record as it came. The counts of a replayed epoch are the same, so
+        # a table without rows needs no write.
+        valid = checked.filter(is_valid & ~behind).drop("reject_reason", *RAW_COLUMNS)
+        put(valid, "events")
+        if trigger["rejected"]:
+            put(checked.filter(~is_valid), "rejects")
+        if trigger["late"]:
+            put(checked.filter(is_valid & behind).drop("reject_reason", *RAW_COLUMNS)
+                .withColumn("watermark", watermark), "late")
+        put(summaries.kpi_partials(valid, self.batch_col).withColumn("processed_at", F.current_timestamp()),
+            "kpi_parts")
+        lateness.record(trigger, epoch)
 
 
 def events_schema(store: ResultStore) -> T.StructType:
     """Declared schema of the stored events (also what a store without events reads as)."""
     empty = enrich(store.spark.createDataFrame([], EVENT_SCHEMA))
-    return T.StructType(empty.schema.fields + [T.StructField("batch_id", T.LongType()),
-                                               T.StructField("epoch", T.LongType())])
+    return T.StructType(empty.schema.fields + [T.StructField("batch_id", T.LongType()), *VERSION_FIELDS])
 
 
-def kpi_parts(store: ResultStore) -> DataFrame:
-    """Stored partials: the newest compaction and the epochs after it."""
+def kpi_schema(store: ResultStore) -> T.StructType:
     empty = store.spark.createDataFrame([], events_schema(store))
-    schema = T.StructType(summaries.kpi_partials(empty).schema.fields
-                          + [T.StructField("processed_at", T.TimestampType()),
-                             T.StructField("epoch", T.LongType())])
-    return compacted_rows(store, "kpi_parts", schema)
+    return T.StructType(summaries.kpi_partials(empty).schema.fields
+                        + [T.StructField("processed_at", T.TimestampType()), *VERSION_FIELDS])
+
+
+def kpi_parts(store: ResultStore) -> DataFrame:
+    """Stored partials: the newest compaction and the versions after it."""
+    return compacted_rows(store, "kpi_parts", kpi_schema(store))
+
+
+def merged_parts(rows: DataFrame) -> DataFrame:
+    """One partial per producer batch (with its newest version)."""
+    sums = [exact.merged(c).alias(c) if c.endswith("_sum") else F.sum(c).cast("long").alias(c)
+            for c in rows.columns if c not in ("batch_id", "processed_at", *VERSION)]
+    merged = rows.groupBy("batch_id").agg(*sums, F.max("processed_at").alias("processed_at"),
+                                          F.max(version()).alias("_newest"))
+    return merged.select(*[F.col(f"_newest.{c}").alias(c) if c in VERSION else c for c in rows.columns])
 
 
 def compact_kpis(store: ResultStore, keep_epochs: int = 100) -> None:
-    """Merge the partials of all but the newest ``keep_epochs`` epochs into one table.
+    """Merge the partials of all but the newest ``keep_epochs`` epochs into one row per batch.
 
     Only epochs that can no longer be replayed may be merged; a replay rewrites the newest
     epoch alone, so any ``keep_epochs`` of 1 or more is safe. Views give the same rows
-    before and after; the merged epochs' own partitions are then read no more.
+    before and after; the merged versions' own partitions are then read no more.
     """
-    compact(store, "kpi_parts", kpi_parts(store), keep_epochs, lambda rows: rows.groupBy("batch_id").agg(
-        *[F.sum(c).cast(rows.schema[c].dataType).alias(c) for c in rows.columns
-          if c not in ("batch_id", "processed_at", "epoch")],
-        F.max("processed_at").alias("processed_at"), F.max("epoch").alias("epoch")))
+    compact(store, "kpi_parts", kpi_schema(store), keep_epochs, merged_parts)
+
+
+def late_events(store: ResultStore) -> DataFrame:
+    """Events that came behind the watermark of their epoch, with that watermark."""
+    schema = events_schema(store)
+    return store.read("late", T.StructType(schema.fields[:-2] + [T.StructField("watermark", T.TimestampNTZType()),
+                                                                 *VERSION_FIELDS]))
 
 
 def stored_events(store: ResultStore) -> DataFrame:
@@ -120,15 +161,15 @@ def kpi_history_view(store: ResultStore, with_processed_at: bool = False) -> Dat
 
 
 def newest_epoch_events(store: ResultStore) -> DataFrame:
-    """Events of the newest micro-batch. The newest epoch is one scalar read
-    from the small partials table; filtering by it as a literal lets Spark
+    """Events of the newest micro-batch. The newest version is one scalar read
+    from the small partials table; filtering by it as literals lets Spark
     prune the events table to one partition (a join would not: dynamic
     pruning needs a selective filter on the other side)."""
-    newest = kpi_parts(store).agg(F.max("epoch")).first()[0]
+    newest = kpi_parts(store).agg(F.max(version()).alias("v")).first()["v"]
     events = stored_events(store)
     if newest is None:
         return events.limit(0)
-    return events.filter(F.col("epoch") == F.lit(newest))
+    return events.filter((F.col("generation") == newest["generation"]) & (F.col("epoch") == newest["epoch"]))
 
 
 def latest_snapshots(store: ResultStore) -> dict[str, DataFrame]:
@@ -158,5 +199,6 @@ def event_query(enriched_stream: DataFrame, writer: EventBatchWriter, checkpoint
 
 
 def start_event_query(enriched_stream: DataFrame, store: ResultStore, checkpoint: str,
-                      **kw) -> StreamingQuery:
-    return event_query(enriched_stream, EventBatchWriter(store), checkpoint, **kw).start()
+                      late_after: str | None = None, **kw) -> StreamingQuery:
+    writer = EventBatchWriter(store, checkpoint=checkpoint, late_after=late_after)
+    return event_query(enriched_stream, writer, checkpoint, **kw).start()

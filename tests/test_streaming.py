@@ -10,9 +10,10 @@ from actiflow.plans.catalog import activity
 from actiflow.sinks.store import ResultStore
 from actiflow.sources.events import SourceSpec, read_events
 from actiflow.streaming.control import run_until
+from actiflow.streaming.late import triggers
 from actiflow.streaming.processor import EventBatchWriter, kpi_history_view, start_event_query
 from actiflow.streaming.replay import BATCH_FIELD, write_event_files
-from actiflow.streaming.segments import current_segments, start_segment_queries
+from actiflow.streaming.segments import current_segments, start_segment_query
 from conftest import SF_SMALL
 
 
@@ -69,13 +70,15 @@ def test_segments_stream_equals_batch(spark, workdir):
     ev = activity(spark, SF_SMALL)
     write_event_files(ev, f"{workdir}/input", num_files=3)
     store = ResultStore(spark, f"{workdir}/store")
-    for q in start_segment_queries(_stream(spark, workdir), store, f"{workdir}/ckpt",
-                                   available_now=True):
-        q.awaitTermination()
+    q = start_segment_query(_stream(spark, workdir), store, f"{workdir}/ckpt", available_now=True)
+    q.awaitTermination()
+    # both grains from one read of the source
+    assert sum(p["numInputRows"] for p in q.recentProgress) == ev.count()
     from actiflow.operators.enrich import with_age_group
     expected = summaries.customer_segments(with_age_group(ev)).collect()
     assert sorted(current_segments(store, "customer_segments").collect()) == sorted(expected)
-    assert current_segments(store, "city_segments").count() == ev.select("city").distinct().count()
+    assert (sorted(current_segments(store, "city_segments").collect())
+            == sorted(summaries.city_segments(ev).collect()))
 
 
 def test_run_until_stops_idle_stream(spark, workdir):
@@ -83,7 +86,7 @@ def test_run_until_stops_idle_stream(spark, workdir):
     store = ResultStore(spark, f"{workdir}/store")
     q = start_event_query(enrich(_stream(spark, workdir)), store, f"{workdir}/ckpt",
                           trigger_seconds=0.5)
-    assert run_until(q, max_batches=5, idle_seconds=3, poll_seconds=0.5) == 0
+    assert run_until(q, max_batches=5, idle_seconds=3) == 0
     assert not q.isActive
 
 
@@ -135,7 +138,7 @@ def test_event_job_end_to_end(spark, workdir):
     cards = {r["card"]: r["value"] for r in out["cards"].collect()}
     assert cards["Total Events"] == str(ev.count())
     assert out["latest_events"].count() == 10
-    saved = spark.read.parquet(f"{workdir}/store/reports/cards")
+    saved = ResultStore(spark, f"{workdir}/store").read_snapshot("reports/cards")
     assert sorted(saved.collect()) == sorted(out["cards"].collect())
 
 
@@ -153,18 +156,17 @@ def test_segment_job_on_csv_messages(spark, workdir):
     assert got == want
 
 
-def test_segment_queries_run_together(spark, workdir):
-    from actiflow.streaming.control import await_all
+def test_queries_run_together(spark, workdir):
+    from actiflow.streaming.control import await_all, run_all_until
     ev = activity(spark, SF_SMALL)
     write_event_files(ev, f"{workdir}/input", num_files=2)
     store = ResultStore(spark, f"{workdir}/store")
-    queries = start_segment_queries(_stream(spark, workdir), store, f"{workdir}/ckpt",
-                                    available_now=True)
-    assert len(queries) == 2   # both started before any wait
-    for q in queries:
-        q.awaitTermination()
+    queries = [start_segment_query(_stream(spark, workdir), store, f"{workdir}/ckpt/segments", trigger_seconds=0.5),
+               start_event_query(enrich(_stream(spark, workdir)), store, f"{workdir}/ckpt/events", trigger_seconds=0.5)]
+    assert run_all_until(queries, idle_seconds=4, spark=spark) == [2, 2]   # both ran, then both were idle
     await_all(spark, queries, timeout_seconds=1)
-    assert current_segments(store, "city_segments").count() == ev.select("city").distinct().count()
+    assert sorted(current_segments(store, "city_segments").collect()) == sorted(summaries.city_segments(ev).collect())
+    assert store.read("events").count() == ev.count()
 
 
 def test_kpi_per_micro_batch_without_producer_batch(spark, workdir):
@@ -244,7 +246,7 @@ def test_slow_first_batch_is_not_idle(spark, workdir):
     q = (_stream(spark, workdir).writeStream
          .foreachBatch(lambda df, e: (time.sleep(6), done.append(df.count())) and None)
          .option("checkpointLocation", f"{workdir}/ckpt").trigger(processingTime="0 seconds").start())
-    assert run_until(q, idle_seconds=3, poll_seconds=0.5) == 2 and len(done) == 2
+    assert run_until(q, idle_seconds=3) == 2 and len(done) == 2
 
 
 def test_max_batches_then_restart(spark, workdir):
@@ -252,7 +254,7 @@ def test_max_batches_then_restart(spark, workdir):
     write_event_files(ev, f"{workdir}/input", num_files=4)
     store = ResultStore(spark, f"{workdir}/store")
     q = start_event_query(enrich(_stream(spark, workdir)), store, f"{workdir}/ckpt", trigger_seconds=2)
-    assert 2 <= run_until(q, max_batches=2, poll_seconds=0.2) < 4
+    assert 2 <= run_until(q, max_batches=2) < 4
     q = start_event_query(enrich(_stream(spark, workdir)), store, f"{workdir}/ckpt", available_now=True)
     q.awaitTermination()
     assert store.read("events").count() == ev.count()
@@ -284,28 +286,31 @@ def test_job_drops_duplicates_but_no_rejects(spark, workdir):
     out = run_event_job(spark, spec, f"{workdir}/store", f"{workdir}/ckpt",
                         RunLimits(available_now=True), dedup_delay="1 hour")
     assert {r.card: r.value for r in out["cards"].collect()}["Total Events"] == "1"
-    assert ResultStore(spark, f"{workdir}/store").read("rejects").count() == 2
+    store = ResultStore(spark, f"{workdir}/store")
+    assert store.read("rejects").count() == 2
+    # one read of the source: each row once
+    assert [(r.rows_read, r.kept, r.rejected) for r in triggers(store).collect()] == [(3, 1, 2)]
 
 
 def test_compaction_changes_no_result(spark, workdir):
     from actiflow.streaming.processor import compact_kpis
-    from actiflow.streaming.segments import UpdateRowsWriter, compact_segments
+    from actiflow.streaming.segments import UpdateRowsWriter, compact_segments, segment_states
     ev = enrich(activity(spark, SF_SMALL)).drop("o_orderkey").withColumn("batch_id", F.col("batch_id") * 2)
     store = ResultStore(spark, f"{workdir}/store")
-    writer, updates = EventBatchWriter(store), UpdateRowsWriter(store, "city_segments_updates")
+    writer, updates = EventBatchWriter(store), UpdateRowsWriter(store)
     parts = [ev.filter(F.crc32("event_id") % 4 == k) for k in range(4)]
     for epoch, part in enumerate(parts):
         writer(part, epoch)
-        updates(summaries.city_segments(part), epoch)
+        updates(segment_states(part), epoch)
     kpis = lambda: sorted(map(str, kpi_history_view(store).collect()))
     cities = lambda: sorted(current_segments(store, "city_segments").collect())
     before = kpis(), cities()
     compact_kpis(store, keep_epochs=2)
     compact_segments(store, "city_segments", keep_epochs=2)
     assert (kpis(), cities()) == before
-    assert store.read("kpi_parts_compacted").select("upto").distinct().collect()[0][0] == 1
+    assert store.snapshot_note("kpi_parts_compacted") == '{"000000-none": 1}'
     writer(parts[3], 3)  # a replay after the compaction
-    updates(summaries.city_segments(parts[3]), 3)
+    updates(segment_states(parts[3]), 3)
     compact_kpis(store, keep_epochs=1)
     compact_segments(store, "city_segments", keep_epochs=1)
     compact_kpis(store, keep_epochs=1)
