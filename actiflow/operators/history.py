@@ -19,9 +19,13 @@ HISTORY_COLUMNS = ["batch_id", "processed_batches", "event_count", "cumulative_e
                    "high_value_orders", "at_risk_count"]
 
 
-def kpi_history(kpi: DataFrame) -> DataFrame:
-    """Per-batch KPI rows (one per non-empty batch) with ordinal and running total."""
+def kpi_history(kpi: DataFrame, batches: int = 0, events: int = 0) -> DataFrame:
+    """Per-batch KPI rows (one per non-empty batch) with ordinal and running total, counted on
+    from ``batches`` and ``events`` of the batches before."""
     scanned = running(kpi, "batch_id", {"cumulative_event_count": "event_count"}, "processed_batches")
+    if batches or events:
+        scanned = scanned.withColumn("processed_batches", F.col("processed_batches") + F.lit(batches)).withColumn(
+            "cumulative_event_count", F.col("cumulative_event_count") + F.lit(events))
     extra = [c for c in kpi.columns if c not in HISTORY_COLUMNS]
     return scanned.select(*(extra + HISTORY_COLUMNS))
 
@@ -38,15 +42,15 @@ def newest(kpi: DataFrame) -> DataFrame:
                            for c in extra + HISTORY_COLUMNS])
 
 
-def recent(kpi: DataFrame, n: int) -> DataFrame:
+def recent(kpi: DataFrame, n: int, batches: int = 0, events: int = 0) -> DataFrame:
     """The newest ``n`` rows of ``kpi_history``, newest first: two totals less what came
     after each row, so that no history is built."""
     rows = kpi.orderBy(F.col("batch_id").desc()).limit(n)
     totals = kpi.agg(F.count(F.lit(1)).alias("batches"), F.sum("event_count").alias("events"))
     newer = Window.orderBy(F.col("batch_id").desc()).rowsBetween(Window.unboundedPreceding, -1)  # over n rows
     extra = [c for c in kpi.columns if c not in HISTORY_COLUMNS]
-    return (rows.withColumn("processed_batches", totals.select("batches").scalar()
+    return (rows.withColumn("processed_batches", totals.select("batches").scalar() + F.lit(batches)
                             - F.row_number().over(Window.orderBy(F.col("batch_id").desc())) + 1)
-            .withColumn("cumulative_event_count", totals.select("events").scalar()
+            .withColumn("cumulative_event_count", totals.select("events").scalar() + F.lit(events)
                         - F.coalesce(F.sum("event_count").over(newer), F.lit(0)))
             .select(*(extra + HISTORY_COLUMNS)).orderBy(F.col("batch_id").desc()))

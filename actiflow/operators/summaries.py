@@ -127,8 +127,12 @@ def merge_kpi_partials(parts: DataFrame) -> DataFrame:
               F.sum("at_risk_count").cast("long").alias("at_risk_count"),
               *([F.max("processed_at").alias("processed_at")]
                 if "processed_at" in parts.columns else [])))
-    extra = ["processed_at"] if "processed_at" in parts.columns else []
-    return m.select(
+    return finished_kpis(m, ["processed_at"] if "processed_at" in parts.columns else [])
+
+
+def finished_kpis(merged: DataFrame, extra: list[str]) -> DataFrame:
+    """KPI rows from one merged partial per batch (with the ``extra`` columns)."""
+    return merged.select(
         *extra, "batch_id", "event_count",
         exact.rounded("spend_sum").alias("total_revenue"),
         exact.rounded_mean("spend_sum", "spend_n").alias("avg_spend"),

@@ -118,16 +118,16 @@ def report_summary_of(enriched: DataFrame) -> DataFrame:
 def reports_from_store(store) -> dict[str, DataFrame]:
     """Rebuild every report from stored results alone (no stream needed)."""
     from actiflow.operators import ranking
-    from actiflow.streaming.processor import kpi_history_view, latest_snapshots
+    from actiflow.streaming.processor import latest_snapshots, recent_kpi_view
 
-    history = kpi_history_view(store)
+    history = recent_kpi_view(store, BAR_ROWS)
     latest = latest_snapshots(store)
     city, membership, at_risk = (latest["city_summary"], latest["membership_summary"],
                                  latest["at_risk"])
     return {
         "cards": report_cards(history),
         "bars": report_bars(city, membership),
-        "recent_kpis": ranking.recent_kpis(history, BAR_ROWS),
+        "recent_kpis": history,
         "at_risk": at_risk.orderBy(*ranking.risk_order(False)).limit(PANEL_ROWS),
         "latest_events": latest["latest_events"].orderBy(*ranking.event_order()).limit(PANEL_ROWS),
         "membership": membership.limit(PANEL_ROWS),

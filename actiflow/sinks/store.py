@@ -146,6 +146,11 @@ def query_id_of(spark: SparkSession, checkpoint: str) -> str:
 # --- compaction -----------------------------------------------------------------
 def _covered(store: ResultStore, name: str) -> dict[str, int]:
     """generation -> last epoch that the newest compaction holds."""
+    return compaction_note(store, name).get("cover", {})
+
+
+def compaction_note(store: ResultStore, name: str) -> dict:
+    """What the pointer row of the newest compaction says: its cover, and the totals given."""
     return json.loads(store.snapshot_note(name + "_compacted") or "{}")
 
 
@@ -169,9 +174,11 @@ def compacted_rows(store: ResultStore, name: str, schema: T.StructType) -> DataF
 
 
 def compact(store: ResultStore, name: str, schema: T.StructType, keep_epochs: int,
-            merge: Callable[[DataFrame], DataFrame]) -> dict[str, int]:
+            merge: Callable[[DataFrame], DataFrame],
+            totals: Callable[[DataFrame], dict] = lambda rows: {}) -> dict[str, int]:
     """Store ``merge`` of all but the newest ``keep_epochs`` epochs of every generation as a
-    new compaction; returns what it covers.
+    new compaction; returns what it covers. ``merge`` may add columns; ``totals`` of the
+    merged rows (a few numbers) become part of the pointer row.
 
     A compaction is a snapshot: its cover is part of the pointer row, so readers see the old
     one or the new one, with the right rest of the versions. Only a generation's newest epoch
@@ -190,5 +197,6 @@ def compact(store: ResultStore, name: str, schema: T.StructType, keep_epochs: in
         return cover
     old = tail_rows(store, name, schema).filter(_within(cover)).unionByName(
         store.read_snapshot(name + "_compacted", schema))
-    store.write_snapshot(merge(old).select(*schema.names), name + "_compacted", json.dumps(cover, sort_keys=True))
+    merged = merge(old)
+    store.write_snapshot(merged, name + "_compacted", json.dumps({"cover": cover} | totals(merged), sort_keys=True))
     return cover

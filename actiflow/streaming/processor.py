@@ -33,9 +33,11 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from actiflow.functions import exact
 from actiflow.functions.codecs import with_validity
 from actiflow.operators import history, summaries
+from actiflow.operators.blocks import running
 from actiflow.operators.enrich import enrich
 from actiflow.schemas import AT_RISK_COLUMNS, EVENT_SCHEMA
-from actiflow.sinks.store import VERSION, VERSION_FIELDS, ResultStore, compact, compacted_rows, version
+from actiflow.sinks.store import (VERSION, VERSION_FIELDS, ResultStore, compact, compacted_rows, compaction_note,
+                                  tail_rows, version)
 from actiflow.sources.events import RAW_COLUMNS
 from actiflow.streaming.late import Lateness
 
@@ -123,13 +125,21 @@ def merged_parts(rows: DataFrame) -> DataFrame:
 
 
 def compact_kpis(store: ResultStore, keep_epochs: int = 100) -> None:
-    """Merge the partials of all but the newest ``keep_epochs`` epochs into one row per batch.
+    """Merge the partials of all but the newest ``keep_epochs`` epochs into one row per batch,
+    with the batch's place and running total; the pointer row keeps the totals.
 
     Only epochs that can no longer be replayed may be merged; a replay rewrites the newest
     epoch alone, so any ``keep_epochs`` of 1 or more is safe. Views give the same rows
     before and after; the merged versions' own partitions are then read no more.
     """
-    compact(store, "kpi_parts", kpi_schema(store), keep_epochs, merged_parts)
+    def merge(rows: DataFrame) -> DataFrame:
+        return running(merged_parts(rows), "batch_id", {"cumulative_event_count": "event_count"}, "processed_batches")
+
+    def totals(rows: DataFrame) -> dict:
+        row = rows.agg(F.count(F.lit(1)), F.sum("event_count"), F.max("batch_id")).first()
+        return {"batches": row[0], "events": row[1], "last_batch": row[2]}
+
+    compact(store, "kpi_parts", kpi_schema(store), keep_epochs, merge, totals)
 
 
 def late_events(store: ResultStore) -> DataFrame:
@@ -148,16 +158,48 @@ def kpi_table(store: ResultStore) -> DataFrame:
     return summaries.merge_kpi_partials(kpi_parts(store))
 
 
+def _tail(store: ResultStore) -> tuple[DataFrame, dict] | None:
+    """(partials after the newest compaction, its totals), if all of them belong to batches
+    behind the compacted ones, so that saved running totals hold; else None."""
+    note = compaction_note(store, "kpi_parts")
+    if note.get("last_batch") is None:
+        return None
+    tail = tail_rows(store, "kpi_parts", kpi_schema(store))
+    older = tail.filter(F.col("batch_id").isNull() | (F.col("batch_id") <= F.lit(note["last_batch"])))
+    return (tail, note) if older.isEmpty() else None
+
+
 def kpi_history_view(store: ResultStore, with_processed_at: bool = False) -> DataFrame:
     """KPI history with ordinal and running total, derived from stored rows.
 
-    ``processed_at`` (when the newest part of a batch was written) is wall-clock
-    and so left out unless asked for.
+    After a compaction, the rows it holds keep their saved place and running total and only
+    the rest is counted, from the saved totals on. A batch of the compaction that got further
+    events since is counted again with all others. ``processed_at`` (when the newest part of a
+    batch was written) is wall-clock and so left out unless asked for.
     """
-    kpi = kpi_table(store)
-    if not with_processed_at:
-        kpi = kpi.drop("processed_at")
-    return history.kpi_history(kpi)
+    shown = (["processed_at"] if with_processed_at else []) + history.HISTORY_COLUMNS
+    found = _tail(store)
+    if found is None:
+        return history.kpi_history(kpi_table(store)).select(*shown)
+    tail, note = found
+    saved = T.StructType(kpi_schema(store).fields + [T.StructField("processed_batches", T.LongType()),
+                                                     T.StructField("cumulative_event_count", T.LongType())])
+    rows = store.read_snapshot("kpi_parts_compacted", saved)
+    closed = summaries.finished_kpis(rows, ["processed_batches", "cumulative_event_count", "processed_at"])
+    rest = history.kpi_history(summaries.merge_kpi_partials(tail), note["batches"], note["events"])
+    return closed.select(*shown).unionByName(rest.select(*shown))
+
+
+def recent_kpi_view(store: ResultStore, n: int) -> DataFrame:
+    """The newest ``n`` rows of the history, newest first. With a compaction and ``n`` batches
+    after it, neither the compacted rows nor a running total over them is read."""
+    found = _tail(store)
+    if found is not None:
+        tail, note = found
+        if tail.select("batch_id").distinct().limit(n).count() == n:
+            return history.recent(summaries.merge_kpi_partials(tail), n, note["batches"], note["events"]) \
+                .select(*history.HISTORY_COLUMNS)
+    return history.recent(kpi_table(store), n).select(*history.HISTORY_COLUMNS)
 
 
 def newest_epoch_events(store: ResultStore) -> DataFrame:

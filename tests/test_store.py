@@ -5,13 +5,13 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from actiflow.operators import summaries
+from actiflow.operators import history, summaries
 from actiflow.operators.enrich import enrich
 from actiflow.plans.catalog import activity
-from actiflow.sinks.store import NO_CHECKPOINT, ResultStore
+from actiflow.sinks.store import NO_CHECKPOINT, ResultStore, compaction_note
 from actiflow.sources.events import SourceSpec, read_events
 from actiflow.streaming.processor import (EventBatchWriter, compact_kpis, kpi_history_view, latest_snapshots,
-                                          start_event_query)
+                                          recent_kpi_view, start_event_query)
 from actiflow.streaming.replay import BATCH_FIELD, write_event_files
 from actiflow.streaming.segments import compact_segments, current_segments, start_segment_query
 from conftest import SF_SMALL
@@ -47,7 +47,7 @@ def test_a_new_checkpoint_replaces_nothing(spark, workdir):
     assert [(r.generation[:6], r.epoch) for r in newest] == [("000002", 1)]
     # A compaction holds old epochs of both and hides none of the others.
     compact_kpis(store, keep_epochs=1)
-    assert view() == want and store.snapshot_note("kpi_parts_compacted").count(": 0") == 2
+    assert view() == want and list(compaction_note(store, "kpi_parts")["cover"].values()) == [0, 0]
     _run(spark, halves[0].withColumn("batch_id", F.col("batch_id") + 1000), workdir, "in2", store, "ckpt2")
     assert sum(r.event_count for r in kpi_history_view(store).collect()) == ev.count() + halves[0].count()
     compact_kpis(store, keep_epochs=1)
@@ -113,3 +113,35 @@ def test_compaction_reads_pruned_versions(spark, workdir):
     assert "PartitionFilters" in plan and kpi_parts(store).filter("epoch < 2").select("epoch").distinct().count() == 1
     with pytest.raises(ValueError):
         compact_kpis(store, keep_epochs=0)
+
+
+def test_running_totals_go_on_from_a_compaction(spark, workdir):
+    ev = enrich(activity(spark, SF_SMALL)).drop("o_orderkey")
+    ev = ev.withColumn("batch_id", F.floor(F.crc32("event_id") / F.lit(1 << 28)).cast("long"))  # 16 batches
+    store = ResultStore(spark, f"{workdir}/store")
+    writer = EventBatchWriter(store)
+    for k in range(4):  # four batches in each epoch
+        writer(ev.filter(F.floor(F.col("batch_id") / 4) == k), k)
+    want = list(map(str, history.kpi_history(summaries.batch_kpi(ev)).orderBy("batch_id").collect()))
+    view = lambda: list(map(str, kpi_history_view(store).orderBy("batch_id").collect()))
+    recent = lambda n: list(map(str, recent_kpi_view(store, n).collect()))
+    assert view() == want and recent(3) == want[::-1][:3]
+    compact_kpis(store, keep_epochs=2)
+    note = compaction_note(store, "kpi_parts")
+    assert (note["batches"], note["last_batch"]) == (8, 7)
+    assert view() == want and [recent(n) for n in (3, 8, 12, 99)] == [want[::-1][:n] for n in (3, 8, 12, 99)]
+    # Eight batches came after: only their partials are read, and no running total over others.
+    compacted = f"compacted/versions/{store._pointer('kpi_parts_compacted')['folder']}"
+    read = lambda df: any(compacted in f for f in df.inputFiles())
+    assert not read(recent_kpi_view(store, 8)) and read(recent_kpi_view(store, 9)) and read(kpi_history_view(store))
+    # Events of a compacted batch move all later totals.
+    some = ev.filter(F.crc32("event_id") % 97 == 0)
+    late = some.withColumn("batch_id", F.lit(2).cast("long"))
+    writer(late, 4)
+    both = list(map(str, history.kpi_history(summaries.batch_kpi(ev.unionByName(late))).orderBy("batch_id").collect()))
+    assert view() == both != want and recent(3) == both[::-1][:3]
+    compact_kpis(store, keep_epochs=1)
+    assert view() == both  # epoch 4 is still open
+    writer(some.withColumn("batch_id", F.lit(50).cast("long")), 5)
+    compact_kpis(store, keep_epochs=1)
+    assert view()[:-1] == both and recent(1) == view()[-1:]
