@@ -11,7 +11,9 @@
 4. Verification is exact Jaccard of the shingle sets (64-bit shingle hashes), and
    ``similarity`` or more links. Components of the links are the classes; within a class
    all occurrences but the first (smallest doc_id, then paragraph) are removals.
-5. An occurrence is named by doc_id and text hash, rows without doc_id by a number too.
+5. Passages inside longer lines, or across short ones, are paragraphs cut by content (see
+   ``embedded``): those that repeat outside the lines found so far are classes, too.
+6. An occurrence is named by doc_id and text hash, rows without doc_id by a number too.
 
 Defined cases: null or empty text has no paragraphs; a null doc_id comes after all others,
 and each such row is a document of its own; different texts under one doc_id are different
@@ -31,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from actiflow.llm import runs
+from actiflow.llm import embedded, runs
 from actiflow.llm.common import CONTINUATION, map_arrow, map_groups, stored, text_bytes
 from actiflow.llm.components import connected_components
 from actiflow.llm.simhash import shingle_hashes
@@ -350,8 +352,22 @@ def repeated_blocks(docs: DataFrame, **options) -> DataFrame:
     return repeated_paragraphs(docs, cut=blocks, **options)
 
 
+def repeated_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  min_words: int = MIN_WORDS, similarity: float = SIMILARITY, recall: float = RECALL,
+                  rows: int = ROWS, rounds: int = ROUNDS, chunk: int = CHUNK) -> DataFrame:
+    """``repeated_paragraphs`` of whole lines, then of what is repeated within and across other
+    lines (``embedded``: start and end are those of the content-defined paragraph)."""
+    lines = stored(classed(docs, id_col, text_col, min_words, similarity, recall, rows, rounds, chunk, paragraphs),
+                   "repeated_lines")
+    work = keyed(docs, id_col, text_col).select(
+        "doc_id", "text_id", F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).alias("row"), "data")
+    inside = embedded.repeated_units(work, lines.select("text_id", "start", "end"))
+    return lines.drop("text_id", "row").withColumn("embedded", F.lit(False)).unionByName(
+        inside.withColumn("embedded", F.lit(True)))
+
+
 def op5_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_paragraphs(read_table(spark, sf_dir, "documents"))
+    return repeated_text(read_table(spark, sf_dir, "documents"))
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
