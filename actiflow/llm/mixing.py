@@ -6,7 +6,7 @@ hash-seeded Bernoulli copy with probability equal to the fraction of its source'
 
 Defined cases: null text has size 0; the null source is a source of its own and comes
 last; documents of size 0 are emitted like others; repeated rows with one doc_id draw the
-same copy count; a null doc_id draws one fixed number; an empty table gives an empty
+same copy count; rows without doc_id draw by their text; an empty table gives an empty
 result; extra columns stay (those named like a result are replaced).
 """
 
@@ -28,9 +28,11 @@ def word_count(col: str) -> Column:
     return F.regexp_count(F.coalesce(F.col(col), F.lit("")), F.lit(WORD_REGEX)).cast("bigint")
 
 
-def uniform(id_col: Column, seed: str = SEED) -> Column:
-    """Number in [0, 1) from the md5 of seed and id (48 bits, exact in a double)."""
-    text = F.concat(F.lit(seed + ":"), F.coalesce(id_col.cast("string"), F.lit("null")))
+def uniform(id_col: Column, text_col: Column, seed: str = SEED) -> Column:
+    """Number in [0, 1) from the md5 of seed and id, or text where there is no id (48 bits,
+    exact in a double)."""
+    own = F.concat(F.lit("text:"), F.md5(F.coalesce(text_col, F.lit("")).cast("binary")))
+    text = F.concat(F.lit(seed + ":"), F.coalesce(id_col.cast("string"), own))
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 12), 16, 10).cast("double") / float(1 << 48)
 
 
@@ -73,7 +75,9 @@ def source_targets(sized: DataFrame, max_repeat: int = MAX_REPEAT) -> DataFrame:
     left, weights = total, table.agg(F.sum("weight")).first()[0] or 0
     stopped = F.lit(False)
     while weights:
-        stopped = F.col("weight") * F.lit(left) > F.col("cap") * F.lit(weights)
+        # Decimals: the cap of a large source times the weights of many passes 64 bits.
+        stopped = F.col("weight") * F.lit(left).cast("decimal(19,0)") > \
+            F.col("cap").cast("decimal(19,0)") * F.lit(weights).cast("decimal(18,0)")
         row = table.agg(F.sum(F.when(stopped, F.col("cap"))).alias("cap"),
                         F.sum(F.when(~stopped, F.col("weight"))).alias("weight")).first()
         now = (total - (row["cap"] or 0), row["weight"] or 0)
@@ -101,7 +105,7 @@ def with_copies(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
         F.col("source").alias(PREFIX + "source"), "source_size", "target", "rate")
     joined = base.join(targets, F.col(source_col).cast("string").eqNullSafe(F.col(PREFIX + "source")))
     whole = F.floor("rate")
-    extra = (uniform(F.col(id_col)) < F.col("rate") - whole).cast("int")
+    extra = (uniform(F.col(id_col), F.col(text_col)) < F.col("rate") - whole).cast("int")
     return joined.withColumn("copies", (whole + extra).cast("int")).drop(PREFIX + "source")
 
 
@@ -125,7 +129,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP9_SQL = r"""
 WITH RECURSIVE d AS (
-  SELECT doc_id, source,
+  SELECT doc_id, source, text,
          len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size
   FROM documents
 ), s AS (
@@ -154,7 +158,7 @@ g AS (
 )
 SELECT doc_id, size, source_size, target,
        (size * (floor(rate)::BIGINT + CASE WHEN
-         (('0x' || left(md5('mix:' || coalesce(doc_id::VARCHAR, 'null')), 12))::BIGINT)::DOUBLE / 281474976710656.0
+         (('0x' || left(md5('mix:' || coalesce(doc_id::VARCHAR, 'text:' || md5(coalesce(text, '')))), 12))::BIGINT)::DOUBLE / 281474976710656.0
          < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source
 """

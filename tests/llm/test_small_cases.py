@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pytest
+from pyspark.sql import functions as F
 
 from actiflow.llm import (mixing, neighbours, paragraphs, pieces, quality_rules, quotes, secrets,
                           simhash, token_files, topk)
@@ -269,20 +270,60 @@ def test_search(spark):
     table = spark.createDataFrame([(i, v, 1, 2) for i, v in vectors],
                                   "vec_id BIGINT, embedding ARRAY<FLOAT>, score INT, rank INT")
     got = [tuple(r) for r in topk.top_k(table, block=2, segment_blocks=1, group=1).orderBy("query_id", "rank").collect()]
-    assert got == [(0, 1, 8, 131072), (0, 2, 1, 81920), (0, 3, 2, 81920), (0, 4, 7, 0), (0, 5, 50, -32768),
-                   (50, 1, 7, 0), (50, 2, 8, 0), (50, 3, 0, -32768), (50, 4, 1, -32768), (50, 5, 2, -32768)]
+    # The id 0 has two rows: each is a query and a candidate of the other.
+    assert got == [r for r in [(0, 1, 8, 131072), (0, 2, 0, 81920), (0, 3, 1, 81920), (0, 4, 2, 81920), (0, 5, 7, 0)]
+                   for _ in range(2)] + [(50, 1, 7, 0), (50, 2, 8, 0), (50, 3, 0, -32768), (50, 4, 0, -32768),
+                                         (50, 5, 1, -32768)]
     assert topk.top_k(table.limit(0)).count() == 0
 
 
-def test_search_prunes_exactly():
+@pytest.mark.parametrize("skewed", [False, True])
+def test_search_prunes_exactly(skewed):
     rng = np.random.default_rng(3)
     vectors = rng.integers(-9, 9, (400, 6))
+    if skewed:  # most blocks hold short vectors only
+        vectors[40:] //= 8
     ids = np.arange(400)
-    blocks = [(ids[a:a + 16], vectors[a:a + 16]) for a in range(0, 400, 16)]
-    row, near, score = topk.search(ids[::50], vectors[::50], np.full(8, topk.LOWEST), blocks, 5)
+    blocks = [(ids[a:a + 16], ids[a:a + 16], vectors[a:a + 16]) for a in range(0, 400, 16)]
+    row, near, score, made = topk.search(ids[::50], vectors[::50], np.full(8, topk.LOWEST), blocks, 5)
     for q in range(8):
         all_scores = sorted((-int(vectors[q * 50] @ vectors[j]), j) for j in range(400) if j != q * 50)[:5]
         assert [(-s, j) for s, j in all_scores] == [(s, j) for s, j in zip(score[row == q], near[row == q])]
+    assert made < 0.4 * 8 * 400 if skewed else made <= 8 * 400
+
+
+def test_search_sends_only_reached_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(600, 4)).round(3)
+    vectors[::50] += 1.0
+    vectors[200:] /= 50
+    ids = [i - i % 7 if i > 500 else i for i in range(600)]  # some rows share an id
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, vectors)], "vec_id BIGINT, embedding ARRAY<DOUBLE>")
+    sent, plain = [], topk.reached
+    monkeypatch.setattr(topk, "reached", lambda *a: sent.append((plain(*a), a[1])) or sent[0][0])
+    got = sorted(tuple(r) for r in topk.top_k(table, block=16, segment_blocks=2, group=4).collect())
+    whole = np.floor(256 * vectors).astype(np.int64)
+    want = []
+    for q in range(600):
+        if ids[q] % 50 == 0:
+            scores = sorted((-int(whole[q] @ whole[j]), ids[j]) for j in range(600) if j != q)[:5]
+            want += [(ids[q], r, j, -s) for r, (s, j) in enumerate(scores, 1)]
+    assert got == sorted(want)
+    kept, cells = sent[0]  # of all (group, block) cells but those of the first pass
+    assert 0 < kept.count() < cells.count()
+
+
+def test_search_equals_its_sql_on_repeated_ids(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    rng = np.random.default_rng(5)
+    rows = [(int(i), rng.normal(size=3).round(2).tolist()) for i in [0, 0, 1, 1, 1, 2, 50, 50, 51, 99, 100, 100]]
+    rows += [(3, None), (0, [None, 1.0, 2.0])]
+    table = spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<DOUBLE>")
+    table.coalesce(1).write.parquet(f"{tmp_path}/e")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/e/*.parquet')")
+    want = sorted(con.execute(topk.OP3_SQL).fetchall())
+    assert sorted(tuple(r) for r in topk.top_k(table).collect()) == want and len(want) == 6 * 5
 
 
 def test_large_products_are_exact():
@@ -337,3 +378,22 @@ def test_sha_of_no_spans(docs):
     cols = secrets.digest()
     got = secrets.find_secrets(docs).select("doc_id", cols["base_sha256"].alias("s")).collect()
     assert {r.s for r in got if r.doc_id == 1} == {hashlib.sha256(b"").hexdigest()}
+
+
+def test_mixing_many_sources_and_words(spark):
+    # 200,000 sources, one of them with 10**14 words: no product may pass 64 bits.
+    sized = spark.range(200_000).select(F.format_string("s%06d", "id").alias("source"),
+                                        F.when(F.col("id") == 7, 10**14).otherwise(F.col("id") % 50).alias("size"))
+    rows = {r.source: r for r in mixing.source_targets(sized).collect()}
+    assert len(rows) == 200_000
+    total = sum(r.source_size for r in rows.values())
+    assert abs(sum(r.target for r in rows.values()) - total) < 1e-6 * total
+    assert all(r.target <= 3 * r.source_size + 1e-6 for r in rows.values())
+
+
+def test_mixing_without_ids_comes_near_the_target(spark):
+    docs = spark.createDataFrame([(None, f"{i} w w w", s) for i in range(4000) for s in "ab"],
+                                 "doc_id BIGINT, text STRING, source STRING")
+    rows = mixing.with_copies(docs).groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("taken"),
+                                                          F.first("target").alias("target")).collect()
+    assert all(abs(r.taken - r.target) < 0.1 * r.target for r in rows)
