@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from actiflow.session import checkpoint_dir, work_root
+from actiflow.sinks.files import delete
 
 # A word is a run of characters other than ASCII white space.
 WORD_REGEX = r"[^\x20\x09-\x0D]+"
@@ -38,11 +41,30 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[df[c] for c in df.columns if c.lower() not in taken])
 
 
+_SCRATCH: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that operators store within the block are deleted at its end, so results that
+    read them must be written before."""
+    paths: list[str] = []
+    token = _SCRATCH.set(paths)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        for path in paths:
+            delete(spark, path)
+
+
 def stored(df: DataFrame, purpose: str, compression: str | None = None) -> DataFrame:
     """Write to a fresh table in the shared checkpoint folder and read it back:
     computed once, lineage cut, readable by every executor, with real size statistics."""
     spark = df.sparkSession
     path = work_root(spark, purpose)
+    if (open_scope := _SCRATCH.get()) is not None:
+        open_scope.append(path)
     writer = df.write.option("compression", compression) if compression else df.write
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
