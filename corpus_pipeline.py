@@ -11,7 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from actiflow.llm import mixing, pieces, quality_rules, secrets, simhash
+from actiflow.llm.common import scratch
 from actiflow.session import work_root
+from actiflow.sinks.files import delete
 from actiflow.sources.tables import read_table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -60,8 +62,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
+    before = None
     for name, stage in STAGES:
         path = work_root(spark, f"pipeline_{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with scratch(spark):  # the operators' own tables go once the stage is written
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            delete(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
