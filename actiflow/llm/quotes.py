@@ -8,8 +8,14 @@
    earlier messages of the conversation; the latest earlier one counts.
 3. A message answers the message that most of its level-1 passages come from (ties: the
    later one); without such a link it answers the message before it. Deeper levels give
-   links too. A message comes after the one it answers, so the order of turns is the reply
-   order; ``branch`` is the turn where a new line of replies starts.
+   links too; ``branch`` is the turn where a new line of replies starts.
+4. The position is the place in reply order: a message, then its answers by turn, each with
+   all that answers it. In a conversation without a branch that is the order of turns. Where
+   there are branches, places are ranks in a tour of the tree (each message is entered, its
+   answers follow, it is left), found by doubling: a table per round, as many rounds as the
+   logarithm of the longest conversation with branches.
+
+Quotes are linked with earlier messages only: an original cannot come after its quote.
 
 The latest earlier original is found with running maxima in blocks of turns that are
 carried over from block to block, so neither a long conversation nor a common passage is
@@ -31,6 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from actiflow.llm.common import map_arrow, stored
+from actiflow.operators.blocks import previous_value
 from actiflow.sources.tables import read_table
 
 BLOCK_TURNS = 4096
@@ -131,6 +138,39 @@ def quote_links(messages: DataFrame) -> DataFrame:
         F.max_by("target", F.struct("passages", "target")).alias("target"), F.max("passages").alias("passages"))
 
 
+def tour_places(tree: DataFrame) -> DataFrame:
+    """(conv_id, turn, place): place of every message (from 0) in the tour of its reply tree.
+    ``tree``: conv_id, turn, parent_turn (null for the root)."""
+    key = ["conv_id", "turn"]
+    # The answer before, to the same message; blocks keep much-answered messages from one task.
+    siblings = previous_value(tree.withColumn("of", F.struct("conv_id", "parent_turn")), "of", ["turn"],
+                              F.floor(F.col("turn") / BLOCK_TURNS), "turn", "before").drop("of")
+    siblings = stored(siblings, "siblings")
+    following = siblings.filter("before IS NOT NULL").select(
+        "conv_id", F.col("before").alias("turn"), F.col("turn").alias("next_sibling"))
+    first = siblings.filter("parent_turn IS NOT NULL").groupBy(
+        "conv_id", F.col("parent_turn").alias("turn")).agg(F.min("turn").alias("first_answer"))
+    linked = siblings.join(following, key, "left").join(first, key, "left")
+    # A step of the tour is twice the turn (the message is entered) or one more (it is left).
+    enter, leave = F.col("turn") * 2, F.col("turn") * 2 + 1
+    steps = linked.select("conv_id", F.explode(F.array(
+        F.struct(enter.alias("step"), F.coalesce(F.col("first_answer") * 2, leave).alias("next"), F.lit(1).alias("left")),
+        F.struct(leave.alias("step"), F.coalesce(F.col("next_sibling") * 2, F.col("parent_turn") * 2 + 1).alias("next"),
+                 F.lit(0).alias("left")))).alias("s")).select("conv_id", "s.step", "s.next",
+                                                              F.col("s.left").cast("long").alias("left"))
+    while True:  # ``left`` counts the messages entered from a step on, up to ``next``
+        steps = stored(steps, "tour")
+        if not steps.filter("next IS NOT NULL").limit(1).count():
+            break
+        ahead = steps.select("conv_id", F.col("step").alias("next"), F.col("next").alias("after"), F.col("left").alias("more"))
+        steps = steps.join(ahead, ["conv_id", "next"], "left").select(
+            "conv_id", "step", F.col("after").alias("next"), (F.col("left") + F.coalesce("more", F.lit(0))).alias("left"))
+    entered = steps.filter("step % 2 = 0")
+    whole = entered.groupBy("conv_id").agg(F.max("left").alias("whole"))
+    return entered.join(whole, "conv_id").select(
+        "conv_id", F.floor(F.col("step") / 2).cast("long").alias("turn"), (F.col("whole") - F.col("left")).alias("place"))
+
+
 def reply_order(messages: DataFrame) -> DataFrame:
     """conv_id, turn, role, position, parent_turn, by_quote, branch, n_quoted, n_links,
     text (without quotes): one row per message."""
@@ -154,6 +194,11 @@ def reply_order(messages: DataFrame) -> DataFrame:
         F.max(F.when(F.col("level") == 1, F.col("target"))).alias("quoted"), F.count(F.lit(1)).alias("n_links"))
     tree = (placed.join(counts, ["conv_id", "turn"], "left")
             .withColumn("parent_turn", F.coalesce("quoted", "prev")))
+    tree = stored(tree, "reply_tree")
+    branched = tree.filter("quoted <> prev").select("conv_id").distinct()
+    order = tour_places(tree.join(branched, "conv_id", "left_semi").select("conv_id", "turn", "parent_turn")) \
+        .withColumnRenamed("place", "_place")
+    tree = tree.join(order, ["conv_id", "turn"], "left").withColumn("position", F.coalesce("_place", "position"))
     starts = F.col("prev").isNull() | (F.col("quoted") != F.col("prev"))
     tree = carried_max(tree, ["conv_id"], [], F.when(starts, F.col("turn")), "branch").select(
         F.col("conv_id").alias("c"), F.col("turn").alias("t"), "position", "parent_turn",

@@ -368,8 +368,13 @@ def test_quotes_over_blocks_of_turns(spark, monkeypatch):
     monkeypatch.setattr(quotes, "BLOCK_TURNS", 3)
     said = [(1, t, "user", f"message number {t % 4}" if t < 15 else f"> message number {t % 4}\nyes") for t in range(20)]
     got = {r.turn: r for r in quotes.reply_order(spark.createDataFrame([r + (1, 2) for r in said], CONV)).collect()}
+    places, stack = {}, [0]
+    while stack:  # a message, then its answers by turn
+        t = stack.pop()
+        places[t] = len(places)
+        stack += sorted((u for u in got if got[u].parent_turn == t), reverse=True)
     for t in range(20):
-        assert got[t].position == t
+        assert got[t].position == places[t]
         latest = max((u for u in range(15) if u % 4 == t % 4), default=None)
         assert got[t].parent_turn == (latest if t >= 15 else t - 1 if t else None)
 
