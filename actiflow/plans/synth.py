@@ -47,11 +47,12 @@ def synth_events(seed_rows: DataFrame, indices: DataFrame, seed: int = DEFAULT_S
     customer_id, gender, age, city, membership_type, total_spend,
     items_purchased, average_rating, discount_applied, days_since_last_purchase.
     """
-    n_seed = seed_rows.count()  # one scalar to the driver, not the rows
-    if n_seed == 0:
-        raise ValueError("empty seed")
+    # The number of seed rows is a scalar subquery: no job runs while the query is built, and
+    # an empty seed fails when an event is drawn from it.
+    n_seed = seed_rows.agg(F.count(F.lit(1)).alias("n")).select(
+        F.when(F.col("n") > 0, F.col("n")).otherwise(F.raise_error(F.lit("empty seed")).cast("long"))).scalar()
     picks = indices.select("i").withColumn(
-        "row_no", F.floor(hashing.uniform(seed, "i", "pick") * F.lit(n_seed)).cast("long"))
+        "row_no", F.floor(hashing.uniform(seed, "i", "pick") * n_seed).cast("long"))
     base = picks.join(seed_rows, "row_no")
     i = F.col("i")
     spend = F.round(F.col("total_spend") + hashing.uniform_between(seed, i, "spend", -90.0, 140.0), 2)

@@ -1,4 +1,4 @@
-"""Count the physical operators of every registered query's executed plan.
+"""Count the physical operators of the event queries' executed plans.
 
 Usage: python scripts/plan_report.py [sf_dir]  -> markdown table on stdout.
 Each query is executed (collect) so the adaptive plan is the final one.
@@ -13,7 +13,7 @@ import sys
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-import __spark_entry__ as E  # noqa: E402
+from actiflow.plans.catalog import QUERIES  # noqa: E402
 from actiflow.session import get_session  # noqa: E402
 
 PATTERNS = {
@@ -23,7 +23,7 @@ PATTERNS = {
     "broadcast joins": r"BroadcastHashJoin",
     "windows": r"\bWindow \[",
     "top-k": r"TakeOrderedAndProject",
-    "python (mapInPandas)": r"MapInPandas",
+    "python": r"MapInPandas|MapInArrow|PythonUDF",
     "reused exchanges": r"ReusedExchange",
     "cartesian": r"CartesianProduct|BroadcastNestedLoopJoin",
 }
@@ -36,7 +36,7 @@ def main(argv):
     spark.sparkContext.setLogLevel("ERROR")
     print("| query | " + " | ".join(PATTERNS) + " |")
     print("|---|" + "---|" * len(PATTERNS))
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         df = fn(spark, sf_dir)
         df.collect()
         text = df._jdf.queryExecution().executedPlan().toString()

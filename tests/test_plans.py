@@ -7,7 +7,8 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 
 # Queries that run streams eagerly when called; their plans are reads of the store.
-EAGER = {"stream_events", "stream_kpis", "stream_segments", "stream_city_segments"}
+EAGER = {"stream_events", "stream_kpis", "stream_segments", "stream_city_segments", "late_events",
+         "trigger_counts"}
 
 
 def plan(df) -> str:
