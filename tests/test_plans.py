@@ -4,6 +4,7 @@ nested-loop joins; top-k is a bounded per-task sort."""
 import pytest
 
 import __spark_entry__ as E
+from actiflow.plans.catalog import QUERIES
 from conftest import SF_SMALL
 
 # Queries that run streams eagerly when called; their plans are reads of the store.
@@ -15,7 +16,7 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - EAGER))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER))
 def test_no_cartesian_or_nested_loop(spark, name):
     text = plan(E.queries()[name](spark, SF_SMALL))
     assert "CartesianProduct" not in text
