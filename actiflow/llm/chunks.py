@@ -7,6 +7,7 @@ apart. Distinct chunks are encoded once; texts are then put together with numpy.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -115,25 +116,25 @@ def encode_texts(texts: list[bytes], split: Callable[[bytes], Iterator[list[byte
 
 
 class WordCache:
-    """Ids of words, each taken as a space and the word, with all of it in Arrow and numpy
-    arrays: a million words take some 50 MB. ``encode(array of words)`` fills the gaps."""
+    """Ids of words, each taken as a space and the word: ids in one numpy array, and a dict
+    from the word to its place, kept from batch to batch. A million words take some 150 MB.
+    ``encode(array of words)`` fills the gaps."""
 
     def __init__(self, encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]],
                  max_words: int = 1_000_000, max_ids: int = 8_000_000):
         self.encode, self.max_words, self.max_ids = encode, max_words, max_ids
-        self.words: pa.Array | None = None
+        self.place: dict = {}
         self.ids = np.zeros(0, np.uint32)
         self.starts = self.sizes = np.zeros(0, np.int64)
 
     def ids_of(self, words: pa.Array, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of ``words[at]`` one after the other, and how many each has; ``words`` are
         distinct."""
-        if self.words is None:
-            place = np.full(len(words), -1, np.int64)
-        else:
-            place = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy().astype(np.int64)
+        listed = words.to_numpy(zero_copy_only=False).tolist()  # faster than to_pylist
+        known = self.place
+        place = np.fromiter(map(known.get, listed, repeat(-1)), np.int64, len(listed))
         missing = place < 0
-        ids, starts, sizes, known = self.ids, self.starts, self.sizes, self.words
+        ids, starts, sizes = self.ids, self.starts, self.sizes
         if missing.any():
             new = words.filter(pa.array(missing))
             more, counts = self.encode(new)
@@ -142,7 +143,7 @@ class WordCache:
             sizes = np.concatenate([sizes, counts])
             ids = np.concatenate([ids, more])
             if len(starts) <= self.max_words and len(ids) <= self.max_ids:
-                self.words = new if known is None else pa.concat_arrays([known, new])
+                known.update(zip(compress(listed, missing.tolist()), place[missing].tolist()))
                 self.ids, self.starts, self.sizes = ids, starts, sizes
             # else full: frequent words came early and stay, these were needed once
         at = place[at]

@@ -5,7 +5,7 @@
 2. Ids are ranked by how often they occur in the whole corpus, so frequent ids get small
    numbers. The ranks are one row per vocabulary entry that occurs: bounded by the
    vocabulary, whatever the corpus.
-3. Documents go to ranges of doc_id and are sorted there. Each range is written as chunks
+3. Documents go to ranges of doc_id (one a task, of equal size) and are sorted there. Each range is written as chunks
    of whole documents: per id a number of 1 to 4 bytes in the ``data`` stream and its
    length in two bits of the separate ``control`` stream, four ids to a control byte.
 4. Readers decode a chunk with numpy: one table lookup gives four lengths per control byte.
@@ -38,7 +38,6 @@ from actiflow.sources.tables import read_table
 
 END_ID = 2
 IDS_PER_CHUNK = 1 << 18
-MAX_RANGES = 4096
 SLICE = 1 << 20  # bytes of a long text split at once
 
 # A space between two other characters: no piece of a byte-level vocabulary whose
@@ -109,8 +108,13 @@ class ByteEncoder:
         ids, sizes = self._cut("".join([chunks[k] for k in run]),
                                np.array([len(chunks[k].encode()) for k in run]))
         if ids is None:
-            for k in run:
-                out[k] = self.ids(chunks[k])
+            # Some id crosses a cut: halves, so that only chunks near it are encoded alone.
+            half = len(run) // 2
+            if half:
+                self._together(chunks, run[:half], out)
+                self._together(chunks, run[half:], out)
+            else:
+                out[run[0]] = self.ids(chunks[run[0]])
             return
         ends = [0, *np.cumsum(sizes).tolist()]
         for k, a, b in zip(run, ends, ends[1:]):
@@ -272,18 +276,13 @@ def write_token_files(encoded: DataFrame, path: str, ids_per_chunk: int = IDS_PE
     spark = encoded.sparkSession
     id_ranks(encoded).write.parquet(path + "/ranks")
     table = rank_table(spark, path, by="id", value="rank")
-    n = min(ranges or int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_RANGES)
-    cuts = encoded.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)] or [0.5],
-                                           F.lit(100 * n))).first()[0]
-    bounds = sorted(set(cuts or []))
-    # The range of an id is the number of boundaries below it; null ids come last.
-    number = F.when(F.col("doc_id").isNull(), F.lit(len(bounds) + 1)).otherwise(
-        F.aggregate(F.array(*[F.lit(b) for b in bounds]), F.lit(0),
-                    lambda acc, b: acc + (F.col("doc_id") > b).cast("int"))
-        if bounds else F.lit(0))
-    sorted_rows = (encoded.select(number.cast("int").alias("range"), "doc_id", "n_ids", "crc", "ids")
-                   .repartition(n, "range")
-                   .sortWithinPartitions("range", F.col("doc_id"), "crc", "n_ids"))
+    n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Ranges of equal size by sampled bounds; rows without an id come last and rows of one id
+    # are told apart, so they too are split over tasks.
+    order = [F.col("doc_id").asc_nulls_last(), F.col("crc"), F.col("n_ids"), F.col("row")]
+    sorted_rows = (encoded.select("doc_id", "n_ids", "crc", "ids", F.monotonically_increasing_id().alias("row"))
+                   .repartitionByRange(n, *order).sortWithinPartitions(*order)
+                   .select(F.spark_partition_id().alias("range"), "doc_id", "n_ids", "ids"))
 
     def pack(batches):
         rank_of, unpacked = table.value, unpacker()
@@ -305,7 +304,7 @@ def write_token_files(encoded: DataFrame, path: str, ids_per_chunk: int = IDS_PE
 
         held = 0
         for batch in batches:
-            for where, doc, n_ids, _, ids in zip(*(c.to_pylist() for c in batch.columns)):
+            for where, doc, n_ids, ids in zip(*(c.to_pylist() for c in batch.columns)):
                 if docs and (where != state["range"] or held >= ids_per_chunk):
                     yield chunk()
                     held = 0
@@ -360,7 +359,7 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = True) -> D
 
     docs = map_arrow(chunks, make, "range INT, doc_id BIGINT, at BIGINT, n_tokens BIGINT, "
                                    "ids_crc32 BIGINT, ids BINARY")
-    # One row per range, at most MAX_RANGES + 1.
+    # One row per range: at most the number of shuffle partitions of the writer.
     before = Window.orderBy("of").rowsBetween(Window.unboundedPreceding, -1)
     starts = chunks.groupBy(F.col("range").alias("of")).agg(F.sum("n_ids").alias("n")).select(
         "of", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
