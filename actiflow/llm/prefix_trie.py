@@ -42,7 +42,7 @@ from actiflow.sources.tables import read_table
 GROUP = 100
 HEADS = 6
 # Method parameter: turns (with one end mark each conversation) a container may hold.
-LIMIT = 512
+LIMIT = 128
 
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 NODE = ("head STRING, up STRING, conv_id BIGINT, depth BIGINT, parent_conv_id BIGINT, n_convs BIGINT, "
@@ -200,7 +200,8 @@ def end_digests(ended: DataFrame) -> DataFrame:
 
 def trie(turns: DataFrame, convs: DataFrame, limit: int = LIMIT) -> DataFrame:
     """Nodes of the trie over ``sequences`` (columns of the contract)."""
-    first = convs.select(F.col("conv"), F.lit("").alias("head"), F.lit(None).cast("string").alias("up"),
+    # The root's head is empty text, but no literal: a join by a literal would have no key.
+    first = convs.select(F.col("conv"), F.substring(F.col("conv").cast("string"), 1, 0).alias("head"), F.lit(None).cast("string").alias("up"),
                          F.lit(0).cast("bigint").alias("last"), "left")
     levels = []
     while True:
