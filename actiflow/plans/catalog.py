@@ -22,6 +22,7 @@ from actiflow.plans.activity import load_activity
 from actiflow.plans.synth import synth_events, synth_messages
 from actiflow.schemas import CSV_MESSAGE_FIELDS, EVENT_FIELDS
 from actiflow.session import apply_session_conf, work_root
+from actiflow.sinks.files import delete
 from actiflow.sinks.store import ResultStore
 from actiflow.sources.events import SourceSpec, read_events
 from actiflow.sources.tables import read_table
@@ -278,6 +279,9 @@ def _run_late_stream(spark: SparkSession, sf_dir: str, purpose: str) -> ResultSt
     behind = F.when(F.col("o_orderkey") % 50 == 3, 1).when(F.col("o_orderkey") % 50 == 4, 2).otherwise(0)
     due = F.floor((F.year("event_time") - LATE_FROM_YEAR) / 2).cast("int")
     arrivals = activity(spark, sf_dir).withColumn("slice", F.least(due + behind, F.lit(LATE_SLICES - 1)))
+    # The mapping is computed once; each slice then reads its own partition of the stored events.
+    arrivals.filter(F.col("slice") >= 0).write.partitionBy("slice").parquet(f"{root}/arrivals")
+    arrivals = spark.read.schema(arrivals.schema).parquet(f"{root}/arrivals")
     spec = SourceSpec(kind="files", path=f"{root}/input/*", extra_fields=[BATCH_FIELD])
     for k in range(LATE_SLICES):
         write_event_files(arrivals.filter(F.col("slice") == k), f"{root}/input/slice-{k}")
@@ -286,6 +290,7 @@ def _run_late_stream(spark: SparkSession, sf_dir: str, purpose: str) -> ResultSt
         query.awaitTermination()
         if query.exception() is not None:
             raise RuntimeError(str(query.exception()))
+    delete(spark, f"{root}/arrivals")
     return store
 
 

@@ -64,6 +64,34 @@ def test_a_replayed_epoch_splits_the_same_way(spark, workdir):
         assert sorted(r.event_id for r in store.read("events").collect()) == ["a", "b", "d", "e"]
 
 
+def test_the_late_replay_computes_its_events_once(spark, monkeypatch):
+    from actiflow.plans import catalog
+    from actiflow.schemas import EVENT_SCHEMA
+    rows = [("before", 11, "1994-05-01"), ("behind", 53, "1994-06-01"), ("first", 1, "1995-06-01"),
+            ("late", 3, "1995-02-01"), ("near", 103, "1995-05-20"), ("second", 2, "1997-06-01"),
+            ("later", 4, "1995-03-01"), ("third", 5, "1999-06-01"), ("fourth", 6, "2003-06-01"), ("no time", 7, None)]
+    base = spark.createDataFrame(rows, "event_id STRING, o_orderkey BIGINT, day STRING").select(
+        "event_id", "o_orderkey", F.to_timestamp_ntz("day").alias("event_time"))
+    cols = [F.col(f.name) if f.name in base.columns else F.lit(1 if f.name == "customer_id" else None)
+            .cast(f.dataType).alias(f.name) for f in EVENT_SCHEMA.fields]
+    events = base.select(*cols, "o_orderkey", F.col("o_orderkey").alias("batch_id"))
+    computed = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for batch in batches:
+            computed.add(batch.num_rows)
+            yield batch
+
+    monkeypatch.setattr(catalog, "activity", lambda spark, sf_dir: events.mapInArrow(counting, events.schema))
+    store = catalog._run_late_stream(spark, None, "late_events")
+    assert computed.value == len(rows)
+    assert [(r.event_id, r.epoch) for r in late_events(store).orderBy("epoch").collect()] == [
+        ("late", 1), ("later", 2)]
+    counts = triggers(store).orderBy("epoch").collect()
+    assert [(r.rows_read, r.kept, r.late, r.rejected) for r in counts] == [
+        (2, 2, 0, 0), (3, 2, 1, 0), (2, 1, 1, 0), (2, 1, 0, 1)]
+
+
 EVENTS = "user_id BIGINT, ts TIMESTAMP_NTZ, value DOUBLE"
 
 
