@@ -20,6 +20,7 @@ table gives empty files; extra columns are ignored.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -49,6 +50,13 @@ _WHITE = (r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}
 _PLAIN_RE2 = _WHITE + "{2}"
 _EDGE_RE2 = f"^{_WHITE}|{_WHITE}$|^$"
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+# Ends of matches inside a word, for the splitting pattern of ``ByteLevel`` (GPT-2): a letter
+# before ASCII other than letters, and anything else before a line feed. Only Latin letters,
+# which all versions of Unicode agree on; other places are just not cut.
+_LETTER = r"[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}]"
+_PART_ENDS = [f"({_LETTER})([\\n!-@\\[-`{{-~])", r"([^\x00\t-\r ])(\n)"]
+_APART = " a"  # such an end lies on either side of it
+
 
 
 def split_text(text: str) -> Iterator[list[str]]:
@@ -80,6 +88,11 @@ class ByteEncoder:
         self.bytes_of = np.zeros(max(vocab.values()) + 1, np.int64)
         for piece, i in vocab.items():
             self.bytes_of[i] = len(piece)
+        self.parts, self.apart = None, self.ids(_APART)
+        model = json.loads(tokenizer_json)
+        self.added = "|".join(["\\x00", *[_quoted(t["content"]) for t in model.get("added_tokens") or []]])
+        if _cuts_at_letters(model):
+            self.parts = WordCache(self._parts, max_words=200_000, max_ids=1_600_000)
 
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
@@ -135,19 +148,58 @@ class ByteEncoder:
         odd = pc.match_substring_regex(words, _EDGE_RE2).to_numpy(zero_copy_only=False)
         if odd.any():  # at the end of a text only
             return self([" " + w for w in words.to_pylist()])
-        lengths = pc.binary_length(words).to_numpy() + 1
-        bounds = np.append(np.arange(0, len(words), 2000), len(words)).astype(np.int32)
-        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds), words), " ").to_pylist()
+        spaced = pc.binary_join_element_wise("", words, " ")
+        if self.parts is None or pc.any(pc.match_substring_regex(words, self.added)).as_py():
+            return self._run(spaced)
+        for ends in _PART_ENDS:
+            spaced = pc.replace_substring_regex(spaced, ends, "\\1\x00\\2")
+        split = pc.split_pattern(spaced, "\x00")
+        coded = split.flatten().dictionary_encode()
+        ids, sizes = self.parts.ids_of(coded.dictionary, coded.indices.to_numpy())
+        offsets = split.offsets.to_numpy()
+        return ids, np.add.reduceat(sizes, offsets[:-1] - offsets[0])
+
+    def _parts(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of parts of words, and how many each has; ``_APART`` keeps those without a space
+        in front from what is before them."""
+        follows = pc.invert(pc.starts_with(parts, " "))
+        texts = pc.if_else(follows, pc.binary_join_element_wise(_APART, parts, ""), parts)
+        ids, sizes = self._run(texts)
+        follows = follows.to_numpy(zero_copy_only=False)
+        own = np.ones(len(ids), bool)
+        skip = (np.cumsum(sizes) - sizes)[follows]
+        own[(skip[:, None] + np.arange(len(self.apart))).ravel()] = False
+        return ids[own], sizes - len(self.apart) * follows
+
+    def _run(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks that the tokenizer keeps apart, many at a time as one text."""
+        lengths = pc.binary_length(chunks).to_numpy()
+        bounds = np.append(np.arange(0, len(chunks), 2000), len(chunks)).astype(np.int32)
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds), chunks), "").to_pylist()
         ids, sizes = [], []
         for text, a, b in zip(joined, bounds, bounds[1:]):
-            one, counts = self._cut(" " + text, lengths[a:b])
+            one, counts = self._cut(text, lengths[a:b])
             if one is None:
-                one, counts = self([" " + w for w in words[a:b].to_pylist()])
+                one, counts = self(chunks[a:b].to_pylist())
             ids.append(one)
             sizes.append(counts)
         return np.concatenate(ids), np.concatenate(sizes).astype(np.int64)
 
 
+def _quoted(text: str) -> str:
+    return "".join(f"\\x{{{ord(c):x}}}" for c in text)
+
+
+def _cuts_at_letters(model: dict) -> bool:
+    """Whether a tokenizer splits by the ``ByteLevel`` pattern, which never looks back, and has no
+    other rule that could see across the ends of ``_PART_ENDS``."""
+    before = model.get("pre_tokenizer") or {}
+    return (model.get("normalizer") is None and before.get("type") == "ByteLevel"
+            and before.get("use_regex", True) and not before.get("add_prefix_space", True)
+            and not any(re.search(r"^[^\W\d_]|\s|^$", t["content"]) or t["lstrip"] or t["rstrip"]
+                        or t["single_word"] for t in model.get("added_tokens") or []))
+
+
 def encode_documents(docs: DataFrame, tokenizer_json: str, end_id: int = END_ID,
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_ids, crc, ids): ids with the end id, as compressed little-endian

@@ -207,6 +207,29 @@ def test_token_chunks_equal_whole_texts(monkeypatch):
                 assert got == [plain_ids(plain_model, t) for t in texts]
 
 
+def test_new_words_are_encoded_by_parts_seen_before(monkeypatch):
+    tokenizers = pytest.importorskip("tokenizers")
+    import public_tokenizers
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        model = f.read()
+    whole = tokenizers.Tokenizer.from_str(model)
+    encoder, sent, plain = token_files.ByteEncoder(model), [], token_files.ByteEncoder.ids
+    monkeypatch.setattr(token_files.ByteEncoder, "ids", lambda self, text: sent.append(text) or plain(self, text))
+
+    def check(words):
+        ids, sizes = encoder.words(pa.array(words))
+        ends = np.cumsum(sizes)
+        assert [ids[b - n:b].tolist() for b, n in zip(ends, sizes)] == [plain_ids(whole, " " + w) for w in words]
+
+    check(["Straße", "haus", "it's", "x.", "y,", "end.\nNext", "end.\nMore"])
+    sent.clear()
+    check(["Straße.", "haus,", "haus's", "it.", "end,", "haus.\nNext", "end's.\nMore"])
+    assert not sent  # all parts are known
+    check(["'", "''s", "a'b'll", "..a..b", "a1b2.c3", "日本.a", "×.", "a×.b", "a\tb.c", "ʰ.", "e\u0301.x", "-", "a-\n-b",
+           "a_b", "\U0001f600.a", "http://a.b/c?d=1", "x\ny\nz", "A.B.C."])
+    check(["a.b", "a<|endoftext|>b", "c\x00d", "e,f"])
+
+
 def test_streams_round_trip():
     numbers = np.array([0, 255, 256, 65535, 65536, 1 << 24, (1 << 32) - 1, 7, 9], np.uint32)
     for n in range(len(numbers) + 1):
